@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def build_session(app: str = "quayside", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the library relies on; `conf` keys use `__` for dots."""
@@ -38,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="quayside-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="quayside-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
