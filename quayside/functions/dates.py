@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from quayside.functions.numbers import fixed
+
 # Season of each month, and the date formats tried in order.
 SEASONS = {"Winter": (12, 1, 2), "Summer": (3, 4, 5), "Monsoon": (6, 7, 8, 9), "Autumn": (10, 11)}
 DATE_FORMATS = ("yyyy-M-d", "d/M/yyyy", "yyyy.M.d", "MMM d, yyyy")
@@ -105,7 +107,7 @@ def format_date(c, fmt: str = "yyyy-MM-dd") -> Column:
 
 def format_duration(seconds) -> Column:
     s = _c(seconds).cast("double")
-    show = lambda x, unit: F.concat(F.format_string("%.2f", x), F.lit(f" {unit}"))
+    show = lambda x, unit: F.concat(fixed(x), F.lit(f" {unit}"))
     return F.when(s < 60, show(s, "seconds")).when(s < 3600, show(s / 60, "minutes")).otherwise(
         show(s / 3600, "hours")
     )

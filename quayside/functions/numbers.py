@@ -123,6 +123,11 @@ def skewness(c) -> Column:
     return F.when(n > 2, F.skewness(_c(c)) * F.sqrt(n * (n - 1)) / (n - 2))
 
 
+def fixed(c, decimals: int = 2) -> Column:
+    """Fixed decimals without separators, rounded on the exact binary value."""
+    return F.translate(F.format_number(_c(c).cast("double"), decimals), ",", "")
+
+
 def format_number(c, decimals: int = 0) -> Column:
     return F.format_number(_c(c).cast("double"), decimals)
 
@@ -135,15 +140,13 @@ def format_percentage(c, decimals: int = 1) -> Column:
     """Values from 0 to 1 are read as shares."""
     c = _c(c).cast("double")
     shown = F.when(c.between(0, 1), c * 100).otherwise(c)
-    return F.concat(F.format_string(f"%.{decimals}f", shown), F.lit("%"))
+    return F.concat(fixed(shown, decimals), F.lit("%"))
 
 
 def format_file_size(c) -> Column:
     size = _c(c).cast("double")
     units = ("B", "KB", "MB", "GB", "TB")
-    show = lambda power, unit: F.concat(
-        F.format_string("%.2f", size / F.lit(1024.0 ** power)), F.lit(f" {unit}")
-    )
+    show = lambda power, unit: F.concat(fixed(size / F.lit(1024.0 ** power)), F.lit(f" {unit}"))
     out = F
     for power, unit in enumerate(units):
         out = out.when(size < 1024.0 ** (power + 1), show(power, unit))

@@ -25,11 +25,15 @@ def strip(c) -> Column:
 
 
 def title_case(c) -> Column:
-    """Upper case after any non-letter, lower case elsewhere: O'Neil-Smith."""
+    """Upper case after any non-letter, lower case elsewhere: O'Neil-Smith.
+
+    A letter whose capital form has two letters gets only the first as capital.
+    """
     runs = F.regexp_extract_all(_c(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
+    rest = lambda w: F.lower(w.substr(F.lit(2), F.length(w)))
+    capital = lambda w: F.upper(F.substring(w, 1, 1))
     shaped = F.transform(
-        runs,
-        lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(w.substr(F.lit(2), F.length(w)))),
+        runs, lambda w: F.concat(F.substring(capital(w), 1, 1), rest(capital(w)), rest(w))
     )
     return F.array_join(shaped, "")
 

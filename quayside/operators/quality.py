@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from quayside.functions.numbers import fixed
 from quayside.functions.rules import REGIONS
 
 
@@ -83,7 +84,7 @@ def message_counts(checked: DataFrame) -> DataFrame:
 def _shown(df: DataFrame, c: str) -> Column:
     """Plain number text: whole for integers, two decimals otherwise."""
     whole = isinstance(df.schema[c].dataType, T.IntegralType)
-    return F.col(c).cast("string") if whole else F.format_string("%.2f", F.col(c).cast("double"))
+    return F.col(c).cast("string") if whole else fixed(c)
 
 
 def _grouped(df: DataFrame, columns: Sequence[str], value: Column) -> Column:
