@@ -1,2 +1,2 @@
-from quayside.queries import sets, dates, numbers, strings
+from quayside.queries import quality
 from quayside.queries.registry import ORACLES, QUERIES
