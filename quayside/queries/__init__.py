@@ -1,2 +1,2 @@
-from quayside.queries import quality
+from quayside.queries import cleaning
 from quayside.queries.registry import ORACLES, QUERIES
