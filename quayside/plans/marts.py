@@ -254,10 +254,16 @@ def cohort_retention(customers: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def affinity(fact: DataFrame, products: DataFrame, min_support: int = 3, top: int = 20) -> DataFrame:
-    """Products bought together in at least `min_support` orders, the `top` most frequent pairs."""
+    """Products bought together in at least `min_support` orders, the `top` most frequent pairs.
+
+    The rank of a pair counts the more frequent pairs of the same first item.
+    Those all come before it in the report, so the rank is taken over the
+    report's rows alone.
+    """
     pairs = frequent_pairs(fact, "order_id", "product_id", min_support)
-    ranked = with_rank(pairs, "-support", ["item_a"], rank="affinity_rank")
-    best = ranked.orderBy(F.col("support").desc(), "item_a", "item_b").limit(top)
+    best = pairs.orderBy(F.col("support").desc(), "item_a", "item_b").limit(top)
+    rank = F.rank().over(Window.partitionBy("item_a").orderBy(F.col("support").desc()))
+    best = best.withColumn("affinity_rank", rank.cast("bigint"))
     a = products.select(F.col("product_id").alias("item_a"), F.col("product_name").alias("product_a_name"))
     b = products.select(F.col("product_id").alias("item_b"), F.col("product_name").alias("product_b_name"))
     return best.join(a, "item_a").join(b, "item_b").select(
