@@ -9,6 +9,7 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 
 BLANK = r"[\s\p{Z}]"
 WORD = r"\p{L}\p{N}_"
+MARK = "\uE000 "
 
 
 def _c(c) -> Column:
@@ -27,15 +28,11 @@ def strip(c) -> Column:
 def title_case(c) -> Column:
     """Upper case after any non-letter, lower case elsewhere: O'Neil-Smith.
 
-    A letter whose capital form has two letters gets only the first as capital.
+    `initcap` starts words at blanks only, so a marked blank is put before each
+    letter that follows a non-letter, and taken out again.
     """
-    runs = F.regexp_extract_all(_c(c), F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
-    rest = lambda w: F.lower(w.substr(F.lit(2), F.length(w)))
-    capital = lambda w: F.upper(F.substring(w, 1, 1))
-    shaped = F.transform(
-        runs, lambda w: F.concat(F.substring(capital(w), 1, 1), rest(capital(w)), rest(w))
-    )
-    return F.array_join(shaped, "")
+    marked = F.regexp_replace(_c(c), r"(?<=[^\p{L}])(?=\p{L})", MARK)
+    return F.replace(F.initcap(marked), F.lit(MARK), F.lit(""))
 
 
 def words(c) -> Column:

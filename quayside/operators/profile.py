@@ -79,7 +79,10 @@ def row_key(df: DataFrame, keys: Sequence[str | Column]) -> Column:
     """The given columns as one grouping key: text shuffles as a 32-byte digest."""
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     named = [c.alias(f"k{i}") for i, c in enumerate(cols)]
-    if "string" not in dict(df.select(*named).dtypes).values():
+    types = [dtype for _, dtype in df.select(*named).dtypes]
+    if types == ["string"]:
+        return F.unhex(F.sha2(cols[0], 256))
+    if "string" not in types:
         return F.struct(*named)
     return F.unhex(F.sha2(F.to_json(F.struct(*named)), 256))
 

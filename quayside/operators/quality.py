@@ -210,8 +210,13 @@ def key_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
+def unmatched(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
+    """Rows without a partner. The other side is reduced to its distinct keys
+    first: they combine before the shuffle, so a hot key there weighs nothing."""
+    keys = other.select(F.col(other_column).alias("_other")).distinct()
+    return df.join(keys, F.col(column) == F.col("_other"), "left_anti")
+
+
 def foreign_key_violations(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-null key has no parent."""
-    return child.filter(F.col(column).isNotNull()).join(
-        parent, child[column] == parent[parent_column], "left_anti"
-    )
+    return unmatched(child.filter(F.col(column).isNotNull()), column, parent, parent_column)

@@ -89,17 +89,24 @@ def quantiles(
 
 
 def _narrow(base: DataFrame, targets: list[_Target], accuracy: int) -> None:
+    """One sketch per column and interval serves all the ranks in it."""
+    shared: dict[tuple, list[_Target]] = {}
+    for t in targets:
+        shared.setdefault((t.column, t.start, t.stop), []).append(t)
     aggs = []
-    for i, t in enumerate(targets):
-        # The sketch may be off by 1/accuracy of the rows either way; take twice that.
-        slack = 2.0 / accuracy
-        lo = max(0.0, (t.low - t.below) / t.inside - slack)
-        hi = min(1.0, (t.high - t.below + 1) / t.inside + slack)
-        kept = F.when(t.test(), F.col(t.column))
-        aggs.append(F.percentile_approx(kept, F.array(F.lit(lo), F.lit(hi)), F.lit(accuracy)).alias(f"t{i}"))
+    for i, group in enumerate(shared.values()):
+        probs = []
+        for t in group:
+            # The sketch may be off by 1/accuracy of the rows either way; take twice that.
+            slack = 2.0 / accuracy
+            probs.append(F.lit(max(0.0, (t.low - t.below) / t.inside - slack)))
+            probs.append(F.lit(min(1.0, (t.high - t.below + 1) / t.inside + slack)))
+        kept = F.when(group[0].test(), F.col(group[0].column))
+        aggs.append(F.percentile_approx(kept, F.array(*probs), F.lit(accuracy)).alias(f"g{i}"))
     row = base.agg(*aggs).first()
-    for i, t in enumerate(targets):
-        t.start, t.stop = row[f"t{i}"]
+    for i, group in enumerate(shared.values()):
+        for j, t in enumerate(group):
+            t.start, t.stop = row[f"g{i}"][2 * j], row[f"g{i}"][2 * j + 1]
 
 
 def _measure(base: DataFrame, targets: list[_Target]) -> list[int]:

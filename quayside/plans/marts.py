@@ -2,6 +2,8 @@
 
 Inputs are customers, products, orders and order items with the columns of
 `queries.commerce`; amounts are decimals, so sums do not depend on row order.
+Results that are ranked as a whole are first written to the shared folder: the
+ordered windows read them several times.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from quayside.functions import dates, numbers
 from quayside.functions.exact import round_half_up
 from quayside.operators.ordered import with_ntile, with_rank
 from quayside.operators.pairs import frequent_pairs
+from quayside.session import materialise
 
 # Score limits, best first.
 RECENCY_LIMITS = ((30, 5), (60, 4), (90, 3), (180, 2))
@@ -80,28 +83,16 @@ def dim_products(products: DataFrame, tiers=PRICE_TIERS) -> DataFrame:
 
 
 def revenue_by_month_category(fact: DataFrame, products: DataFrame) -> DataFrame:
-    """Summed per product and month before the join that brings the category.
-
-    An order counts once per category, so the distinct orders are kept apart
-    from the sums: (month, category, order) rows carry them.
-    """
-    names = products.select("product_id", "category_name")
-    lines = fact.groupBy("order_year", "order_month", "product_id").agg(
-        F.sum(F.col("quantity").cast("bigint")).alias("q"), F.sum("line_total").alias("r"),
-        F.sum("line_profit").alias("p"), F.count(F.lit(1)).alias("n"),
-    )
+    """One pass over the fact: the distinct orders are counted by first grouping
+    on (month, category, order), which spreads a hot month or category."""
     keys = ["order_year", "order_month", "category_name"]
-    sums = lines.join(names, "product_id").groupBy(*keys).agg(
-        F.sum("q").alias("units_sold"), F.sum("r").alias("revenue"), F.sum("p").alias("profit"), F.sum("n").alias("n")
-    )
-    orders = (
-        fact.select("order_year", "order_month", "product_id", "order_id").join(names, "product_id")
-        .groupBy(*keys).agg(F.count_distinct("order_id").alias("order_count"))
-    )
-    average = round_half_up(F.col("revenue").cast("double") / F.col("n"))
-    return sums.join(orders, keys).select(
-        *keys, "order_count", "units_sold", "revenue", "profit", average.alias("avg_order_line_value")
+    rows = fact.join(products.select("product_id", "category_name"), "product_id").groupBy(*keys).agg(
+        F.count_distinct("order_id").alias("order_count"),
+        F.sum(F.col("quantity").cast("bigint")).alias("units_sold"),
+        F.sum("line_total").alias("revenue"), F.sum("line_profit").alias("profit"), F.count(F.lit(1)).alias("_n"),
     )
+    average = round_half_up(F.col("revenue").cast("double") / F.col("_n"))
+    return rows.withColumn("avg_order_line_value", average).drop("_n")
 
 
 def customer_spend(orders: DataFrame) -> DataFrame:
@@ -124,6 +115,7 @@ def customer_summary(customers: DataFrame, orders: DataFrame, as_of: Column) ->
         "recency_score": recency_score(days),
         "frequency_score": frequency_score(F.col("total_orders")),
     })
+    rows = materialise(rows, "customer-summary")
     return with_ntile(rows, 5, ["-total_revenue", "customer_id"], name="monetary_score")
 
 
@@ -141,6 +133,7 @@ def rfm(customers: DataFrame, orders: DataFrame, as_of: Column) -> DataFrame:
         "recency_score": recency_score(days),
         "frequency_score": frequency_score(F.col("total_orders")),
     })
+    rows = materialise(rows, "customer-value")
     rows = with_ntile(rows, 5, ["-total_revenue", "customer_id"], name="monetary_score")
     score = F.col("recency_score") + F.col("frequency_score") + F.col("monetary_score")
     return rows.select(
@@ -152,8 +145,8 @@ def rfm(customers: DataFrame, orders: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def product_performance(products: DataFrame, items: DataFrame) -> DataFrame:
-    """Sales per product with overall and category ranks.
+def product_sales(products: DataFrame, items: DataFrame) -> DataFrame:
+    """Units, revenue, cost and profit per product.
 
     All lines count, whatever their order's status: in the result this follows,
     the status only restricts an outer join that adds no column.
@@ -166,14 +159,19 @@ def product_performance(products: DataFrame, items: DataFrame) -> DataFrame:
         F.count("discount_percent").alias("_n"),
     )
     margin = F.col("price") - F.col("cost")
-    rows = products.join(sales, "product_id", "left").withColumns({
+    return products.join(sales, "product_id", "left").withColumns({
         "total_orders": F.coalesce("total_orders", F.lit(0)),
         "profit_per_unit": margin,
         "profit_margin_pct": round_half_up(margin.cast("double") / F.col("price").cast("double") * 100),
         "total_cost": F.col("units_sold") * F.col("cost"),
         "avg_discount_pct": F.try_divide(F.col("_d").cast("double"), F.col("_n")),
     }).withColumn("total_profit", F.col("total_revenue") - F.col("total_cost")).drop("_d", "_n")
-    rows = with_rank(rows, "-total_revenue", rank="revenue_rank")
+
+
+def product_performance(products: DataFrame, items: DataFrame) -> DataFrame:
+    """Sales per product with overall and category ranks."""
+    rows = product_sales(products, items)
+    rows = with_rank(materialise(rows, "product-sales"), "-total_revenue", rank="revenue_rank")
     return with_rank(rows, "-total_revenue", ["category_name"], rank="category_rank")
 
 

@@ -7,6 +7,7 @@ from quayside.plans import features
 from quayside.plans.cleaning import clean
 from quayside.queries.registry import query
 from quayside.queries.sqltext import mean, total
+from quayside.session import materialise
 
 # Readings of failed events count as unknown.
 GAPS = "SELECT event_id, user_id, CASE WHEN event_type <> 'error' THEN value END AS v FROM events"
@@ -283,8 +284,9 @@ def e_feature_all(t):
         F.col("o_totalprice").alias("amount"), F.col("c_acctbal").alias("balance"), F.col("c_name").alias("name"),
         F.col("o_orderpriority").alias("priority"), F.col("c_mktsegment").alias("segment"),
     )
+    # Five of the steps read the joined rows, so they are written once.
     out = features.all_features(
-        rows, "o_custkey", "o_orderkey", "order_date", "amount", "balance", "name", "priority", "segment",
+        materialise(rows, "purchases"), "o_custkey", "o_orderkey", "order_date", "amount", "balance", "name", "priority", "segment",
         LABELS, ((0, 2500, 5000, 7500, 10000), ("Low", "Medium", "High", "Very High")), "99",
     )
     return out.withColumns({

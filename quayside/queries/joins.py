@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quayside.functions.exact import exact_sum, line_total
 from quayside.operators.ordered import back_to_rows
 from quayside.operators.pairs import every_combination, frequent_pairs
+from quayside.operators.quality import unmatched
 from quayside.queries.registry import query
 from quayside.queries.sqltext import LINE_TOTAL, mean
 
@@ -89,7 +90,7 @@ def j_left_chain(t):
 SELECT o_orderkey, o_custkey FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey WHERE l_orderkey IS NULL
 """)
 def j_anti(t):
-    return t.orders.join(t.lineitem, on("o_orderkey", "l_orderkey"), "left_anti").select("o_orderkey", "o_custkey")
+    return unmatched(t.orders, "o_orderkey", t.lineitem, "l_orderkey").select("o_orderkey", "o_custkey")
 
 
 @query("j_semi_above_avg", f"""

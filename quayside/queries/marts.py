@@ -163,7 +163,7 @@ WITH {PERFORMANCE} SELECT product_id, product_name, category_name, CAST(total_re
 ORDER BY total_profit DESC NULLS LAST, product_id LIMIT 10
 """)
 def t_top_products(t):
-    out = M.product_performance(C.products(t), C.order_items(t)).select(
+    out = M.product_sales(C.products(t), C.order_items(t)).select(
         "product_id", "product_name", "category_name", F.col("total_profit").cast("double").alias("total_profit")
     )
     return out.orderBy(F.col("total_profit").desc_nulls_last(), "product_id").limit(10)

@@ -138,10 +138,10 @@ def d_dq_suite(t):
     off = F.abs(F.col("o_totalprice").cast("decimal(12,2)") - F.col("s")) > F.lit("0.01").cast("decimal(3,2)")
     orders = t.orders
     return Q.issue_report({
-        "Orders without items": orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left_anti"),
+        "Orders without items": Q.unmatched(orders, "o_orderkey", t.lineitem, "l_orderkey"),
         "Products with negative prices": t.part.filter(F.col("p_retailprice") < 0),
         "Orders with incorrect totals": orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).filter(off),
-        "Customers with no orders": t.customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti"),
+        "Customers with no orders": Q.unmatched(t.customer, "c_custkey", orders, "o_custkey"),
         "Orders with future dates": orders.filter(F.col("o_orderdate") > F.lit("2001-07-31").cast("timestamp_ntz")),
     })
 
@@ -283,13 +283,12 @@ UNION ALL SELECT 'foreign key document label', (SELECT COUNT(*) FROM documents W
 UNION ALL SELECT 'not null order date', (SELECT COUNT(*) FROM orders WHERE o_orderdate IS NULL)
 """)
 def d_constraints(t):
-    labels = t.labels.select(F.col("doc_id").alias("labelled"))
     found = {
         "primary key orders": Q.key_violations(t.orders, ["o_orderkey"]),
         "unique order and line": Q.key_violations(t.lineitem, ["l_orderkey", "l_linenumber"]),
         "foreign key line to order": Q.foreign_key_violations(t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
         "foreign key order to customer": Q.foreign_key_violations(t.orders, "o_custkey", t.customer, "c_custkey"),
-        "foreign key document label": Q.foreign_key_violations(t.documents, "doc_id", labels, "labelled"),
+        "foreign key document label": Q.foreign_key_violations(t.documents, "doc_id", t.labels, "doc_id"),
         "not null order date": Q.not_null_violations(t.orders, "o_orderdate"),
     }
     return Q.issue_report(found).select(F.col("issue_type").alias("check_name"), F.col("issue_count").alias("violations"))

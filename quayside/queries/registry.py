@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quayside.session import tune
 from quayside.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +21,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"query {name} registered twice")
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
+            tune(spark)
             return fn(Tables(spark, folder))
 
         run.__name__ = name

@@ -8,6 +8,7 @@ from quayside.functions import numbers as N
 from quayside.functions.exact import exact_sum, line_total, round_half_up
 from quayside.operators import ordered as O, series as S
 from quayside.queries.registry import query
+from quayside.session import materialise
 from quayside.queries.sqltext import LINE_TOTAL, half_up, mean, money, total
 
 
@@ -33,13 +34,16 @@ def daily(t):
 
 
 def spend(t):
-    """Delivered spend per customer, summed before the join with the customer."""
+    """Delivered spend per customer, summed before the join with the customer.
+
+    Written once, as the ordered windows read their input several times."""
     per = delivered(t).groupBy("o_custkey").agg(
         exact_sum("o_totalprice").alias("total_spent"), F.count(F.lit(1)).alias("order_count")
     )
-    return per.join(t.customer, on("o_custkey", "c_custkey")).select(
+    rows = per.join(t.customer, on("o_custkey", "c_custkey")).select(
         "c_custkey", "c_name", "c_nationkey", "total_spent", "order_count"
     )
+    return materialise(rows, "spend")
 
 
 MONTHLY = f"""SELECT CAST(DATE_TRUNC('month', o_orderdate) AS DATE) AS month, SUM({money('o_totalprice')}) AS revenue
@@ -151,6 +155,7 @@ def w_rank_compare(t):
         F.sum(F.col("l_quantity").cast("bigint")).alias("units_sold"), F.sum(line_total()).cast("double").alias("revenue")
     )
     rows = per.join(t.part, on("l_partkey", "p_partkey")).select("p_partkey", "p_name", "units_sold", "revenue")
+    rows = materialise(rows, "units-sold")
     out = O.with_position(rows, ["-units_sold", "p_partkey"], name="row_num")
     return O.with_rank(out, "-units_sold", rank="rank", dense="dense_rank")
 

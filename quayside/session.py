@@ -7,6 +7,14 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Runtime settings the operators count on: hot keys of joins are split, also
+# where that costs a later step its partitioning.
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
 _LOCAL_DIRS: dict[str, str] = {}
 
 
@@ -18,9 +26,8 @@ def build_session(app: str = "quayside", master: str | None = None, **conf) -> S
     settings = {
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        **ADAPTIVE,
     }
     settings.update({k.replace("__", "."): str(v) for k, v in conf.items()})
     for k, v in settings.items():
@@ -28,6 +35,12 @@ def build_session(app: str = "quayside", master: str | None = None, **conf) -> S
     return b.getOrCreate()
 
 
+def tune(spark: SparkSession) -> None:
+    """Apply the runtime settings to a session built elsewhere."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: `spark.checkpoint.dir`.
 
