@@ -108,8 +108,13 @@ def attach(df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left"
     return out.drop(*[f"_on_{n}" for n in on])
 
 
+def _doubles(values: Sequence[float]) -> Column:
+    """A constant array, sent as one text instead of one literal per value."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
 def _quantiles(pos: Column, fan: int) -> Column:
-    probs = F.array(*[F.lit(i / fan) for i in range(1, fan)])
+    probs = _doubles([i / fan for i in range(1, fan)])
     return F.percentile_approx(pos, probs, F.lit(max(10000, 10 * fan)))
 
 
@@ -150,8 +155,7 @@ def _cut(df: DataFrame, pos: Column, on: list[str], cells: dict[tuple, list[floa
         rows = [(*cell, cuts) for cell, cuts in distinct.items()]
         df = attach(df, df.sparkSession.createDataFrame(rows, schema), on)
     else:
-        text = ",".join(map(repr, distinct[()]))
-        df = df.withColumn("_cuts", F.split(F.lit(text), ",").cast("array<double>"))
+        df = df.withColumn("_cuts", _doubles(distinct[()]))
     cuts, at = F.col("_cuts"), _below(F.col("_cuts"), pos, longest)
     own = F.coalesce((F.get(cuts, at) == pos).cast("int"), F.lit(0))
     sub = F.when(cuts.isNotNull(), (2 * at + own).cast("bigint"))
@@ -258,7 +262,7 @@ def with_position(
     """
     s = split(df, order, keys, min_rows)
     out = s.df.withColumn(name, F.row_number().over(s.window()).cast("bigint"))
-    if total:
+    if total and not (s.wide and not s.keys):
         out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*s.group)))
     if not s.wide:
         return out
@@ -271,7 +275,7 @@ def with_position(
     out = attach(out, offsets, s.group)
     out = out.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
     if total:
-        out = out.withColumn(total, F.coalesce("_all", F.col(total)))
+        out = out.withColumn(total, F.coalesce("_all", F.col(total)) if s.keys else F.col("_all"))
     return s.strip(out.drop("_before", "_all"))
 
 

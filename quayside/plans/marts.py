@@ -15,6 +15,7 @@ from quayside.functions.exact import round_half_up
 from quayside.operators.ordered import with_ntile, with_rank
 from quayside.operators.pairs import frequent_pairs
 from quayside.session import materialise
+from quayside.sources.catalog import publish
 
 # Score limits, best first.
 RECENCY_LIMITS = ((30, 5), (60, 4), (90, 3), (180, 2))
@@ -280,3 +281,32 @@ def high_value_customers(orders: DataFrame, customers: DataFrame, threshold: flo
     return spent.join(customers.select("customer_id", "customer_name"), "customer_id").orderBy(
         F.col("total_spent").desc(), "customer_id"
     )
+
+
+def publish_mart(
+    customers: DataFrame, products: DataFrame, orders: DataFrame, items: DataFrame, as_of: Column,
+    prefix: str = "mart", tiers=PRICE_TIERS,
+) -> dict[str, int]:
+    """Save the fact (by year and month), the dimensions and the summaries; name -> version.
+
+    The fact is published first and the later results read the saved tables,
+    so the order-line join runs once. Run it again to refresh: readers keep the
+    version they started on.
+    """
+    spark = orders.sparkSession
+    name = lambda table: f"{prefix}_{table}"
+    done = {}
+
+    def save(table: str, df: DataFrame, partition_by=()) -> DataFrame:
+        done[name(table)] = publish(df, name(table), partition_by)
+        return spark.table(name(table))
+
+    fact = save("fact_orders", fact_orders(orders, items, products), ("order_year", "order_month"))
+    people = save("dim_customers", dim_customers(customers, as_of))
+    goods = save("dim_products", dim_products(products, tiers))
+    save("customer_summary", customer_summary(people.select(*customers.columns), orders, as_of))
+    save("product_performance", product_performance(goods.select(*products.columns), items))
+    save("daily_revenue", daily_revenue(orders))
+    save("revenue_by_month_category", revenue_by_month_category(fact, goods))
+    save("cohort_activity", cohort_activity(fact, people))
+    return done
