@@ -180,8 +180,9 @@ class Split:
     def group(self) -> list[str]:
         return [*self.keys, PART] if self.wide else list(self.keys)
 
-    def window(self) -> WindowSpec:
-        return Window.partitionBy(*self.group).orderBy(*[o.column() for o in self.order])
+    def window(self, backwards: bool = False) -> WindowSpec:
+        order = [o.flipped() if backwards else o for o in self.order]
+        return Window.partitionBy(*self.group).orderBy(*[o.column() for o in order])
 
     def summary(self, *aggs: Column, df: DataFrame | None = None) -> DataFrame:
         """One row per part of the oversized groups: about 3 * fanout rows at most."""
@@ -441,13 +442,15 @@ def with_carry(
 ) -> DataFrame:
     """Last non-null value up to the row (`forward`), next non-null from it (`backward`)."""
     s = split(df, order, keys, min_rows)
-    ahead = s.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    back = s.window().rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # Looking ahead is looking back along the flipped order: a frame that ends
+    # at UNBOUNDED FOLLOWING is evaluated anew for every row.
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    ahead, back = s.window().rowsBetween(*so_far), s.window(backwards=True).rowsBetween(*so_far)
     col = lambda c: F.col(c) if isinstance(c, str) else c
     fwd = {n: col(c) for n, c in (forward or {}).items()}
     bwd = {n: col(c) for n, c in (backward or {}).items()}
     local = {n: F.last(c, ignorenulls=True).over(ahead) for n, c in fwd.items()}
-    local |= {n: F.first(c, ignorenulls=True).over(back) for n, c in bwd.items()}
+    local |= {n: F.last(c, ignorenulls=True).over(back) for n, c in bwd.items()}
     if not s.wide:
         return s.df.withColumns(local)
     if any(o.desc for o in s.order):
@@ -458,13 +461,12 @@ def with_carry(
     ])
     aggs = [F.max_by(c, F.when(c.isNotNull(), place)).alias(f"_e_{n}") for n, c in fwd.items()]
     aggs += [F.min_by(c, F.when(c.isNotNull(), place)).alias(f"_e_{n}") for n, c in bwd.items()]
-    along = s.along_parts()
-    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-    later = along.rowsBetween(1, Window.unboundedFollowing)
+    earlier = s.along_parts().rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*s.keys).orderBy(F.col(PART).desc()).rowsBetween(Window.unboundedPreceding, -1)
     edges = s.summary(*aggs).select(
         *s.group,
         *[F.last(f"_e_{n}", ignorenulls=True).over(earlier).alias(f"_c_{n}") for n in fwd],
-        *[F.first(f"_e_{n}", ignorenulls=True).over(later).alias(f"_c_{n}") for n in bwd],
+        *[F.last(f"_e_{n}", ignorenulls=True).over(later).alias(f"_c_{n}") for n in bwd],
     )
     out = attach(s.df.withColumns({f"_l_{n}": c for n, c in local.items()}), edges, s.group)
     names = [*fwd, *bwd]
