@@ -7,7 +7,7 @@ from quayside.functions.exact import line_total
 
 def registrations(t) -> DataFrame:
     """No registration date is stored: the first order stands in for it."""
-    return t.orders.groupBy(F.col("o_custkey").alias("_ck")).agg(
+    return t.orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         F.min("o_orderdate").cast("date").alias("registration_date")
     )
 
@@ -16,7 +16,7 @@ def customers(t) -> DataFrame:
     return (
         t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(registrations(t), F.col("c_custkey") == F.col("_ck"), "left")
+        .join(registrations(t).withColumnRenamed("customer_id", "_ck"), F.col("c_custkey") == F.col("_ck"), "left")
         .select(
             F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
             F.col("n_name").alias("city"), F.col("r_name").alias("state"),
@@ -35,10 +35,9 @@ def products(t) -> DataFrame:
 
 
 def orders(t) -> DataFrame:
-    status = F.when(F.col("o_orderstatus") == "F", "Delivered").otherwise(F.col("o_orderstatus"))
     return t.orders.select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"), status.alias("order_status"),
+        F.col("o_orderdate").cast("date").alias("order_date"), F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderpriority").alias("payment_method"),
         F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
     )

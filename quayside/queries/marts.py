@@ -30,7 +30,7 @@ def fact(t):
 
 @query("t_fact_orders", f"""
 WITH {FACT} SELECT order_id, customer_id, product_id, order_date, YEAR(order_date) AS order_year, QUARTER(order_date) AS order_quarter,
-  MONTH(order_date) AS order_month, DAYOFWEEK(order_date) AS order_day_of_week, 'Delivered' AS order_status, payment_method, quantity,
+  MONTH(order_date) AS order_month, DAYOFWEEK(order_date) AS order_day_of_week, 'F' AS order_status, payment_method, quantity,
   unit_price, discount_percent, CAST(line_total AS DOUBLE) AS line_total, CAST(unit_cost AS DOUBLE) AS unit_cost,
   CAST(line_cost AS DOUBLE) AS line_cost, CAST(line_profit AS DOUBLE) AS line_profit FROM fact
 """)
@@ -75,7 +75,7 @@ SELECT cohort_month, order_month, COUNT(DISTINCT customer_id) AS active_customer
   CAST({age_months('order_month', 'cohort_month')} % 12 AS BIGINT) AS months_since_cohort FROM c GROUP BY cohort_month, order_month
 """)
 def t_cohort_mart(t):
-    return C.as_doubles(M.cohort_activity(fact(t), C.customers(t)))
+    return C.as_doubles(M.cohort_activity(fact(t), C.registrations(t)))
 
 
 @query("t_affinity", f"""
@@ -102,7 +102,7 @@ SELECT m.cohort_month, CAST({age_months('order_month', 'm.cohort_month')} AS BIG
 FROM m JOIN z ON m.cohort_month = z.cohort_month
 """)
 def t_cohort_retention(t):
-    return C.as_doubles(M.cohort_retention(C.customers(t), C.orders(t)))
+    return C.as_doubles(M.cohort_retention(C.registrations(t), C.orders(t)))
 
 
 RECENCY = "CASE WHEN days <= 30 THEN 5 WHEN days <= 60 THEN 4 WHEN days <= 90 THEN 3 WHEN days <= 180 THEN 2 ELSE 1 END"

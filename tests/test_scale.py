@@ -96,3 +96,9 @@ def test_no_cross_joins(spark, name):
         pytest.skip("runs its own jobs")
     text = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("name", ["t_fact_orders", "t_daily_revenue", "t_cohort_retention"])
+def test_marts_push_the_status_down(spark, name):
+    text = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "In(o_orderstatus, [Delivered,F])" in text
