@@ -195,6 +195,9 @@ class Split:
     def strip(self, df: DataFrame) -> DataFrame:
         return df.drop(PART, WIDE, _SALT, _HALO)
 
+    def plain(self) -> DataFrame:
+        return self.strip(self.df)
+
 
 def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_ROWS) -> Split:
     """Cut the oversized groups of `keys` (or the whole table) into ordered parts."""
@@ -253,31 +256,35 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
     return Split(out, keys, order, True)
 
 
-def with_position(
-    df: DataFrame, order, keys: Sequence[str] = (), name: str = "row_number",
-    total: str | None = None, min_rows: int = MIN_ROWS,
-) -> DataFrame:
-    """ROW_NUMBER, and the group's row count when `total` names a column.
-
-    `order` should end in a unique column, or equal rows are numbered freely.
-    """
-    s = split(df, order, keys, min_rows)
+def number_rows(s: Split, name: str, total: str | None = None) -> Split:
+    """Adds ROW_NUMBER, and the group's row count when `total` names a column."""
     out = s.df.withColumn(name, F.row_number().over(s.window()).cast("bigint"))
     if total and not (s.wide and not s.keys):
         out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*s.group)))
     if not s.wide:
-        return out
-    along = s.along_parts()
+        return replace(s, df=out)
+    before = s.along_parts().rowsBetween(Window.unboundedPreceding, -1)
     offsets = s.summary(F.count(F.lit(1)).alias("_n")).select(
         *s.group,
-        F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.sum("_n").over(Window.partitionBy(*s.keys)).alias("_all"),
     )
     out = attach(out, offsets, s.group)
     out = out.withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0)))
     if total:
         out = out.withColumn(total, F.coalesce("_all", F.col(total)) if s.keys else F.col("_all"))
-    return s.strip(out.drop("_before", "_all"))
+    return replace(s, df=out.drop("_before", "_all"))
+
+
+def with_position(
+    df: DataFrame, order, keys: Sequence[str] = (), name: str = "row_number",
+    total: str | None = None, min_rows: int = MIN_ROWS,
+) -> DataFrame:
+    """ROW_NUMBER, and the group's row count when `total` names a column.
+
+    `order` should end in a unique column, or equal rows are numbered freely.
+    """
+    return number_rows(split(df, order, keys, min_rows), name, total).plain()
 
 
 def with_ntile(
@@ -435,13 +442,10 @@ def with_neighbours(
     return s.strip(out)
 
 
-def with_carry(
-    df: DataFrame, order, forward: dict[str, Column | str] | None = None,
-    backward: dict[str, Column | str] | None = None, keys: Sequence[str] = (),
-    min_rows: int = MIN_ROWS,
-) -> DataFrame:
-    """Last non-null value up to the row (`forward`), next non-null from it (`backward`)."""
-    s = split(df, order, keys, min_rows)
+def carry(
+    s: Split, forward: dict[str, Column | str] | None = None, backward: dict[str, Column | str] | None = None,
+) -> Split:
+    """Adds the last non-null value up to the row (`forward`) and the next one from it (`backward`)."""
     # Looking ahead is looking back along the flipped order: a frame that ends
     # at UNBOUNDED FOLLOWING is evaluated anew for every row.
     so_far = (Window.unboundedPreceding, Window.currentRow)
@@ -452,9 +456,9 @@ def with_carry(
     local = {n: F.last(c, ignorenulls=True).over(ahead) for n, c in fwd.items()}
     local |= {n: F.last(c, ignorenulls=True).over(back) for n, c in bwd.items()}
     if not s.wide:
-        return s.df.withColumns(local)
+        return replace(s, df=s.df.withColumns(local))
     if any(o.desc for o in s.order):
-        raise ValueError("with_carry needs ascending order columns")
+        raise ValueError("carry needs ascending order columns")
     place = F.struct(*[
         c for o in s.order
         for c in (F.isnotnull(o.name) if o._nulls_lead else F.isnull(o.name), F.col(o.name))
@@ -471,7 +475,16 @@ def with_carry(
     out = attach(s.df.withColumns({f"_l_{n}": c for n, c in local.items()}), edges, s.group)
     names = [*fwd, *bwd]
     out = out.withColumns({n: F.coalesce(f"_l_{n}", f"_c_{n}") for n in names})
-    return s.strip(out.drop(*[f"_{x}_{n}" for n in names for x in "lc"]))
+    return replace(s, df=out.drop(*[f"_{x}_{n}" for n in names for x in "lc"]))
+
+
+def with_carry(
+    df: DataFrame, order, forward: dict[str, Column | str] | None = None,
+    backward: dict[str, Column | str] | None = None, keys: Sequence[str] = (),
+    min_rows: int = MIN_ROWS,
+) -> DataFrame:
+    """Last non-null value up to the row (`forward`), next non-null from it (`backward`)."""
+    return carry(split(df, order, keys, min_rows), forward, backward).plain()
 
 
 def back_to_rows(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:

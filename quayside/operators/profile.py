@@ -96,27 +96,30 @@ def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
-def quality_profile(df: DataFrame) -> DataFrame:
+def quality_profile(df: DataFrame, per_column: bool = False) -> DataFrame:
     """Rows, columns, missing cells with percentage, duplicate rows; one pass over the rows.
 
     Copies are counted before the shuffle, and the null cells are summed per
-    distinct row on the way.
+    distinct row on the way. `per_column` adds `missing__<column>` counts.
     """
-    width = len(df.columns)
-    nulls = sum((F.col(c).isNull().cast("bigint") for c in df.columns), F.lit(0).cast("bigint"))
-    groups = df.groupBy(row_key(df, df.columns).alias("_key")).agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(nulls).alias("_nulls")
+    names = df.columns
+    is_null = {f"missing__{c}": F.col(c).isNull().cast("bigint") for c in names}
+    if not per_column:
+        is_null = {"_nulls": sum(is_null.values(), F.lit(0).cast("bigint"))}
+    groups = df.groupBy(row_key(df, names).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(x).alias(n) for n, x in is_null.items()]
     )
     out = groups.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum("_nulls"), F.lit(0)).alias("missing_values"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in is_null],
     )
-    cells = F.col("total_rows") * width
+    missing = sum((F.col(n) for n in is_null), F.lit(0).cast("bigint"))
     return out.select(
         "total_rows",
-        F.lit(width).cast("bigint").alias("total_columns"),
-        "missing_values",
-        F.try_divide(F.col("missing_values") * F.lit(100.0), cells).alias("missing_percentage"),
+        F.lit(len(names)).cast("bigint").alias("total_columns"),
+        missing.alias("missing_values"),
+        F.try_divide(missing * F.lit(100.0), F.col("total_rows") * len(names)).alias("missing_percentage"),
         "duplicate_rows",
+        *(is_null if per_column else ()),
     )

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quayside.operators.ordered import MIN_ROWS, as_order, with_carry, with_neighbours, with_position
+from quayside.operators.ordered import MIN_ROWS, as_order, carry, number_rows, split, with_carry, with_neighbours
+from quayside.session import materialise
 
 
 def ffill_bfill(df: DataFrame, order, columns: Sequence[str], keys: Sequence[str] = (),
@@ -21,10 +23,9 @@ def ffill_bfill(df: DataFrame, order, columns: Sequence[str], keys: Sequence[str
 def interpolate_linear(df: DataFrame, order, column: str, name: str, keys: Sequence[str] = (),
                        min_rows: int = MIN_ROWS) -> DataFrame:
     """Straight line by row position; a leading gap stays null, a trailing one repeats the last value."""
-    out = with_position(df, order, keys, "_at", min_rows=min_rows)
+    s = number_rows(split(df, order, keys, min_rows), "_at")
     known = F.when(F.col(column).isNotNull(), F.struct(F.col("_at").alias("at"), F.col(column).cast("double").alias("v")))
-    out = out.withColumn("_known", known)
-    out = with_carry(out, order, {"_p": "_known"}, {"_n": "_known"}, keys, min_rows)
+    s = carry(replace(s, df=s.df.withColumn("_known", known)), {"_p": "_known"}, {"_n": "_known"})
     step = (F.col("_n.v") - F.col("_p.v")) / (F.col("_n.at") - F.col("_p.at")).cast("double")
     line = F.col("_p.v") + step * (F.col("_at") - F.col("_p.at"))
     value = (
@@ -33,7 +34,7 @@ def interpolate_linear(df: DataFrame, order, column: str, name: str, keys: Seque
         .when(F.col("_n").isNull(), F.col("_p.v"))
         .otherwise(line)
     )
-    return out.withColumn(name, value).drop("_at", "_known", "_p", "_n")
+    return s.plain().withColumn(name, value).drop("_at", "_known", "_p", "_n")
 
 
 def interpolate_quadratic(df: DataFrame, order, column: str, name: str, keys: Sequence[str] = (),
@@ -45,7 +46,8 @@ def interpolate_quadratic(df: DataFrame, order, column: str, name: str, keys: Se
     fitted to the whole series. Outside the known points, and with fewer than
     three of them, the gap stays null.
     """
-    out = with_position(df, order, keys, "_at", min_rows=min_rows)
+    # Numbered once and written: known points, gaps and both ordered passes read it.
+    out = materialise(number_rows(split(df, order, keys, min_rows), "_at").plain(), "numbered")
     point = F.struct(F.col("_at").alias("at"), F.col(column).cast("double").alias("v"))
     known = out.filter(F.col(column).isNotNull()).withColumn("_pt", point)
     # Each known point learns its neighbours among the known points.
@@ -76,23 +78,32 @@ def interpolate_quadratic(df: DataFrame, order, column: str, name: str, keys: Se
     return both.withColumn(name, value).drop("_at", "_tri", "_l", "_r")
 
 
-def moving_average(df: DataFrame, order, column: str, window: int, name: str,
-                   keys: Sequence[str] = (), full_only: bool = False,
-                   min_rows: int = MIN_ROWS) -> DataFrame:
-    """Mean of the row and the `window` - 1 before it; `full_only` drops shorter windows."""
+def moving_averages(df: DataFrame, order, column: str, windows: dict[str, int], keys: Sequence[str] = (),
+                    full_only: bool = False, min_rows: int = MIN_ROWS) -> DataFrame:
+    """name -> mean of the row and the size - 1 rows before it; `full_only` drops
+    rows whose longest window is not yet full."""
+    longest = max(windows.values())
 
     def columns(w):
-        frame = w.rowsBetween(-(window - 1), Window.currentRow)
-        total = F.sum(F.col(column).cast("decimal(18,4)")).over(frame).cast("double")
-        return {
-            name: F.try_divide(total, F.count(column).over(frame)),
-            "_rows": F.count(F.lit(1)).over(frame),
-        }
+        def mean(size: int):
+            frame = w.rowsBetween(-(size - 1), Window.currentRow)
+            total = F.sum(F.col(column).cast("decimal(18,4)")).over(frame).cast("double")
+            return F.try_divide(total, F.count(column).over(frame))
+
+        new = {name: mean(size) for name, size in windows.items()}
+        if full_only:
+            new["_rows"] = F.count(F.lit(1)).over(w.rowsBetween(-(longest - 1), Window.currentRow))
+        return new
 
-    out = with_neighbours(df, order, columns, keys, before=window - 1, min_rows=min_rows)
-    if full_only:
-        out = out.filter(F.col("_rows") == window)
-    return out.drop("_rows")
+    out = with_neighbours(df, order, columns, keys, before=longest - 1, min_rows=min_rows)
+    return out.filter(F.col("_rows") == longest).drop("_rows") if full_only else out
+
+
+def moving_average(df: DataFrame, order, column: str, window: int, name: str,
+                   keys: Sequence[str] = (), full_only: bool = False,
+                   min_rows: int = MIN_ROWS) -> DataFrame:
+    """One moving average; see `moving_averages`."""
+    return moving_averages(df, order, column, {name: window}, keys, full_only, min_rows)
 
 
 def lag_features(df: DataFrame, keys: Sequence[str], time: str, order, value: str,

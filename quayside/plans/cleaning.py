@@ -68,20 +68,19 @@ def clean(df: DataFrame, row_key: str, config: CleaningConfig | None = None) ->
     """Returns the cleaned table and the report. `row_key` is unique and gives the row order."""
     config, report = config or CleaningConfig(), CleaningReport()
     data = [c for c in df.columns if c != row_key]
-    start = quality_profile(df.select(*data)).first().asDict()
+    found = quality_profile(df.select(*data), per_column=True).first().asDict()
+    nulls = {c: found[f"missing__{c}"] for c in data}
+    start = {k: v for k, v in found.items() if not k.startswith("missing__")}
     report.add("analyze_quality", **start)
 
     strategies = {c: config.numeric_strategy for c in numeric_columns(df) if c != row_key}
     strategies |= {c: config.text_strategy for c in text_columns(df) if c != row_key}
-    counts = df.agg(*[F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(c) for c in strategies]).first()
-    learnt = learn_fill(df, {c: s for c, s in strategies.items() if counts[c]})
-    filled = fill(df, learnt)
-    after = sum(counts[c] for c, v in learnt.items() if v is None)
-    before = start["missing_values"]
-    report.add("handle_missing", before=before, after=before - sum(counts[c] for c in learnt) + after,
-               filled=sum(counts[c] for c in learnt) - after)
-
-    unique = materialise(keep_one(filled, config.dedup_subset or data, row_key, config.keep), "cleaning")
+    learnt = learn_fill(df, {c: s for c, s in strategies.items() if nulls[c]})
+    table = fill(df, learnt)
+    before, filled = start["missing_values"], sum(nulls[c] for c, v in learnt.items() if v is not None)
+    report.add("handle_missing", before=before, after=before - filled, filled=filled)
+
+    unique = materialise(keep_one(table, config.dedup_subset or data, row_key, config.keep), "cleaning")
     numbers = [c for c in numeric_columns(unique) if c != row_key]
     bounds = iqr_bounds(unique, numbers, config.outlier_width)
     row = unique.agg(
@@ -95,8 +94,8 @@ def clean(df: DataFrame, row_key: str, config: CleaningConfig | None = None) ->
     capped = cap_outliers(unique, {c: bounds[c] for c in hit})
     report.add("handle_outliers", **hit)
 
-    tidy, found = clean_text_columns(capped, config)
-    report.add("clean_text", **{f"{k}_cols": v for k, v in found.items()})
+    tidy, texts = clean_text_columns(capped, config)
+    report.add("clean_text", **{f"{k}_cols": v for k, v in texts.items()})
 
     slim = narrow(tidy)
     changed = {c: t for c, t in slim.dtypes if dict(tidy.dtypes)[c] != t}

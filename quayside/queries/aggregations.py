@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import numbers as N
 from quayside.functions.exact import exact_mean, exact_sum, line_total, round_half_up
-from quayside.operators.profile import numeric_profile, quantile_table
+from quayside.operators.profile import frequencies, numeric_profile, quantile_table
 from quayside.queries.registry import query
 from quayside.queries.sqltext import LINE_TOTAL, half_up, mean, money, total
 
@@ -265,3 +265,16 @@ ORDER BY total_spent DESC, o_custkey LIMIT 3
 def o_top_customers(t):
     spent = t.orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("total_spent"))
     return spent.orderBy(F.col("total_spent").desc(), "o_custkey").limit(3)
+
+
+@query("a_frequency", """
+SELECT l_returnflag, COUNT(*) AS n, COUNT(*) / CAST((SELECT COUNT(*) FROM lineitem) AS DOUBLE) AS share FROM lineitem GROUP BY l_returnflag
+""")
+def a_frequency(t):
+    return frequencies(t.lineitem, "l_returnflag")
+
+
+@query("o_limit", "SELECT COUNT(*) AS n FROM (SELECT * FROM customer LIMIT 5)")
+def o_limit(t):
+    """Which rows a bare limit returns is open, so only their number is compared."""
+    return t.customer.limit(5).agg(n_rows("n"))

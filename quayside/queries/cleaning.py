@@ -217,38 +217,67 @@ def e_interactions(t):
     return out.drop("p_brand", "p_type", "p_size", "p_retailprice")
 
 
-@query("e_clean_all", """
-WITH raw AS (SELECT event_id, user_id, ' ' || UPPER(event_type) || ' ' AS visit_name,
+RAW = """raw AS (SELECT event_id, user_id, ' ' || UPPER(event_type) || ' ' AS visit_name,
     CASE WHEN event_type <> 'signup' THEN ' U' || user_id || '@X.COM' END AS email, '+91 ' || (9000000000 + user_id) AS phone,
-    CASE WHEN event_type <> 'error' THEN FLOOR(value / 10) * 10 END AS amount FROM events),
-fill AS (SELECT event_id, user_id, visit_name, COALESCE(email, (SELECT email FROM raw WHERE email IS NOT NULL GROUP BY email ORDER BY COUNT(*) DESC, email LIMIT 1)) AS email,
+    CASE WHEN event_type <> 'error' THEN FLOOR(value / 10) * 10 END AS amount FROM events)"""
+FILLED = """fill AS (SELECT event_id, user_id, visit_name, COALESCE(email, (SELECT email FROM raw WHERE email IS NOT NULL GROUP BY email ORDER BY COUNT(*) DESC, email LIMIT 1)) AS email,
     phone, COALESCE(amount, (SELECT QUANTILE_CONT(amount, 0.5) FROM raw)) AS amount FROM raw),
-uniq AS (SELECT * FROM fill QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, visit_name, email, phone, amount ORDER BY event_id) = 1),
-q AS (SELECT QUANTILE_CONT(amount, 0.25) AS a1, QUANTILE_CONT(amount, 0.75) AS a3, QUANTILE_CONT(user_id, 0.25) AS u1, QUANTILE_CONT(user_id, 0.75) AS u3 FROM uniq)
-SELECT event_id, CAST(LEAST(GREATEST(user_id, u1 - 1.5 * (u3 - u1)), u3 + 1.5 * (u3 - u1)) AS DOUBLE) AS user_id,
-  UPPER(TRIM(visit_name)[1]) || LOWER(TRIM(visit_name)[2:]) AS visit_name, LOWER(TRIM(email)) AS email,
-  REGEXP_REPLACE(phone, '\\D', '', 'g') AS phone, LEAST(GREATEST(amount, a1 - 1.5 * (a3 - a1)), a3 + 1.5 * (a3 - a1)) AS amount
-FROM uniq, q
-""")
-def e_clean_all(t):
-    """The cleaning run on visits with gaps, repeats, outliers and messy text.
+uniq AS (SELECT * FROM fill QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id, visit_name, email, phone, amount ORDER BY event_id) = 1)"""
+
 
-    The column types found by the last step depend on the data, so numbers are
-    compared as doubles."""
+def visits(t):
+    """Visits with gaps, repeats, outliers and messy text."""
     kind, user = F.col("event_type"), F.col("user_id")
-    raw = t.events.select(
+    return t.events.select(
         "event_id", "user_id", F.concat(F.lit(" "), F.upper(kind), F.lit(" ")).alias("visit_name"),
         F.when(kind != "signup", F.concat(F.lit(" U"), user.cast("string"), F.lit("@X.COM"))).alias("email"),
         F.concat(F.lit("+91 "), (F.lit(9000000000) + user).cast("string")).alias("phone"),
         F.when(kind != "error", F.floor(F.col("value") / 10).cast("double") * 10).alias("amount"),
     )
-    cleaned, _ = clean(raw, "event_id")
+
+
+@query("e_clean_all", f"""
+WITH {RAW}, {FILLED},
+q AS (SELECT QUANTILE_CONT(amount, 0.25) AS a1, QUANTILE_CONT(amount, 0.75) AS a3, QUANTILE_CONT(user_id, 0.25) AS u1, QUANTILE_CONT(user_id, 0.75) AS u3 FROM uniq)
+SELECT event_id, CAST(LEAST(GREATEST(user_id, u1 - 1.5 * (u3 - u1)), u3 + 1.5 * (u3 - u1)) AS DOUBLE) AS user_id,
+  UPPER(TRIM(visit_name)[1]) || LOWER(TRIM(visit_name)[2:]) AS visit_name, LOWER(TRIM(email)) AS email,
+  REGEXP_REPLACE(phone, '\\D', '', 'g') AS phone, LEAST(GREATEST(amount, a1 - 1.5 * (a3 - a1)), a3 + 1.5 * (a3 - a1)) AS amount
+FROM uniq, q
+""")
+def e_clean_all(t):
+    """The column types found by the last step depend on the data, so numbers
+    are compared as doubles."""
+    cleaned, _ = clean(visits(t), "event_id")
     return cleaned.withColumns({
         "event_id": F.col("event_id").cast("bigint"), "user_id": F.col("user_id").cast("double"),
         "amount": F.col("amount").cast("double"),
     })
 
 
+@query("d_clean_report", f"""
+WITH {RAW}, {FILLED}, n AS (SELECT COUNT(*) AS total, COUNT(*) FILTER (email IS NULL) + COUNT(*) FILTER (amount IS NULL) AS missing FROM raw)
+SELECT 'analyze_quality' AS step, 'total_rows' AS figure, total AS value FROM n UNION ALL SELECT 'analyze_quality', 'missing_values', missing FROM n
+UNION ALL SELECT 'handle_missing', 'filled', missing FROM n UNION ALL SELECT 'handle_missing', 'after', 0
+UNION ALL SELECT 'remove_duplicates', 'after', COUNT(*) FROM uniq UNION ALL SELECT 'remove_duplicates', 'removed', total - (SELECT COUNT(*) FROM uniq) FROM n
+""")
+def d_clean_report(t):
+    """Figures of the cleaning run's report."""
+    _, report = clean(visits(t), "event_id")
+    wanted = {"analyze_quality": ("total_rows", "missing_values"), "handle_missing": ("filled", "after"), "remove_duplicates": ("after", "removed")}
+    rows = [(step, f, figures[f]) for step, figures in report.steps for f in wanted.get(step, ())]
+    return t.spark.createDataFrame(rows, "step string, figure string, value long")
+
+
+@query("m_drop_columns", "SELECT event_id, CASE WHEN event_type <> 'error' THEN value END AS v FROM events")
+def m_drop_columns(t):
+    """Values known for one event type in five fall under the threshold; the other column stays."""
+    kind, value = F.col("event_type"), F.col("value")
+    rows = t.events.select(
+        "event_id", F.when(kind != "error", value).alias("v"), F.when(kind == "click", value).alias("rare")
+    )
+    return M.drop_sparse_columns(rows, 0.5)
+
+
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 

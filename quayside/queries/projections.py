@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import numbers as N
 from quayside.functions.exact import line_total
+from quayside.operators.columns import columns_like, numeric_columns
 from quayside.queries.registry import query
 
 
@@ -162,3 +163,13 @@ def p_safe_div(t):
         N.safe_divide("l_extendedprice", "l_discount").alias("price_per_discount"),
         N.safe_divide("l_quantity", "l_tax").alias("quantity_per_tax"),
     )
+
+
+@query("p_numeric_columns", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")
+def p_numeric_columns(t):
+    return t.customer.select(*numeric_columns(t.customer))
+
+
+@query("p_columns_like", "SELECT c_name FROM customer")
+def p_columns_like(t):
+    return t.customer.select(*columns_like(t.customer, "NAME"))

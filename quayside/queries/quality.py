@@ -6,9 +6,11 @@ from quayside.functions import rules
 from quayside.functions.exact import line_total
 from quayside.operators import profile, quality as Q
 from quayside.plans import records as R
+from quayside.plans.quarantine import write_quarantine
 from quayside.queries.registry import query
 from quayside.queries.sqltext import LINE_TOTAL
 from quayside.queries.strings import EMAIL, EMAIL_RE, PHONE, email_text, phone_text
+from quayside.session import scratch_path
 
 # Order lines seen as sales records, with the flaws real records have.
 SALES = """SELECT l_orderkey, l_linenumber, NULLIF(p_name, 'small ring') AS product, l_extendedprice AS price,
@@ -292,3 +294,16 @@ def d_constraints(t):
         "not null order date": Q.not_null_violations(t.orders, "o_orderdate"),
     }
     return Q.issue_report(found).select(F.col("issue_type").alias("check_name"), F.col("issue_count").alias("violations"))
+
+
+@query("d_quarantine", f"""
+WITH {CHECKED} SELECT LEN(errors) = 0 AS is_valid, COUNT(*) AS n, CAST(SUM(LEN(errors)) AS BIGINT) AS errors FROM c GROUP BY 1
+""")
+def d_quarantine(t):
+    """All records written once, split by validity, and read back."""
+    path = scratch_path(t.spark, "quarantine")
+    write_quarantine(checked(t), path, "run1", "l_orderkey")
+    saved = t.spark.read.parquet(f"{path}/run_id=run1/records")
+    return saved.groupBy(F.col("is_valid").cast("boolean").alias("is_valid")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size("errors").cast("bigint")).alias("errors")
+    )

@@ -183,8 +183,7 @@ SELECT order_date, CAST(daily_revenue AS DOUBLE) AS daily_revenue, m7 AS moving_
 FROM m
 """)
 def w_moving_avg(t):
-    out = S.moving_average(daily(t), "order_date", "daily_revenue", 7, "moving_avg_7day")
-    out = S.moving_average(out, "order_date", "daily_revenue", 30, "moving_avg_30day")
+    out = S.moving_averages(materialise(daily(t), "daily"), "order_date", "daily_revenue", {"moving_avg_7day": 7, "moving_avg_30day": 30})
     day = F.col("daily_revenue").cast("double")
     return out.select(
         "order_date", day.alias("daily_revenue"), "moving_avg_7day", "moving_avg_30day",
@@ -298,7 +297,7 @@ WITH d AS ({DAILY}), m AS (SELECT order_date, CAST(SUM(daily_revenue) OVER w AS
 SELECT order_date, moving_avg FROM m WHERE n = 5
 """)
 def w_full_moving_avg(t):
-    out = S.moving_average(daily(t), "order_date", "daily_revenue", 5, "moving_avg", full_only=True)
+    out = S.moving_average(materialise(daily(t), "daily"), "order_date", "daily_revenue", 5, "moving_avg", full_only=True)
     return out.select("order_date", "moving_avg")
 
 
@@ -344,3 +343,20 @@ FROM p
 """)
 def w_interp_linear(t):
     return S.interpolate_linear(gaps(t), ["ts", "event_id"], "v", "v_linear").select("event_id", "v_linear")
+
+
+@query("w_interp_quadratic", f"""
+WITH e AS ({GAPS}), n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY ts, event_id) AS rn FROM e),
+k AS (SELECT rn, v, LAG(rn) OVER w AS brn, LAG(v) OVER w AS bv, LEAD(rn) OVER w AS arn, LEAD(v) OVER w AS av FROM n WHERE v IS NOT NULL WINDOW w AS (ORDER BY rn)),
+p AS (SELECT *, LAST_VALUE(CASE WHEN v IS NOT NULL THEN rn END IGNORE NULLS) OVER (ORDER BY rn ROWS UNBOUNDED PRECEDING) AS ln,
+  FIRST_VALUE(CASE WHEN v IS NOT NULL THEN rn END IGNORE NULLS) OVER (ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS hn FROM n),
+t AS (SELECT p.event_id, p.v, CAST(p.rn AS DOUBLE) AS x, l.rn AS x1, l.v AS y1, h.rn AS x2, h.v AS y2,
+  CASE WHEN l.brn IS NOT NULL AND (h.arn IS NULL OR p.rn - l.brn <= h.arn - p.rn) THEN l.brn ELSE h.arn END AS x3,
+  CASE WHEN l.brn IS NOT NULL AND (h.arn IS NULL OR p.rn - l.brn <= h.arn - p.rn) THEN l.bv ELSE h.av END AS y3
+  FROM p LEFT JOIN k l ON p.ln = l.rn LEFT JOIN k h ON p.hn = h.rn)
+SELECT event_id, ROUND(CASE WHEN v IS NOT NULL THEN v ELSE y1 * (x - x2) * (x - x3) / ((x1 - x2) * (x1 - x3))
+  + y2 * (x - x1) * (x - x3) / ((x2 - x1) * (x2 - x3)) + y3 * (x - x1) * (x - x2) / ((x3 - x1) * (x3 - x2)) END, 6) AS v_quadratic FROM t
+""")
+def w_interp_quadratic(t):
+    out = S.interpolate_quadratic(gaps(t), ["ts", "event_id"], "v", "v_quadratic")
+    return out.select("event_id", F.round("v_quadratic", 6).alias("v_quadratic"))
