@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.window import WindowSpec
 
 MIN_ROWS = 1000
+STRING_CHUNKS = 5
 PART = "_part"
 WIDE = "_wide"
 _SALT = "_salt"
@@ -60,23 +61,35 @@ class By:
     def flipped(self) -> By:
         return replace(self, desc=not self.desc, nulls_first=not self._nulls_lead)
 
-    def position(self, schema: T.StructType) -> Column:
-        """A double that never decreases along the order."""
+    def positions(self, schema: T.StructType) -> list[tuple[Column, float]]:
+        """Doubles that, compared one after the other, never decrease along the order.
+
+        Each comes with a factor: while the largest |position| times the factor
+        stays below 2**53, different values have different positions.
+        """
         dtype = schema[self.name].dataType
-        c = F.col(self.name)
+        c, factor = F.col(self.name), 1.0
         if isinstance(dtype, T.DateType):
-            x = F.unix_date(c).cast("double")
+            found = [F.unix_date(c)]
         elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            x = F.unix_micros(c.cast("timestamp")).cast("double")
+            found = [F.unix_micros(c.cast("timestamp"))]
         elif isinstance(dtype, T.StringType):
-            lead = F.substring(F.rpad(F.hex(F.encode(c, "UTF-8")), 12, "0"), 1, 12)
-            x = F.conv(lead, 16, 10).cast("double")
+            # Six bytes at a time; what comes after the last chunk is not told apart.
+            code = F.rpad(F.hex(F.encode(c, "UTF-8")), 12 * STRING_CHUNKS, "0")
+            found = [F.conv(F.substring(code, 12 * i + 1, 12), 16, 10) for i in range(STRING_CHUNKS)]
+        elif isinstance(dtype, T.DecimalType):
+            found, factor = [c], 10.0 ** dtype.scale
+        elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+            found, factor = [c], 0.0
         elif isinstance(dtype, (T.NumericType, T.BooleanType)):
-            x = c.cast("double")
+            found = [c]
         else:
             raise TypeError(f"cannot order by {self.name}: {dtype.simpleString()}")
-        x = -x if self.desc else x
-        return F.coalesce(x, F.lit(float("-inf") if self._nulls_lead else float("inf")))
+        edge = F.lit(float("-inf") if self._nulls_lead else float("inf"))
+        out = [F.coalesce(-x.cast("double") if self.desc else x.cast("double"), edge) for x in found]
+        if isinstance(dtype, T.StringType):
+            return [(x, 0.0) for x in out[:-1]] + [(out[-1], float("inf"))]
+        return [(out[0], factor)]
 
 
 def as_order(order) -> list[By]:
@@ -118,6 +131,15 @@ def _quantiles(pos: Column, fan: int) -> Column:
     return F.percentile_approx(pos, probs, F.lit(max(10000, 10 * fan)))
 
 
+def _reach(pos: Column) -> Column:
+    """Largest finite |position|."""
+    return F.max(F.when(F.abs(pos) < F.lit(float("inf")), F.abs(pos)))
+
+
+def _exact(reach: float | None, factor: float) -> bool:
+    return factor == 0.0 or (reach or 0.0) * factor < 2**53
+
+
 def _below(cuts: Column, x: Column, longest: int) -> Column:
     """How many of the ascending `cuts` lie below `x`, by binary search."""
     steps = [1 << b for b in reversed(range(max(1, longest).bit_length()))]
@@ -142,8 +164,11 @@ def _spread(limit: int, fan: int) -> Column:
     )
 
 
-def _cut(df: DataFrame, pos: Column, on: list[str], cells: dict[tuple, list[float]]):
-    """Adds `_sub`, the part number inside each cell (null outside the given cells)."""
+def _cut(df: DataFrame, pos: Column, on: list[str], cells: dict[tuple, list[float]], exact: bool):
+    """Adds `_sub`, the part number inside each cell (null outside the given cells).
+
+    Cut values get parts of their own only where equal positions mean equal values.
+    """
     distinct = {cell: sorted(set(cuts)) for cell, cuts in cells.items()}
     longest = max(map(len, distinct.values()))
     if on:
@@ -157,12 +182,12 @@ def _cut(df: DataFrame, pos: Column, on: list[str], cells: dict[tuple, list[floa
     else:
         df = df.withColumn("_cuts", _doubles(distinct[()]))
     cuts, at = F.col("_cuts"), _below(F.col("_cuts"), pos, longest)
-    own = F.coalesce((F.get(cuts, at) == pos).cast("int"), F.lit(0))
+    own = F.coalesce((F.get(cuts, at) == pos).cast("int"), F.lit(0)) if exact else F.lit(0)
     sub = F.when(cuts.isNotNull(), (2 * at + own).cast("bigint"))
     heavy = [
         (*cell, 2 * distinct[cell].index(v) + 1)
         for cell, raw in cells.items()
-        for v in _heavy(raw)
+        for v in (_heavy(raw) if exact else ())
     ]
     return df.withColumn("_sub", sub).drop("_cuts"), heavy
 
@@ -175,6 +200,7 @@ class Split:
     keys: list[str]
     order: list[By]
     wide: bool
+    pure: bool = False  # odd parts hold a single value of the first order column
 
     @property
     def group(self) -> list[str]:
@@ -203,7 +229,8 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
     """Cut the oversized groups of `keys` (or the whole table) into ordered parts."""
     order, keys, fan = as_order(order), list(keys), fanout(df)
     schema = df.schema
-    pos = order[0].position(schema)
+    levels = [level for o in order for level in o.positions(schema)]
+    pos, factor = levels[0]
 
     if keys:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -215,24 +242,26 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
         rows = (
             attach(df, hot, keys, "inner")
             .groupBy(*keys, "_n")
-            .agg(_quantiles(pos, fan).alias("_q"))
-            .select(*keys, _spread(limit, fan).alias("_q"))
+            .agg(_quantiles(pos, fan).alias("_q"), _reach(pos).alias("_reach"))
+            .select(*keys, _spread(limit, fan).alias("_q"), "_reach")
             .collect()
         )
         cells = {tuple(r[k] for k in keys): list(r["_q"]) for r in rows}
+        exact = all(_exact(r["_reach"], factor) for r in rows)
     else:
-        total, q = df.agg(F.count(F.lit(1)), _quantiles(pos, fan)).first()
+        total, q, reach = df.agg(F.count(F.lit(1)), _quantiles(pos, fan), _reach(pos)).first()
         limit = max(min_rows, ceil(total / fan))
         if total <= limit:
             return Split(df, keys, order, False)
         k = max(2, ceil(total / limit))
         cells = {(): [q[int(i * fan / k) - 1] for i in range(1, k)]}
+        exact = _exact(reach, factor)
 
-    out, heavy = _cut(df, pos, keys, cells)
+    pure = exact and len(order[0].positions(schema)) == 1
+    out, heavy = _cut(df, pos, keys, cells, exact)
     out = out.withColumn(WIDE, F.col("_sub").isNotNull())
     out = out.withColumn(PART, F.coalesce("_sub", F.lit(0).cast("bigint"))).drop("_sub")
-    marks = 2 * fan + 2
-    for o in order[1:]:
+    for pos, factor in levels[1:]:
         # The rows of one heavy value follow the next order column.
         if not heavy:
             break
@@ -241,19 +270,20 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
         rows = (
             attach(out, df.sparkSession.createDataFrame(heavy, types), on, "inner")
             .groupBy(*on)
-            .agg(F.count(F.lit(1)).alias("_n"), _quantiles(o.position(schema), fan).alias("_q"))
+            .agg(F.count(F.lit(1)).alias("_n"), _quantiles(pos, fan).alias("_q"), _reach(pos).alias("_reach"))
             .filter(F.col("_n") > limit)
-            .select(*on, _spread(limit, fan).alias("_q"))
+            .select(*on, _spread(limit, fan).alias("_q"), "_reach")
             .collect()
         )
         cells = {tuple(r[n] for n in on): list(r["_q"]) for r in rows}
         if not cells:
             break
-        out, deeper = _cut(out, o.position(schema), on, cells)
+        out, deeper = _cut(out, pos, on, cells, all(_exact(r["_reach"], factor) for r in rows))
+        marks = 2 * max(len(set(cuts)) for cuts in cells.values()) + 2
         number = F.col(PART) * marks + F.coalesce("_sub", F.lit(0).cast("bigint"))
         out = out.withColumn(PART, number).drop("_sub")
         heavy = [(*c[:-2], c[-2] * marks + c[-1]) for c in deeper]
-    return Split(out, keys, order, True)
+    return Split(out, keys, order, True, pure)
 
 
 def number_rows(s: Split, name: str, total: str | None = None) -> Split:
@@ -313,9 +343,10 @@ def with_rank(
     out = s.df
     within = list(s.group)
     if s.wide:
-        # An odd part holds one value only, so any subset of it ranks alike.
-        out = out.withColumn(_SALT, F.when(F.col(PART) % 2 == 1, F.spark_partition_id()).otherwise(0))
-        within.append(_SALT)
+        if s.pure:
+            # An odd part holds one value only, so any subset of it ranks alike.
+            out = out.withColumn(_SALT, F.when(F.col(PART) % 2 == 1, F.spark_partition_id()).otherwise(0))
+            within.append(_SALT)
     w = Window.partitionBy(*within).orderBy(order[0].column())
     out = out.withColumn("_rank", F.rank().over(w).cast("bigint"))
     if dense:

@@ -120,3 +120,28 @@ def test_string_and_date_order(rows):
         w = Window.orderBy(c, "id")
         plain = d.withColumn("p", F.row_number().over(w).cast("bigint"))
         same(o.with_position(d, [c, "id"], name="p", min_rows=50), plain, ["id", "p"])
+
+
+@pytest.mark.parametrize("keys", KEYS)
+@pytest.mark.parametrize("order", [["s", "id"], ["-s", "id"], ["big", "id"], ["dec", "-id"], ["n", "id"], ["-n", "id"]])
+def test_orders_that_doubles_cannot_tell_apart(rows, keys, order):
+    """Long common prefixes, neighbouring large integers, wide decimals, mostly nulls."""
+    far = F.lit(2**60)
+    d = rows.withColumns({
+        "s": F.concat(F.lit("Customer#0000000"), F.when(F.col("id") % 2 == 0, "").otherwise(F.lpad(((F.col("id") * 7919) % 3000).cast("string"), 5, "0"))),
+        "big": far + (F.col("id") * 7919) % 40,
+        "dec": (F.lit("9007199254740993.00").cast("decimal(28,2)") + ((F.col("id") * 7919) % 50)).cast("decimal(28,2)"),
+        "n": F.when(F.col("id") % 5 == 0, (F.col("id") * 7919) % 100),
+    })
+    w = Window.partitionBy(*keys).orderBy(*[b.column() for b in o.as_order(order)])
+    plain = d.withColumn("p", F.row_number().over(w).cast("bigint"))
+    same(o.with_position(d, order, keys, "p", min_rows=40), plain, ["id", "p"])
+    first = o.as_order(order)[0]
+    w = Window.partitionBy(*keys).orderBy(first.column())
+    plain = d.select("id", F.rank().over(w).cast("bigint").alias("r"), F.dense_rank().over(w).cast("bigint").alias("d"))
+    same(o.with_rank(d, first, keys, rank="r", dense="d", min_rows=40), plain, ["id", "r", "d"])
+
+
+def test_empty_input(rows):
+    none = rows.filter("id < 0")
+    assert o.with_position(none, "id").count() == 0 and o.with_rank(none, "v", ["k"], rank="r").count() == 0
