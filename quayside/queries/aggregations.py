@@ -71,8 +71,21 @@ SELECT c_mktsegment, COUNT(DISTINCT o_custkey) AS customers, COUNT(o_orderkey) A
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
 """)
 def a_count_distinct(t):
-    return t.orders.join(t.customer, on("o_custkey", "c_custkey")).groupBy("c_mktsegment").agg(
-        F.count_distinct("o_custkey").alias("customers"), F.count("o_orderkey").alias("orders")
+    """Orders are counted per customer before the join; the distinct count then sees each once."""
+    per = t.orders.groupBy("o_custkey").agg(F.count("o_orderkey").alias("n"))
+    return per.join(t.customer, on("o_custkey", "c_custkey")).groupBy("c_mktsegment").agg(
+        F.count_distinct("o_custkey").alias("customers"), F.sum("n").alias("orders")
+    )
+
+
+@query("a_day_customers", """
+SELECT CAST(o_orderdate AS DATE) AS order_date, COUNT(DISTINCT o_custkey) AS customers, COUNT(DISTINCT o_orderpriority) AS methods
+FROM orders GROUP BY 1
+""")
+def a_day_customers(t):
+    """Two distinct counts of the raw rows."""
+    return t.orders.groupBy(F.col("o_orderdate").cast("date").alias("order_date")).agg(
+        F.count_distinct("o_custkey").alias("customers"), F.count_distinct("o_orderpriority").alias("methods")
     )
 
 

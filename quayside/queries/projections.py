@@ -8,9 +8,9 @@ from quayside.operators.columns import columns_like, numeric_columns
 from quayside.queries.registry import query
 
 
-@query("p_select_all", "SELECT * FROM nation")
+@query("p_select_all", "SELECT * FROM customer")
 def p_select_all(t):
-    return t.nation.select("*")
+    return t.customer.select("*")
 
 
 @query("p_project", """

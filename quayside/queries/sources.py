@@ -58,7 +58,9 @@ def s_json_props(t):
 SELECT o_custkey, o_orderpriority AS entity, MAX(o_totalprice) AS usd, MIN(o_totalprice) AS inr FROM orders GROUP BY ALL
 """)
 def s_price_payload(t):
-    """Per customer a JSON map keyed by entity, as a price API sends it, flattened again."""
+    """Per customer a JSON map keyed by entity, as a price API sends it, flattened again.
+
+    A map holds one entry per entity, as the rows were grouped by it first."""
     per = t.orders.groupBy("o_custkey", "o_orderpriority").agg(
         F.max("o_totalprice").alias("usd"), F.min("o_totalprice").alias("inr")
     )
