@@ -14,29 +14,35 @@ def frequent_pairs(
 ) -> DataFrame:
     """(item_a, item_b, support) for item_a < item_b found together in >= min_support baskets.
 
-    Exact, and built so that no giant basket is expanded:
+    Exact, and built so that no giant basket is expanded in one place:
 
     * (basket, item) is made distinct first, and items found in fewer than
       `min_support` baskets are dropped, since no pair of theirs can qualify;
     * the `min_support` - 1 largest baskets are set aside when they are big. A
       pair that qualifies must also occur in some other basket, so the other
       baskets yield every candidate; for the baskets set aside it is then only
-      looked up whether they hold both items.
+      looked up whether they hold both items;
+    * should big baskets remain, their items are dealt into chunks, and each
+      chunk meets the basket's items in a task of its own.
     """
     held = df.select(F.col(basket).alias("_b"), F.col(item).alias("_i")).dropna().distinct()
     often = held.groupBy("_i").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_support)
-    # Read three times below, and much smaller than the input: written once.
+    # Read several times below, and much smaller than the input: written once.
     held = materialise(held.join(often.select("_i"), "_i", "left_semi"), "baskets")
     sizes = held.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    giants = []
-    if min_support > 1:
-        largest = sizes.orderBy(F.col("_n").desc(), "_b").limit(min_support - 1).collect()
-        giants = [r["_b"] for r in largest if r["_n"] > big_basket]
+    largest = sizes.orderBy(F.col("_n").desc(), "_b").limit(min_support).collect()
+    giants = [r["_b"] for r in largest[: min_support - 1] if r["_n"] > big_basket]
     usual = held.filter(~F.col("_b").isin(giants)) if giants else held
-    left = usual.select("_b", F.col("_i").alias("item_a"))
-    right = usual.select("_b", F.col("_i").alias("item_b"))
+    left, right, on = usual, usual, ["_b"]
+    if len(largest) == min_support and largest[-1]["_n"] > big_basket:
+        usual = usual.join(sizes, "_b")
+        chunks = F.ceil(F.col("_n") / big_basket).cast("int")
+        left = usual.withColumn("_c", F.pmod(F.hash("_i"), chunks))
+        right = usual.withColumn("_c", F.explode(F.sequence(F.lit(0), chunks - 1)))
+        on = ["_b", "_c"]
     pairs = (
-        left.join(right, "_b")
+        left.select(*on, F.col("_i").alias("item_a"))
+        .join(right.select(*on, F.col("_i").alias("item_b")), on)
         .filter(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("support"))
