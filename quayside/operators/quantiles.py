@@ -32,6 +32,15 @@ class _Target:
     stop: float | None = None
     below: int = 0
     inside: int = 0
+    slack: float = 2.0
+
+    def widen(self, rows: int) -> None:
+        """Start over with a wider bracket."""
+        self.start = self.stop = None
+        self.below, self.inside, self.slack = 0, rows, self.slack * 4
+
+    def holds_rank(self) -> bool:
+        return self.below <= self.low and self.high < self.below + self.inside
 
     def test(self):
         c = F.col(self.column)
@@ -48,23 +57,46 @@ def quantiles(
     columns = list(dict.fromkeys(columns))
     base = df.select(*[F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(columns)])
     base = base.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) for c in base.columns])
-    counts = base.agg(*[F.count(c).alias(c) for c in base.columns]).first()
+    # The sketch may be off by 1/accuracy of the rows either way; three times
+    # that also covers the rounding of a rank, once there are enough rows.
+    slack = 3.0 / accuracy
+    around = F.array(*[F.lit(min(1.0, max(0.0, p + d))) for p in probs for d in (-slack, slack)])
+    first = base.agg(*[
+        x for c in base.columns for x in (
+            F.count(c).alias(f"n_{c}"), F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"),
+            F.percentile_approx(c, around, F.lit(accuracy)).alias(f"a_{c}"),
+        )
+    ]).first()
+    counts = {c: first[f"n_{c}"] for c in base.columns}
     targets: dict[tuple[str, float], _Target] = {}
-    for c in base.columns:
-        for p in probs:
-            if counts[c]:
-                at = (counts[c] - 1) * p
-                targets[c, p] = _Target(c, floor(at), ceil(at), inside=counts[c])
     found: dict[tuple[str, float], tuple[float, float]] = {}
-    open_keys = list(targets)
+    few: list[tuple[str, float]] = []
+    open_keys: list[tuple[str, float]] = []
+    for c, n in counts.items():
+        for i, p in enumerate(probs if n else ()):
+            at = (n - 1) * p
+            t = targets[c, p] = _Target(c, floor(at), ceil(at), inside=n)
+            if n <= few_values:
+                t.start, t.stop = first[f"lo_{c}"], first[f"hi_{c}"]
+                few.append((c, p))
+            else:
+                if n >= accuracy:
+                    t.start, t.stop = first[f"a_{c}"][2 * i], first[f"a_{c}"][2 * i + 1]
+                open_keys.append((c, p))
+    found.update(zip(few, _pick(base, [targets[k] for k in few])))
+    fresh = [k for k in open_keys if targets[k].start is not None]
     while open_keys:
-        _narrow(base, [targets[k] for k in open_keys], accuracy)
+        _narrow(base, [targets[k] for k in open_keys if k not in fresh], accuracy)
+        fresh = []
         still = []
         sizes = _measure(base, [targets[k] for k in open_keys])
         ready = []
         for k, distinct in zip(open_keys, sizes):
             t = targets[k]
-            if t.start == t.stop:
+            if not t.holds_rank():
+                t.widen(counts[t.column])
+                still.append(k)
+            elif t.start == t.stop:
                 found[k] = (t.start, t.stop)
             elif distinct <= few_values:
                 ready.append(k)
@@ -90,6 +122,8 @@ def quantiles(
 
 def _narrow(base: DataFrame, targets: list[_Target], accuracy: int) -> None:
     """One sketch per column and interval serves all the ranks in it."""
+    if not targets:
+        return
     shared: dict[tuple, list[_Target]] = {}
     for t in targets:
         shared.setdefault((t.column, t.start, t.stop), []).append(t)
@@ -97,8 +131,7 @@ def _narrow(base: DataFrame, targets: list[_Target], accuracy: int) -> None:
     for i, group in enumerate(shared.values()):
         probs = []
         for t in group:
-            # The sketch may be off by 1/accuracy of the rows either way; take twice that.
-            slack = 2.0 / accuracy
+            slack = t.slack / accuracy
             probs.append(F.lit(max(0.0, (t.low - t.below) / t.inside - slack)))
             probs.append(F.lit(min(1.0, (t.high - t.below + 1) / t.inside + slack)))
         kept = F.when(group[0].test(), F.col(group[0].column))
@@ -120,8 +153,6 @@ def _measure(base: DataFrame, targets: list[_Target]) -> list[int]:
     row = base.agg(*aggs).first()
     for i, t in enumerate(targets):
         t.below, t.inside = row[f"b{i}"], row[f"n{i}"]
-        if not t.below <= t.low or not t.high < t.below + t.inside:
-            raise RuntimeError("quantile bracket lost its rank")
     return [row[f"d{i}"] for i in range(len(targets))]
 
 

@@ -9,7 +9,7 @@ from quayside.functions.exact import exact_sum, line_total, round_half_up
 from quayside.operators import ordered as O, series as S
 from quayside.queries.registry import query
 from quayside.session import materialise
-from quayside.queries.sqltext import LINE_TOTAL, half_up, mean, money, total
+from quayside.queries.sqltext import LINE_TOTAL, half_up, money, total
 
 
 def on(a, b):

@@ -148,11 +148,11 @@ def verdicts(spark, values, rule):
 
 
 def test_email_and_phone_rules(spark):
-    good = ["asha@example.com", "test.user@company.co.in", "admin@test-domain.com", "user123@example.org"]
-    bad = ["invalid", "missing@domain", "@nodomain.com", "spaces in@email.com", "", None]
+    good = ["asha@example.com", "first.last@firm.co.in", "root@two-words.com", "agent007@example.org"]
+    bad = ["plain", "user@host", "@nothing.com", "two words@mail.com", "", None]
     assert [v[0] for v in verdicts(spark, good + bad, R.email)] == [True] * 4 + [False] * 6
-    good = ["9876543210", "8765432109", "7654321098", "6543210987"]
-    bad = ["123", "12345", "1234567890", "5876543210", "", None]
+    good = ["9123456780", "8123456780", "7123456780", "6123456780"]
+    bad = ["456", "98765", "1123456780", "5123456780", "", None]
     assert [v[0] for v in verdicts(spark, good + bad, R.phone)] == [True] * 4 + [False] * 6
     assert verdicts(spark, ["98765 432-10"], R.phone)[0][0]
 
@@ -166,8 +166,8 @@ def test_price_rules(spark):
 
 
 def test_other_rules(spark):
-    assert [v[0] for v in verdicts(spark, ["C001", "C1234", "C999999", " c0012 "], R.customer_id)] == [True] * 4
-    assert [v[0] for v in verdicts(spark, ["INVALID", "C", "C12A", "", None], R.customer_id)] == [False] * 5
+    assert [v[0] for v in verdicts(spark, ["C007", "C4321", "C888888", " c0012 "], R.customer_id)] == [True] * 4
+    assert [v[0] for v in verdicts(spark, ["X007", "C", "C77B", "", None], R.customer_id)] == [False] * 5
     assert verdicts(spark, ["0", "10001", "5", "x"], R.quantity) == [
         (False, "Quantity below minimum: 1"), (False, "Quantity above maximum: 10000"), (True, None), (False, "Invalid quantity format")]
     assert [v[0] for v in verdicts(spark, ["North", "Center", None], R.region)] == [True, False, False]

@@ -1,7 +1,6 @@
 """Validation runs on the small sales fixtures."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from quayside.operators import quality as Q
 from quayside.operators.columns import missing_columns, numeric_columns, columns_like

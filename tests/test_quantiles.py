@@ -6,7 +6,7 @@ import pytest
 from quayside.operators.quantiles import quantiles
 
 
-@pytest.mark.parametrize("few,accuracy", [(100_000, 10_000), (5, 20)])
+@pytest.mark.parametrize("few,accuracy", [(100_000, 10_000), (5, 20), (5, 300), (5, 10_000), (700, 1000)])
 def test_matches_linear_interpolation(spark, few, accuracy):
     rng = random.Random(3)
     data = [
