@@ -259,8 +259,11 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
 
     pure = exact and len(order[0].positions(schema)) == 1
     out, heavy = _cut(df, pos, keys, cells, exact)
-    out = out.withColumn(WIDE, F.col("_sub").isNotNull())
-    out = out.withColumn(PART, F.coalesce("_sub", F.lit(0).cast("bigint"))).drop("_sub")
+    if keys:
+        out = out.withColumn(WIDE, F.col("_sub").isNotNull())
+        out = out.withColumn(PART, F.coalesce("_sub", F.lit(0).cast("bigint"))).drop("_sub")
+    else:
+        out = out.withColumnRenamed("_sub", PART).withColumn(WIDE, F.lit(True))
     for pos, factor in levels[1:]:
         # The rows of one heavy value follow the next order column.
         if not heavy:
