@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, recipes
+from quayside.llm import bpe, pii, recipes, secrets
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -45,3 +45,13 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM d WINDOW w AS (PARTITION BY norm)""")
 def op10_chunk_recipes(t: Tables) -> DataFrame:
     return recipes.copies(t.documents)
+
+
+@query("op6_pii")
+def op6_pii(t: Tables) -> DataFrame:
+    return pii.personal_digest(t.documents)
+
+
+@query("op9_secrets")
+def op9_secrets(t: Tables) -> DataFrame:
+    return secrets.secret_digest(t.documents)
