@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.spans import Kind, digest, matches
+from quayside.llm.text import hash_sample
 from quayside.session import materialise
 
 _KEY = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -25,9 +26,9 @@ KINDS = [
 ]
 NAMES = [k.name for k in KINDS]
 BASE = 3
-#: Labelled samples the chains are fitted on, at most so many strings of each label.
+#: Labelled samples the chains are fitted on: about so many strings of each label at most, chosen by hash.
 SAMPLE = 20_000
-#: Documents, chosen by hash, in which ordinary identifiers are looked for.
+#: About so many documents, chosen by hash, in which ordinary identifiers are looked for.
 SAMPLE_DOCS = 5_000
 #: The signs told apart; every other sign counts as one more.
 SIGNS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-.="
@@ -90,12 +91,10 @@ def chain_ratios(samples: DataFrame) -> list[float]:
 
 def labelled_strings(docs: DataFrame, found: DataFrame) -> DataFrame:
     """value, random: secrets that the fixed patterns found, and long words that stand alone in documents chosen by hash."""
-    by_hash = lambda df: df.orderBy(F.xxhash64("value"), "value").limit(SAMPLE)
-    secret = by_hash(found.where((F.col("kind") < BASE) & F.col("valid")).select("value").distinct())
-    some = docs.select(F.coalesce(docs["text"], F.lit("")).alias("text"), F.xxhash64(docs["doc_id"]).alias("h"))
-    some = some.orderBy("h").limit(SAMPLE_DOCS)
-    word = F.explode(F.regexp_extract_all("text", F.lit(r"(?<!\S)[A-Za-z_-]{8,40}+(?!\S)"), 0)).alias("value")
-    plain = by_hash(some.select(word).distinct())
+    secret = hash_sample(found.where((F.col("kind") < BASE) & F.col("valid")).select("value").distinct(), "value", SAMPLE)
+    some = hash_sample(docs.select("doc_id", "text"), "doc_id", SAMPLE_DOCS)
+    word = F.explode(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"(?<!\S)[A-Za-z_-]{8,40}+(?!\S)"), 0))
+    plain = hash_sample(some.select(word.alias("value")).distinct(), "value", SAMPLE)
     return secret.withColumn("random", F.lit(True)).unionByName(plain.withColumn("random", F.lit(False)))
 
 

@@ -41,3 +41,15 @@ def texts(docs: DataFrame) -> DataFrame:
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id written as text, modulo `parts`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % parts
+
+
+def hash_sample(df: DataFrame, key: str, size: int) -> DataFrame:
+    """All rows when there are at most `size`, else those whose key hashes below the share that gives about `size`.
+
+    The rows are counted first; nothing is gathered in one task.
+    """
+    total = df.count()
+    if total <= size:
+        return df
+    parts = 1 << 40
+    return df.where(F.pmod(F.xxhash64(F.lit(17), df[key]), F.lit(parts)) < size * parts // total)
