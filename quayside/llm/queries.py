@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, pii, recipes, secrets
+from quayside.llm import bpe, decontaminate, pii, recipes, rules, secrets
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -37,6 +37,21 @@ def op1_bpe(t: Tables) -> DataFrame:
     return bpe.encode_decode(t.documents, public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: Held-out folds: crc32 of the id modulo the first, equal to the second.
+QUALITY_FOLD = (3, 1)
+
+
+@query("op3_rules")
+def op3_rules(t: Tables) -> DataFrame:
+    model = rules.train(t.documents, t.labels, QUALITY_FOLD)
+    return rules.score(t.documents, model, QUALITY_FOLD)
+
+
+@query("op4_simhash")
+def op4_simhash(t: Tables) -> DataFrame:
+    return decontaminate.leaks(t.documents, t.benchmark)
+
+
 @query("op10_chunk_recipes", """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
            FROM documents)
