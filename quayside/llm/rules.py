@@ -21,34 +21,45 @@ SAMPLE = 20_000
 TREES, DEPTH, BINS, RATE, LEAST_LEAF = 40, 3, 32, 0.3, 10
 #: L1 penalty per row and steps of the proximal descent.
 PENALTY, STEPS = 0.002, 600
-SYMBOLS = "%$&#*|!@<>{}[]=_~^\\/"
+#: Signs counted one by one, and those counted together.
+SIGNS = {"shouts": "!", "asks": "?", "bars": "|", "stops": ".", "commas": ",", "blanks": " "}
+SYMBOLS = r"[%$&#*|!@<>{}\[\]=_~^\\/]+"
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Statistics of a whole text, each a bounded double; all 0 for an empty text."""
+def measures(text: Column) -> dict[str, Column]:
+    """Counts of a whole text, each made by one pass or two."""
     n = F.char_length(text)
+    words = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " ")
     lines = F.split(text, "\n")
-    words = F.split(text, r"\s+")
-    per = lambda count, of: F.when(of > 0, count / of).otherwise(F.lit(0.0))
-    count = lambda sign: n - F.char_length(F.replace(text, F.lit(sign), F.lit("")))
-    n_words = F.size(words)
-    symbols = F.lit(0)
-    for s in SYMBOLS:
-        symbols = symbols + count(s)
+    out = {
+        "chars": n, "words": F.size(words), "unlike_words": F.size(F.array_distinct(words)),
+        "lines": F.size(lines), "unlike_lines": F.size(F.array_distinct(lines)),
+        "symbols": n - F.char_length(F.regexp_replace(text, SYMBOLS, "")),
+        "capitals": F.regexp_count(text, F.lit(r"\p{Lu}{2,}")), "digits": F.regexp_count(text, F.lit("[0-9]+")),
+    }
+    for name, sign in SIGNS.items():
+        out[name] = n - F.char_length(F.replace(text, F.lit(sign), F.lit("")))
+    return out
+
+
+def statistics(m: dict[str, Column]) -> dict[str, Column]:
+    """Statistics from the counts, each a bounded double; all 0 for an empty text."""
+    n, n_words = m["chars"], m["words"]
+    per = lambda count, of: F.when((n > 0) & (of > 0), count / of).otherwise(F.lit(0.0))
     return {
         "chars_log": F.log1p(n.cast("double")),
         "word_length": F.least(per(n, n_words), F.lit(100.0)),
-        "symbols": per(symbols, n),
-        "marks": per(count("!") + count("?"), n_words),
-        "bars": per(count("|"), n_words),
-        "stops": per(count("."), n_words),
-        "commas": per(count(","), n_words),
-        "blanks": per(count(" "), n),
-        "capitals": per(F.regexp_count(text, F.lit(r"\p{Lu}{2,}")), n_words),
-        "digits": per(F.regexp_count(text, F.lit("[0-9]+")), n_words),
-        "line_words": F.least(per(n_words, F.size(lines)), F.lit(1000.0)),
-        "same_lines": F.when(n > 0, 1.0 - F.size(F.array_distinct(lines)) / F.size(lines)).otherwise(0.0),
-        "same_words": F.when(n > 0, 1.0 - F.size(F.array_distinct(words)) / n_words).otherwise(0.0),
+        "symbols": per(m["symbols"], n),
+        "marks": per(m["shouts"] + m["asks"], n_words),
+        "bars": per(m["bars"], n_words),
+        "stops": per(m["stops"], n_words),
+        "commas": per(m["commas"], n_words),
+        "blanks": per(m["blanks"], n),
+        "capitals": per(m["capitals"], n_words),
+        "digits": per(m["digits"], n_words),
+        "line_words": F.least(per(n_words, m["lines"]), F.lit(1000.0)),
+        "same_lines": per(m["lines"] - m["unlike_lines"], m["lines"]),
+        "same_words": per(n_words - m["unlike_words"], n_words),
     }
 
 
@@ -175,19 +186,24 @@ def labelled(labels: DataFrame, name: str, held_out: tuple[int, int]) -> DataFra
     return own.groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
 
 
-def _made_once(text: Column) -> Column:
-    """The statistics as one struct column `__stats`.
+def _with_stats(docs: DataFrame) -> DataFrame:
+    """`docs` with the statistics as one struct column `__stats`.
 
-    Unfolding a one-element array keeps the optimizer from writing each
-    statistic anew at every place where a rule names it.
+    The counts are a projection of their own, in which Spark makes a repeated
+    part once. Unfolding a one-element array then keeps the optimizer from
+    writing each statistic anew at every place where a rule names it.
     """
-    stats = statistics(F.coalesce(text, F.lit("")))
-    return F.explode(F.array(F.struct(*[stats[n].alias(n) for n in NAMES]))).alias("__stats")
+    own = docs.withColumn("__text", F.coalesce(docs["text"], F.lit("")))
+    counts = measures(F.col("__text"))
+    own = own.select(*[own[c] for c in docs.columns], *[c.alias(f"__{k}") for k, c in counts.items()])
+    stats = statistics({k: F.col(f"__{k}") for k in counts})
+    return own.select(*[own[c] for c in docs.columns], F.explode(F.array(F.struct(*[stats[n].alias(n) for n in NAMES]))).alias("__stats"))
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the statistics of the whole text; null texts count as empty."""
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), _made_once(docs["text"])).select("doc_id", "__stats.*")
+    own = _with_stats(docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")))
+    return own.select("doc_id", "__stats.*")
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: tuple[int, int], name: str = "quality") -> RuleModel:
@@ -216,5 +232,5 @@ def score(docs: DataFrame, model: RuleModel, held_out: tuple[int, int]) -> DataF
 
 def keep_good(docs: DataFrame, model: RuleModel) -> DataFrame:
     """The rows of `docs`, all columns, whose text the model accepts (score of at least 0.5)."""
-    own = docs.select("*", _made_once(docs["text"]))
-    return own.where(model.column([F.col(f"__stats.{n}") for n in NAMES]) >= 0.5).select(*[own[c] for c in docs.columns])
+    own = _with_stats(docs)
+    return own.where(model.column([F.col(f"__stats.{n}") for n in NAMES]) >= 0.5).drop("__stats")
