@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, decontaminate, pii, recipes, rules, secrets
+from quayside.llm import bpe, decontaminate, jaccard_join, pii, recipes, rules, secrets
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -52,6 +52,11 @@ def op4_simhash(t: Tables) -> DataFrame:
     return decontaminate.leaks(t.documents, t.benchmark)
 
 
+@query("op8_token_groups")
+def op8_token_groups(t: Tables) -> DataFrame:
+    return jaccard_join.near_groups(t.documents)
+
+
 @query("op10_chunk_recipes", """
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm
            FROM documents)
