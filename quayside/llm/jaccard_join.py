@@ -34,7 +34,7 @@ PERCENT = 75
 #: Token counts are gathered in so many buckets; they only decide which tokens come first in a prefix.
 BUCKETS, SLICES = 1 << 20, 64
 #: Least values of a sketch, and how many of them name a group's possible pivots.
-SKETCH, PIVOTS = 32, 8
+SKETCH, PIVOTS = 32, 6
 #: Least estimate for a pivot to be tried, and how many pivots a node tries at most before the exact search.
 TRY, ROUNDS = 0.5, 3
 #: Ids of documents that are sent to every executor; beyond, the join shuffles.
@@ -112,10 +112,10 @@ def levels(counts: np.ndarray) -> np.ndarray:
     return np.minimum(8 * np.log2(1 + above), 255).astype(np.uint8)
 
 
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+def _lists(values: list[np.ndarray], kind: type) -> pa.ListArray:
     offsets = np.r_[0, np.cumsum([len(v) for v in values])].astype(np.int32)
-    flat = np.concatenate(values) if values else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int64) if kind == pa.int64() else flat))
+    flat = np.concatenate(values) if values else np.zeros(0, kind)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(kind)))
 
 
 def described(docs: DataFrame) -> DataFrame:
@@ -131,20 +131,21 @@ def described(docs: DataFrame) -> DataFrame:
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 if not len(s):
-                    sketches.append(np.zeros(0, np.int64))
+                    sketches.append(np.zeros(0, np.int32))
                     prefixes.append(np.zeros(0, np.int64))
                     continue
-                sketches.append(np.array([(s * m).min() for m in _SKETCH], np.uint64).view(np.int64))
+                least = np.array([(s * m).min() for m in _SKETCH], np.uint64)
+                sketches.append((least >> np.uint64(24)).astype(np.uint32).view(np.int32))
                 order = np.lexsort((s, level[(s & np.uint64(BUCKETS - 1)).astype(np.int64)]))
                 prefixes.append(s[order[:prefix_length(len(s))]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 _lists(sketches, pa.int64()), _lists(prefixes, pa.int64())],
+                 _lists(sketches, np.int32), _lists(prefixes, np.int64)],
                 ["row", "doc_id", "key", "n", "sketch", "prefix"])
 
     numbered = own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     return materialise(numbered.mapInArrow(
-        run, "row long, doc_id long, key binary, n long, sketch array<long>, prefix array<long>"), "described")
+        run, "row long, doc_id long, key binary, n long, sketch array<int>, prefix array<long>"), "described")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -154,7 +155,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
             sets = [token_set(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                 _lists([s.view(np.int64) for s in sets], pa.int64())], ["key", "tokens"])
+                 _lists([s.view(np.int64) for s in sets], np.int64)], ["key", "tokens"])
 
     wanted = materialise(nodes.select("node", F.col("doc_id").alias("__id"), "key"), "wanted")
     ids = wanted.select("__id").distinct()
@@ -235,18 +236,26 @@ def later_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, groups: Da
     fit = (100 * F.col("most") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("least"))
     # the first token that two sets share stands early enough in both for the overlap that a link needs
     reach = (100 + PERCENT) * (F.col("n") - F.col("at")) >= PERCENT * (F.col("n") + F.col("least"))
-    wanted = query.join(other, "token").where((F.col("root") < F.col("other")) & fit & reach)
-    wanted = materialise(wanted.select("node", "n", "other").distinct(), "wanted")
+    seen = query.join(other, "token").where((F.col("root") < F.col("other")) & fit).groupBy("node", "n", "other").agg(
+        F.count(F.lit(1)).alias("both"), F.min("least").alias("least"), F.max("most").alias("most"), F.max(reach).alias("reach"))
+    # of two sets, the one whose prefix ends first has all its shared prefix tokens counted; the rest of it may be shared
+    behind = F.ceil(PERCENT * F.greatest("n", "most") / 100) - 1
+    enough = (100 + PERCENT) * (F.col("both") + behind) >= PERCENT * (F.col("n") + F.col("least"))
+    wanted = materialise(seen.where(F.col("reach") & enough).select("node", "n", "other"), "wanted")
     if wanted.isEmpty():
         return wanted.select(F.col("node").alias("a"), F.col("node").alias("b"))
-    # the query's overlap with the union of a group's tokens bounds the overlap with each member
     inside = member.select("node", F.col("root").alias("other")).distinct().join(wanted.select("other").distinct(), "other", "left_semi")
+    inside = materialise(inside, "inside")
     named = wanted.select("node").unionByName(inside.select("node")).distinct()
     sets = sets_of(docs, nodes.join(named, "node"))
-    union = inside.join(sets, "node").select("other", F.explode("tokens").alias("token")).distinct()
-    asked = wanted.join(sets, "node").select("node", "n", "other", F.explode("tokens").alias("token"))
+    # the query's overlap with the union of a group's tokens bounds the overlap with each member;
+    # of a group with one member that is the overlap itself, which the last step counts
+    several = materialise(inside.groupBy("other").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("other"), "several")
+    alone = wanted.join(several, "other", "left_anti").select("node", "other")
+    union = inside.join(several, "other").join(sets, "node").select("other", F.explode("tokens").alias("token")).distinct()
+    asked = wanted.join(several, "other").join(sets, "node").select("node", "n", "other", F.explode("tokens").alias("token"))
     bound = asked.join(union, ["other", "token"]).groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "other"), "opened")
+    opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "other").unionByName(alone), "opened")
     # opened groups: members that share a prefix token with the query, again early enough
     theirs = member.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("root").alias("other"))
     mine = member.select("token", "node", "n", "at").join(opened, "node")
@@ -270,8 +279,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.min(F.struct("row", "doc_id")).alias("first"), F.min("doc_id").alias("least_id"))
     nodes = materialise(nodes.select(
         F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), "key", "n", "least_id"), "nodes")
-    own = made.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").select(F.col("row").alias("node"), "n", "sketch", "prefix")
-    first = first_groups(docs, nodes, own.select("node", "n", "sketch"))
+    own = made.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    first = first_groups(docs, nodes, materialise(own.select("node", "n", "sketch"), "sketches"))
     shared = shared_prefixes(own.select("node", "n", "prefix"))
     groups = materialise(components(first), "groups")
     later = later_links(docs, nodes, shared, groups)
