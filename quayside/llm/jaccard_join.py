@@ -32,12 +32,14 @@ SHINGLE = 5
 #: Similarity of a link, as 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Token counts are gathered in so many buckets; they only decide which tokens come first in a prefix.
-BUCKETS, SLICES = 1 << 20, 64
+BUCKETS, SLICES = 1 << 22, 64
 #: Least values of a sketch, and how many of them name a group's possible pivots.
 SKETCH, PIVOTS = 32, 6
 #: Least estimate for a pivot to be tried, and how many pivots a node tries at most before the exact search.
 TRY, ROUNDS = 0.5, 3
-#: Ids of documents that are sent to every executor; beyond, the join shuffles.
+#: Members of a group that a query is compared with before the group is opened.
+TRIED_MEMBERS = 4
+#: Rows of ids that are sent to every executor; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
 _RNG = np.random.default_rng(20)
@@ -215,54 +217,94 @@ def first_groups(docs: DataFrame, nodes: DataFrame, described_nodes: DataFrame)
     return reduce(DataFrame.unionByName, found)
 
 
-def shared_prefixes(described_nodes: DataFrame) -> DataFrame:
-    """token, node, n, at: the prefix tokens that two nodes or more have; written."""
-    rows = described_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token")).repartition("token")
-    often = rows.groupBy("token").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
-    return materialise(rows.join(often.select("token"), "token"), "shared")
-
-
-def later_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, groups: DataFrame) -> DataFrame:
-    """Exact links (a, b) between nodes of different groups, through the token-group matrix."""
-    member = shared.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    member = materialise(member, "members")
-    # the matrix over prefix tokens; a token that only one group has can't name another
-    matrix = member.groupBy("token", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    wide = matrix.groupBy("token").agg(F.count(F.lit(1)).alias("roots")).where("roots > 1").select("token")
-    matrix = materialise(matrix.join(wide, "token"), "matrix")
-    query = member.join(wide, "token")
-    other = matrix.select("token", F.col("root").alias("other"), "least", "most")
-    # a link is found from either side, so groups only look at groups with a larger number
+def small(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, sent to every executor where it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def members_of(described_nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """token, node, n, at, root, size (of the group): the prefix tokens that nodes of two groups or more have; written.
+
+    All steps share one exchange by token.
+    """
+    sized = groups.join(small(materialise(groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "sizes")), "root")
+    rows = described_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token"))
+    rows = rows.select("token", "node", F.col("n").cast("int").alias("n"), "at").repartition("token")
+    rows = rows.join(small(materialise(sized, "sized")), "node", "left").withColumns(
+        {"root": F.coalesce("root", "node"), "size": F.coalesce("size", F.lit(1))})
+    wide = rows.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
+    return materialise(rows.join(wide, "token"), "members")
+
+
+def candidate_groups(member: DataFrame) -> DataFrame:
+    """node, n, root, other, size (of other): the groups that may hold a link of a node, by the matrix of prefix tokens; written.
+
+    A link is found from either side, so only members of the smaller group ask, at a tie those of the smaller number.
+    """
+    matrix = member.groupBy("token", "root", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    other = matrix.select("token", F.col("root").alias("other"), F.col("size").alias("other_size"), "least", "most")
+    asks = F.struct("size", "root") < F.struct("other_size", "other")
     fit = (100 * F.col("most") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("least"))
     # the first token that two sets share stands early enough in both for the overlap that a link needs
     reach = (100 + PERCENT) * (F.col("n") - F.col("at")) >= PERCENT * (F.col("n") + F.col("least"))
-    seen = query.join(other, "token").where((F.col("root") < F.col("other")) & fit).groupBy("node", "n", "other").agg(
+    seen = member.join(other, "token").where(asks & fit).groupBy("node", "n", "root", "other", F.col("other_size").alias("size")).agg(
         F.count(F.lit(1)).alias("both"), F.min("least").alias("least"), F.max("most").alias("most"), F.max(reach).alias("reach"))
     # of two sets, the one whose prefix ends first has all its shared prefix tokens counted; the rest of it may be shared
     behind = F.ceil(PERCENT * F.greatest("n", "most") / 100) - 1
     enough = (100 + PERCENT) * (F.col("both") + behind) >= PERCENT * (F.col("n") + F.col("least"))
-    wanted = materialise(seen.where(F.col("reach") & enough).select("node", "n", "other"), "wanted")
+    return materialise(seen.where(F.col("reach") & enough).select("node", "n", "root", "other", "size"), "wanted")
+
+
+def apart(wanted: DataFrame, links: DataFrame) -> DataFrame:
+    """The candidates whose two groups the links (a, b between groups) do not connect; written."""
+    joined = materialise(components(links), "joined")
+    mine = small(joined.select(F.col("node").alias("root"), F.col("root").alias("mine")))
+    theirs = small(joined.select(F.col("node").alias("other"), F.col("root").alias("theirs")))
+    got = wanted.join(mine, "root", "left").join(theirs, "other", "left")
+    return materialise(got.where(F.coalesce("mine", "root") != F.coalesce("theirs", "other")).select(*wanted.columns), "apart")
+
+
+def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame) -> DataFrame:
+    """Links between groups (a, b), enough to connect all groups that exact links between nodes connect; written."""
+    wanted = candidate_groups(member)
     if wanted.isEmpty():
-        return wanted.select(F.col("node").alias("a"), F.col("node").alias("b"))
+        return wanted.select(F.col("root").alias("a"), F.col("other").alias("b"))
     inside = member.select("node", F.col("root").alias("other")).distinct().join(wanted.select("other").distinct(), "other", "left_semi")
     inside = materialise(inside, "inside")
     named = wanted.select("node").unionByName(inside.select("node")).distinct()
     sets = sets_of(docs, nodes.join(named, "node"))
-    # the query's overlap with the union of a group's tokens bounds the overlap with each member;
-    # of a group with one member that is the overlap itself, which the last step counts
-    several = materialise(inside.groupBy("other").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("other"), "several")
-    alone = wanted.join(several, "other", "left_anti").select("node", "other")
-    union = inside.join(several, "other").join(sets, "node").select("other", F.explode("tokens").alias("token")).distinct()
-    asked = wanted.join(several, "other").join(sets, "node").select("node", "n", "other", F.explode("tokens").alias("token"))
-    bound = asked.join(union, ["other", "token"]).groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "other").unionByName(alone), "opened")
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        """Groups linked by pairs (node, root, b, other)."""
+        pairs = materialise(pairs, "pairs")
+        found = linked(pairs.select(F.col("node").alias("a"), "b").distinct(), sets)
+        named = pairs.join(found.withColumnRenamed("a", "node"), ["node", "b"])
+        return materialise(named.select(F.col("root").alias("a"), F.col("other").alias("b")).distinct(), "links")
+
+    # A group is first tried by a few members, with one comparison a query, so that a large group of near copies
+    # comes together without being opened. Then come groups of one, where the comparison is the bound.
+    links = wanted.select(F.col("root").alias("a"), F.col("other").alias("b")).limit(0)
+    for k in range(TRIED_MEMBERS + 1):
+        chosen = inside.groupBy("other").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias("m"))
+        now = wanted.where("size > 1" if k < TRIED_MEMBERS else "size = 1")
+        found = links_of(now.join(chosen.select("other", F.col("m.node").alias("b")), "other").select("node", "root", "b", "other"))
+        if not found.isEmpty():
+            links = materialise(links.unionByName(found).distinct(), "links")
+            wanted = apart(wanted, links)
+    wanted = wanted.where("size > 1")
+    if wanted.isEmpty():
+        return links
+    # the query's overlap with the union of a group's tokens bounds the overlap with each member
+    union = inside.join(wanted.select("other").distinct(), "other").join(sets, "node").select("other", F.explode("tokens").alias("token")).distinct()
+    asked = wanted.drop("size").join(sets, "node").select("node", "n", "root", "other", F.explode("tokens").alias("token"))
+    bound = asked.join(union, ["other", "token"]).groupBy("node", "n", "root", "other").agg(F.count(F.lit(1)).alias("overlap"))
+    opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "root", "other"), "opened")
     # opened groups: members that share a prefix token with the query, again early enough
     theirs = member.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("root").alias("other"))
     mine = member.select("token", "node", "n", "at").join(opened, "node")
     need = (100 + PERCENT) * F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at")) >= PERCENT * (F.col("n") + F.col("b_n"))
     pairs = mine.join(theirs, ["other", "token"]).where(_sizes_fit(F.col("n"), F.col("b_n")) & need)
-    pairs = materialise(pairs.select(F.col("node").alias("a"), "b").distinct(), "pairs")
-    return materialise(linked(pairs, sets), "links")
+    return materialise(links.unionByName(links_of(pairs.select("node", "root", "b", "other").distinct())), "links")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -279,11 +321,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
         F.min(F.struct("row", "doc_id")).alias("first"), F.min("doc_id").alias("least_id"))
     nodes = materialise(nodes.select(
         F.col("first.row").alias("node"), F.col("first.doc_id").alias("doc_id"), "key", "n", "least_id"), "nodes")
-    own = made.join(nodes.select(F.col("node").alias("row")), "row", "left_semi").withColumnRenamed("row", "node")
+    copies = materialise(made.select("row").where("n > 0").join(nodes.select(F.col("node").alias("row")), "row", "left_anti"), "copies")
+    own = made.where("n > 0").join(small(copies), "row", "left_anti").withColumnRenamed("row", "node")
     first = first_groups(docs, nodes, materialise(own.select("node", "n", "sketch"), "sketches"))
-    shared = shared_prefixes(own.select("node", "n", "prefix"))
     groups = materialise(components(first), "groups")
-    later = later_links(docs, nodes, shared, groups)
+    later = later_links(docs, nodes, members_of(own, groups))
     if not later.isEmpty():
         groups = materialise(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(later)), "groups")
     placed = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -302,6 +344,4 @@ def drop_near(docs: DataFrame) -> DataFrame:
     """
     verdict = near_groups(docs).groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"))
     lost = materialise(verdict.where("NOT kept").select(F.col("doc_id").alias("__id")), "lost")
-    if lost.count() <= BROADCAST_ROWS:
-        lost = F.broadcast(lost)
-    return docs.join(lost, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_anti")
+    return docs.join(small(lost), docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left_anti")
