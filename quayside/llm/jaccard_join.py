@@ -38,7 +38,7 @@ SKETCH, PIVOTS = 32, 6
 #: Least estimate for a pivot to be tried, and how many pivots a node tries at most before the exact search.
 TRY, ROUNDS = 0.5, 3
 #: Members of a group that a query is compared with before the group is opened.
-TRIED_MEMBERS = 4
+TRIED_MEMBERS = 1
 #: Rows of ids that are sent to every executor; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
@@ -241,18 +241,22 @@ def candidate_groups(member: DataFrame) -> DataFrame:
 
     A link is found from either side, so only members of the smaller group ask, at a tie those of the smaller number.
     """
-    matrix = member.groupBy("token", "root", "size").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    other = matrix.select("token", F.col("root").alias("other"), F.col("size").alias("other_size"), "least", "most")
+    matrix = member.groupBy("token", "root", "size").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("first"))
+    other = matrix.select("token", F.col("root").alias("other"), F.col("size").alias("other_size"), "least", "most", "first")
     asks = F.struct("size", "root") < F.struct("other_size", "other")
     fit = (100 * F.col("most") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("least"))
     # the first token that two sets share stands early enough in both for the overlap that a link needs
-    reach = (100 + PERCENT) * (F.col("n") - F.col("at")) >= PERCENT * (F.col("n") + F.col("least"))
-    seen = member.join(other, "token").where(asks & fit).groupBy("node", "n", "root", "other", F.col("other_size").alias("size")).agg(
-        F.count(F.lit(1)).alias("both"), F.min("least").alias("least"), F.max("most").alias("most"), F.max(reach).alias("reach"))
+    reach = (100 + PERCENT) * F.least(F.col("n") - F.col("at"), F.col("most") - F.col("first")) >= PERCENT * (F.col("n") + F.col("least"))
+    near = member.join(other, "token").where(asks & fit & reach)
+    near = materialise(near.select("node", "n", "root", "other", F.col("other_size").alias("size")).distinct(), "near")
     # of two sets, the one whose prefix ends first has all its shared prefix tokens counted; the rest of it may be shared
+    asked = near.join(member.select("node", "token"), "node").join(matrix.select("token", F.col("root").alias("other"), "least", "most"), ["token", "other"])
+    seen = asked.groupBy("node", "n", "root", "other", "size").agg(
+        F.count(F.lit(1)).alias("both"), F.min("least").alias("least"), F.max("most").alias("most"))
     behind = F.ceil(PERCENT * F.greatest("n", "most") / 100) - 1
     enough = (100 + PERCENT) * (F.col("both") + behind) >= PERCENT * (F.col("n") + F.col("least"))
-    return materialise(seen.where(F.col("reach") & enough).select("node", "n", "root", "other", "size"), "wanted")
+    return materialise(seen.where(enough).select(*near.columns), "wanted")
 
 
 def apart(wanted: DataFrame, links: DataFrame) -> DataFrame:
