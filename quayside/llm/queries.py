@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, decontaminate, jaccard_join, pii, recipes, rules, secrets
+from quayside.llm import bpe, decontaminate, gru, jaccard_join, pii, recipes, rules, secrets
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -39,6 +39,7 @@ def op1_bpe(t: Tables) -> DataFrame:
 
 #: Held-out folds: crc32 of the id modulo the first, equal to the second.
 QUALITY_FOLD = (3, 1)
+SCORING_FOLD = (10, 0)
 
 
 @query("op3_rules")
@@ -52,6 +53,11 @@ def op4_simhash(t: Tables) -> DataFrame:
     return decontaminate.leaks(t.documents, t.benchmark)
 
 
+@query("op5_gru")
+def op5_gru(t: Tables) -> DataFrame:
+    return gru.score(t.documents, SCORING_FOLD)
+
+
 @query("op8_token_groups")
 def op8_token_groups(t: Tables) -> DataFrame:
     return jaccard_join.near_groups(t.documents)
