@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, decontaminate, gru, jaccard_join, pii, recipes, rules, secrets
+from quayside.llm import bpe, decontaminate, gru, jaccard_join, pages, pii, recipes, rules, secrets, toxicity
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -40,6 +40,7 @@ def op1_bpe(t: Tables) -> DataFrame:
 #: Held-out folds: crc32 of the id modulo the first, equal to the second.
 QUALITY_FOLD = (3, 1)
 SCORING_FOLD = (10, 0)
+TOXICITY_FOLD = (5, 0)
 
 
 @query("op3_rules")
@@ -81,3 +82,14 @@ def op6_pii(t: Tables) -> DataFrame:
 @query("op9_secrets")
 def op9_secrets(t: Tables) -> DataFrame:
     return secrets.secret_digest(t.documents)
+
+
+@query("op2_string_kernel")
+def op2_string_kernel(t: Tables) -> DataFrame:
+    model = toxicity.train(t.documents, t.labels, TOXICITY_FOLD)
+    return toxicity.score(t.documents, model, TOXICITY_FOLD)
+
+
+@query("op7_page_tree")
+def op7_page_tree(t: Tables) -> DataFrame:
+    return pages.main_text(t.pages, pages.train(t.pages))
