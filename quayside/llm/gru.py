@@ -241,7 +241,15 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(sums["n"] or 0), int(sums["v"])
     below = n + ADDED * (v + 1)
-    held = {r["word"]: r["c"] for r in counts.orderBy(F.desc("c"), "word").limit(HELD).collect()}  # HELD words at most
+    # the largest counts that HELD words have at most; a row per distinct count tells which
+    least, room = float("inf"), HELD
+    for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("k")).orderBy(F.desc("c")).limit(HELD).collect():
+        room -= r["k"]
+        if room < 0:
+            break
+        least = r["c"]
+    held = [] if least == float("inf") else counts.where(F.col("c") >= int(least)).collect()  # HELD words at most
+    held = {r["word"]: r["c"] for r in sorted(held, key=lambda r: (-r["c"], r["word"]))}
     known = [END, *[w for w in held if w != END][:VOCABULARY - 2]]
     inside = np.array([held.get(w, 0) for w in known], float)
     # what the rare words share: their counts, their part of the added mass and that of the unknown word

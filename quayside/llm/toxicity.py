@@ -79,7 +79,7 @@ def codes(text: str | None) -> np.ndarray:
 
 def gains(c: np.ndarray, table: np.ndarray) -> np.ndarray:
     """What the subsequences that end at each character add, by the table of weights."""
-    n = len(c)
+    n, c = len(c), c.astype(np.int64)
     padded = np.concatenate([np.zeros(SPAN - 1, np.int64), c])
     shifted = [padded[SPAN - 1 - k:SPAN - 1 - k + n] for k in range(SPAN)]  # the character k places before
     out = np.zeros(n, np.float32)
@@ -124,12 +124,18 @@ class KernelModel:
 
 def choose_landmarks(texts: list[str], y: np.ndarray) -> tuple[list[str], list[str]]:
     """Strings that tell texts with label 1, each for texts no earlier one covers, and frequent words of the others."""
+    def names(text: str) -> set[str]:
+        letters = ("".join(ch for ch in w if ch.isalpha()) for w in set(text.lower().split()))
+        return {f" {w} " for w in letters if 3 <= len(w) <= WINDOW - 2}
+
+    often = Counter()
+    for text in texts:
+        often.update(names(text))
+    often = {w for w, n in often.items() if n >= 3}
     holders: dict[str, set[int]] = defaultdict(set)
     for k, text in enumerate(texts):
-        for w in set(text.lower().split()):
-            w = "".join(ch for ch in w if ch.isalpha())
-            if 3 <= len(w) <= WINDOW - 2:
-                holders[f" {w} "].add(k)
+        for w in names(text) & often:
+            holders[w].add(k)
     ones = set(np.flatnonzero(y).tolist())
     p, n = len(ones), len(y) - len(ones)
     rated = []
@@ -198,15 +204,23 @@ def fit(texts: list[str], y: np.ndarray, odds: float = 1.0) -> KernelModel:
     if not telling or not marks:
         return flat
     norm = [np.sqrt(sum(v * v for v in m.values())) for m in marks]
-    tables = np.zeros((len(marks), TABLE), np.float32)
-    for k, m in enumerate(marks):
-        tables[k, list(m)] = np.array(list(m.values())) / norm[k]
+    places = [np.array(list(m)) for m in marks]
+    weights = [np.array(list(m.values())) / n for m, n in zip(marks, norm)]
+
+    def folded(share: np.ndarray) -> np.ndarray:
+        """The table of a sum of landmarks, each with its share."""
+        out = np.zeros(TABLE)
+        for a, at, w in zip(share, places, weights):
+            out[at] += a * w
+        return out.astype(np.float32)
+
     kernel = np.array([[sum(v * b.get(u, 0) for u, v in a.items()) / norm[i] / norm[j] for j, b in enumerate(marks)] for i, a in enumerate(marks)])
     values, vectors = np.linalg.eigh(kernel + 1e-6 * np.eye(len(marks)))
     whiten = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
     rng = np.random.default_rng(5)
-    rows = [codes(t) for t in texts]
-    table = tables[:len(telling)].sum(0)
+    rows = [codes(t).astype(np.uint8) for t in texts]
+    unit = np.eye(len(marks))
+    table = folded(unit[:len(telling)].sum(0))
     others: list[np.ndarray] = []
     for _ in range(MINED):
         found: list[tuple[float, np.ndarray]] = []
@@ -230,11 +244,11 @@ def fit(texts: list[str], y: np.ndarray, odds: float = 1.0) -> KernelModel:
         flat_rows = np.concatenate([np.r_[np.zeros(SPAN - 1, np.int64), s] for s in spots])
         ends = np.cumsum([len(s) + SPAN - 1 for s in spots])
         for k in range(len(marks)):
-            total = np.r_[0, np.cumsum(gains(flat_rows, tables[k]), dtype=np.float64)]
+            total = np.r_[0, np.cumsum(gains(flat_rows, folded(unit[k])), dtype=np.float64)]
             seen[:, k] = total[ends] - total[np.maximum(ends - WINDOW, 0)]
         labels = np.array(labels)
         w = svm(seen @ whiten, labels)[:-1]
-        table = ((whiten @ w) @ tables).astype(np.float32)
+        table = folded(whiten @ w)
     most = np.array([window_sums(gains(c, table)).max() if len(c) else 0.0 for c in rows])
     slope, shift = logistic(most, y, odds)
     return KernelModel(table, max(slope, 0.0), shift)
