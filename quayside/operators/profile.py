@@ -76,15 +76,21 @@ def missing_profile(df: DataFrame) -> DataFrame:
 
 
 def row_key(df: DataFrame, keys: Sequence[str | Column]) -> Column:
-    """The given columns as one grouping key: text shuffles as a 32-byte digest."""
+    """The given columns as one grouping key: text shuffles as a 32-byte digest, other values keep their type.
+
+    Typed values compare as DISTINCT compares them: timestamps to the
+    microsecond, -0.0 as 0.0. Maps can't be grouped and go into the digest.
+    """
     cols = [F.col(k) if isinstance(k, str) else k for k in keys]
     named = [c.alias(f"k{i}") for i, c in enumerate(cols)]
     types = [dtype for _, dtype in df.select(*named).dtypes]
     if types == ["string"]:
         return F.unhex(F.sha2(cols[0], 256))
-    if "string" not in types:
-        return F.struct(*named)
-    return F.unhex(F.sha2(F.to_json(F.struct(*named)), 256))
+    long = [c for c, dtype in zip(named, types) if dtype == "string" or "map<" in dtype]
+    plain = [c for c, dtype in zip(named, types) if not (dtype == "string" or "map<" in dtype)]
+    if not long:
+        return F.struct(*plain)
+    return F.struct(*plain, F.unhex(F.sha2(F.to_json(F.struct(*long)), 256)).alias("digest"))
 
 
 def distinct_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

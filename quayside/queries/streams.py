@@ -12,7 +12,13 @@ from quayside.streaming import incremental as I
 
 
 def arriving(t, name):
-    return I.arriving_files(t.spark, t.folder, getattr(t, name).schema, name_filter=f"{name}.parquet")
+    """The table's files as a stream: the files of its folder, or the one file it is."""
+    path = t.spark._jvm.org.apache.hadoop.fs.Path(t.path(name))
+    files = path.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    schema = getattr(t, name).schema
+    if files.getFileStatus(path).isDirectory():
+        return I.arriving_files(t.spark, t.path(name), schema)
+    return I.arriving_files(t.spark, t.folder, schema, name_filter=f"{name}.parquet")
 
 
 @query("st_running_totals", f"SELECT {total('l_extendedprice')} AS total, COUNT(*) AS rows FROM lineitem")

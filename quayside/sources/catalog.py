@@ -81,7 +81,10 @@ def analyze(spark: SparkSession, name: str) -> None:
 
 
 def versions(spark: SparkSession, name: str) -> list[int]:
-    found = [re.fullmatch(rf"{re.escape(name)}__v(\d+)", t.name) for t in spark.catalog.listTables()]
+    """Version numbers of a saved result; the name may carry its database."""
+    database, _, bare = name.rpartition(".")
+    tables = spark.catalog.listTables(database) if database else spark.catalog.listTables()
+    found = [re.fullmatch(rf"{re.escape(bare)}__v(\d+)", t.name) for t in tables]
     return sorted(int(m.group(1)) for m in found if m)
 
 

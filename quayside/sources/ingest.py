@@ -37,7 +37,7 @@ def ingest(
             write_frame(df, target, fmt)
             rows.append((name, "success", seen.get["n"], None, target))
         except Exception as e:  # noqa: BLE001 - one source must not stop the others
-            rows.append((name, "failed", 0, f"{type(e).__name__}: {e}"[:500], None))
+            rows.append((name, "failed", 0, f"{type(e).__name__}: {e}", None))
     status = spark.createDataFrame(rows, STATUS)
     write_frame(status, f"{path}/run_id={run_id}/_results", "json")
     return status
