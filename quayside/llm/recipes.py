@@ -72,8 +72,10 @@ def copies(docs: DataFrame, cut: str = CUT) -> DataFrame:
     an empty table gives no rows.
     """
     made = recipes(chunk_digests(docs, cut))
-    # summed before the shuffle, so a hot group is one row per task; then its many rows meet that one row
+    # summed before the shuffle, so a hot group is one row per task; then its many rows meet that one row,
+    # and as the sums are written first, adaptive execution can split them
     group = made.groupBy("recipe").agg(F.max(F.struct("doc_id", "row")).alias("best"), F.count(F.lit(1)).alias("n"))
+    group = materialise(group, "groups")
     return made.join(group, "recipe").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("row") == F.col("best.row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"),
