@@ -109,8 +109,8 @@ def metrics(c) -> list[Column]:
     c = _c(c).cast("double")
     zero = F.lit(0.0)
     return [
-        F.coalesce(F.sum(c.cast("decimal(18,2)")).cast("double"), zero).alias("total"),
-        F.coalesce(F.try_divide(F.sum(c.cast("decimal(18,2)")).cast("double"), F.count(c)), zero).alias("average"),
+        F.coalesce(F.sum(c), zero).alias("total"),
+        F.coalesce(F.avg(c), zero).alias("average"),
         F.coalesce(F.min(c), zero).alias("min"),
         F.coalesce(F.max(c), zero).alias("max"),
         F.count(c).alias("count"),

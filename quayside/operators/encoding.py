@@ -10,21 +10,33 @@ from pyspark.sql import DataFrame, functions as F
 from quayside.functions.nested import lookup
 from quayside.operators.profile import frequencies
 
-MAX_LEVELS = 1000
+#: As many levels become a column each; more make a table too wide and become one map column.
+MAX_COLUMNS = 1000
 
 
-def levels(df: DataFrame, column: str, max_levels: int = MAX_LEVELS) -> list:
-    """The distinct values, in order; they become columns, so their number is checked."""
+def levels(df: DataFrame, column: str, max_levels: int = MAX_COLUMNS) -> list | None:
+    """The distinct values, in order; None when there are more than `max_levels`."""
     rows = df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; one column each is too many")
-    return sorted(r[0] for r in rows)
+    return sorted(r[0] for r in rows) if len(rows) <= max_levels else None
 
 
-def one_hot(df: DataFrame, column: str, prefix: str | None = None, values: Sequence | None = None) -> DataFrame:
-    """One 0/1 column per level; the source column goes, as in a dummy encoding."""
-    name = lambda v: f"{prefix or column}_{re.sub(r'[^0-9A-Za-z]+', '_', str(v))}"
-    found = list(values) if values is not None else levels(df, column)
+def one_hot(
+    df: DataFrame, column: str, prefix: str | None = None, values: Sequence | None = None,
+    max_columns: int = MAX_COLUMNS,
+) -> DataFrame:
+    """One 0/1 column per level; the source column goes, as in a dummy encoding.
+
+    The levels are `values`, or those found. When more than `max_columns` are
+    found, the encoding is a map column `<prefix>_levels` from level name to 1,
+    where a level that is absent counts as 0.
+    """
+    start = f"{prefix or column}_"
+    name = lambda v: f"{start}{re.sub(r'[^0-9A-Za-z]+', '_', str(v))}"
+    found = list(values) if values is not None else levels(df, column, max_columns)
+    if found is None:
+        level = F.concat(F.lit(start), F.regexp_replace(F.col(column).cast("string"), "[^0-9A-Za-z]+", "_"))
+        entry = F.when(F.col(column).isNotNull(), F.create_map(level, F.lit(1)))
+        return df.withColumn(f"{start}levels", entry).drop(column)
     flags = {name(v): F.coalesce((F.col(column) == v).cast("int"), F.lit(0)) for v in found}
     return df.withColumns(flags).drop(column)
 

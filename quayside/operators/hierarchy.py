@@ -2,38 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from itertools import count
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from quayside.functions.text import indent
-from quayside.session import materialise
+from quayside.session import scratch_path
 
 
-def tree(nodes: DataFrame, id_col: str, parent_col: str, name_col: str, separator: str = " > ",
-         max_depth: int = 100) -> DataFrame:
-    """id, indented name, full path and level, from the roots (null parent) down.
+def tree(nodes: DataFrame, id_col: str, parent_col: str, name_col: str, separator: str = " > ") -> DataFrame:
+    """id, indented name, full path and level, from the roots (null parent) down, however deep.
 
     One join per level. Each level is written to the shared folder before the
     next one reads it, so lineage stays short and a lost executor costs one
-    level at most. A cycle never touches a root and is not reached.
+    level at most. A cycle without a root is not reached; where an id occurs
+    again below itself, it is not followed further.
     """
+    spark = nodes.sparkSession
     base = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"), F.col(name_col).alias("name"))
-    level = materialise(
-        base.filter(F.col("parent").isNull()).select(
-            "id", "name", F.col("name").alias("full_path"), F.lit(0).cast("bigint").alias("level")
-        ),
-        "tree-level",
+    out = scratch_path(spark, "tree")
+    step = base.filter(F.col("parent").isNull()).select(
+        "id", "name", F.col("name").alias("full_path"), F.array("id").alias("above")
     )
-    result = level
-    for depth in range(1, max_depth + 1):
-        up = level.select(F.col("id").alias("_up"), F.col("full_path").alias("_path"))
-        step = base.join(up, F.col("parent") == F.col("_up")).select(
-            "id", "name", F.concat("_path", F.lit(separator), "name").alias("full_path"),
-            F.lit(depth).cast("bigint").alias("level"),
-        )
-        level = materialise(step, "tree-level")
+    schema = step.schema
+    for depth in count():
+        step.write.parquet(f"{out}/level={depth}")
+        level = spark.read.schema(schema).parquet(f"{out}/level={depth}")
         if level.isEmpty():
             break
-        result = result.unionByName(level)
-    else:
-        raise RecursionError(f"the tree is deeper than {max_depth} levels")
-    return result.select("id", indent("name", F.col("level")).alias("indented_name"), "full_path", "level")
+        up = level.select(F.col("id").alias("_up"), F.col("full_path").alias("_path"), "above")
+        step = base.join(up, F.col("parent") == F.col("_up")).filter(~F.array_contains("above", F.col("id"))).select(
+            "id", "name", F.concat("_path", F.lit(separator), "name").alias("full_path"),
+            F.array_append("above", F.col("id")).alias("above"),
+        )
+    saved = spark.read.schema(T.StructType([*schema.fields, T.StructField("level", T.LongType())])).parquet(out)
+    return saved.select("id", indent("name", F.col("level")).alias("indented_name"), "full_path", "level")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from quayside.functions.exact import exact_mean
+from quayside.functions.exact import number
 from quayside.operators.profile import mode_value, null_counts
 from quayside.operators.quantiles import quantiles
 
@@ -20,7 +20,7 @@ def learn_fill(df: DataFrame, strategies: dict[str, str], unknown: str = "Unknow
     means = [c for c, s in strategies.items() if s == "mean"]
     medians = [c for c, s in strategies.items() if s == "median"]
     if means:
-        row = df.agg(*[exact_mean(c).alias(c) for c in means]).first()
+        row = df.agg(*[F.avg(number(df, c)).cast("double").alias(c) for c in means]).first()
         values |= {c: row[c] for c in means}
     if medians:
         values |= {c: v[0] for c, v in quantiles(df, medians, [0.5]).items()}

@@ -24,16 +24,17 @@ least. Those bounds are what makes the broadcasts here safe.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from itertools import accumulate
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from pyspark.sql.window import WindowSpec
 
 MIN_ROWS = 1000
-STRING_CHUNKS = 5
 PART = "_part"
 WIDE = "_wide"
 _SALT = "_salt"
@@ -61,35 +62,36 @@ class By:
     def flipped(self) -> By:
         return replace(self, desc=not self.desc, nulls_first=not self._nulls_lead)
 
-    def positions(self, schema: T.StructType) -> list[tuple[Column, float]]:
-        """Doubles that, compared one after the other, never decrease along the order.
+    def is_text(self, schema: T.StructType) -> bool:
+        return isinstance(schema[self.name].dataType, T.StringType)
 
-        Each comes with a factor: while the largest |position| times the factor
-        stays below 2**53, different values have different positions.
+    def position(self, schema: T.StructType, start: int = 0) -> tuple[Column, float]:
+        """A double that never decreases along the order, and a factor: while the largest
+        |position| times the factor stays below 2**53, different values have different positions.
+
+        Text is placed by the six bytes from `start` on, among texts that agree before it.
         """
         dtype = schema[self.name].dataType
         c, factor = F.col(self.name), 1.0
         if isinstance(dtype, T.DateType):
-            found = [F.unix_date(c)]
+            found = F.unix_date(c)
         elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            found = [F.unix_micros(c.cast("timestamp"))]
+            found = F.unix_micros(c.cast("timestamp"))
         elif isinstance(dtype, T.StringType):
-            # Six bytes at a time; what comes after the last chunk is not told apart.
-            code = F.rpad(F.hex(F.encode(c, "UTF-8")), 12 * STRING_CHUNKS, "0")
-            found = [F.conv(F.substring(code, 12 * i + 1, 12), 16, 10) for i in range(STRING_CHUNKS)]
+            # The bytes, then how many there are: a text ends before one that goes on with zero bytes.
+            block = F.substring(F.hex(F.encode(c, "UTF-8")), 2 * start + 1, 12)
+            found = F.conv(F.rpad(block, 12, "0"), 16, 10).cast("double") * 8 + F.length(block) / 2
+            factor = 0.0
         elif isinstance(dtype, T.DecimalType):
-            found, factor = [c], 10.0 ** dtype.scale
+            found, factor = c, 10.0 ** dtype.scale
         elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-            found, factor = [c], 0.0
+            found, factor = c, 0.0
         elif isinstance(dtype, (T.NumericType, T.BooleanType)):
-            found = [c]
+            found = c
         else:
             raise TypeError(f"cannot order by {self.name}: {dtype.simpleString()}")
         edge = F.lit(float("-inf") if self._nulls_lead else float("inf"))
-        out = [F.coalesce(-x.cast("double") if self.desc else x.cast("double"), edge) for x in found]
-        if isinstance(dtype, T.StringType):
-            return [(x, 0.0) for x in out[:-1]] + [(out[-1], float("inf"))]
-        return [(out[0], factor)]
+        return F.coalesce(-found.cast("double") if self.desc else found.cast("double"), edge), factor
 
 
 def as_order(order) -> list[By]:
@@ -192,6 +194,22 @@ def _cut(df: DataFrame, pos: Column, on: list[str], cells: dict[tuple, list[floa
     return df.withColumn("_sub", sub).drop("_cuts"), heavy
 
 
+def _first_difference(rows: DataFrame, name: str, on: list[str]) -> int | None:
+    """Up to which byte all texts of a cell agree, the least over the cells; None when no cell holds different texts."""
+    least, most = (F.hex(F.encode(f"_{x}", "UTF-8")) for x in ("least", "most"))
+    longest = F.greatest(F.length(least), F.length(most))
+    # Binary search for the length of the common beginning, in bytes.
+    common = F.aggregate(
+        F.transform(F.sequence(F.lit(28), F.lit(0), F.lit(-1)), lambda b: F.pow(F.lit(2), b).cast("int")),
+        F.lit(0),
+        lambda got, step: F.when(
+            (2 * (got + step) <= longest) & (F.left(least, 2 * (got + step)) == F.left(most, 2 * (got + step))), got + step
+        ).otherwise(got),
+    )
+    ends = rows.groupBy(*on).agg(F.min(name).alias("_least"), F.max(name).alias("_most"))
+    return ends.filter(F.col("_least") != F.col("_most")).agg(F.min(common)).first()[0]
+
+
 @dataclass
 class Split:
     """`df` with part numbers; when no group was oversized it has no extra column."""
@@ -229,8 +247,7 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
     """Cut the oversized groups of `keys` (or the whole table) into ordered parts."""
     order, keys, fan = as_order(order), list(keys), fanout(df)
     schema = df.schema
-    levels = [level for o in order for level in o.positions(schema)]
-    pos, factor = levels[0]
+    pos, factor = order[0].position(schema)
 
     if keys:
         sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -257,22 +274,28 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
         cells = {(): [q[int(i * fan / k) - 1] for i in range(1, k)]}
         exact = _exact(reach, factor)
 
-    pure = exact and len(order[0].positions(schema)) == 1
+    pure = exact and not order[0].is_text(schema)
     out, heavy = _cut(df, pos, keys, cells, exact)
     if keys:
         out = out.withColumn(WIDE, F.col("_sub").isNotNull())
         out = out.withColumn(PART, F.coalesce("_sub", F.lit(0).cast("bigint"))).drop("_sub")
     else:
         out = out.withColumnRenamed("_sub", PART).withColumn(WIDE, F.lit(True))
-    for pos, factor in levels[1:]:
-        # The rows of one heavy value follow the next order column.
-        if not heavy:
-            break
-        on = [*keys, PART]
+    # The rows of one heavy position are told apart by further bytes of a text, then by the next order column.
+    on = [*keys, PART]
+    at, start = 0, 0
+    while heavy:
         types = T.StructType([T.StructField(n, out.schema[n].dataType) for n in on])
+        rows = attach(out, df.sparkSession.createDataFrame(heavy, types), on, "inner")
+        if order[at].is_text(schema):
+            start = _first_difference(rows, order[at].name, on)
+        if start is None or not order[at].is_text(schema):
+            at, start = at + 1, 0
+            if at == len(order):
+                break
+        pos, factor = order[at].position(schema, start)
         rows = (
-            attach(out, df.sparkSession.createDataFrame(heavy, types), on, "inner")
-            .groupBy(*on)
+            rows.groupBy(*on)
             .agg(F.count(F.lit(1)).alias("_n"), _quantiles(pos, fan).alias("_q"), _reach(pos).alias("_reach"))
             .filter(F.col("_n") > limit)
             .select(*on, _spread(limit, fan).alias("_q"), "_reach")
@@ -282,10 +305,17 @@ def split(df: DataFrame, order, keys: Sequence[str] = (), min_rows: int = MIN_RO
         if not cells:
             break
         out, deeper = _cut(out, pos, on, cells, all(_exact(r["_reach"], factor) for r in rows))
-        marks = 2 * max(len(set(cuts)) for cuts in cells.values()) + 2
-        number = F.col(PART) * marks + F.coalesce("_sub", F.lit(0).cast("bigint"))
-        out = out.withColumn(PART, number).drop("_sub")
-        heavy = [(*c[:-2], c[-2] * marks + c[-1]) for c in deeper]
+        # Each part that was cut makes room for its own parts, so numbers stay as small as the parts are few.
+        room: dict[int, int] = {}
+        for cell, cuts in cells.items():
+            room[cell[-1]] = max(room.get(cell[-1], 0), 2 * len(set(cuts)))
+        cut_parts = sorted(room)
+        shifts = list(accumulate((room[p] for p in cut_parts), initial=0))
+        number = lambda part, sub: part + shifts[bisect_left(cut_parts, part)] + sub
+        shift = F.get(_doubles(shifts), _below(_doubles(cut_parts), F.col(PART).cast("double"), len(cut_parts)))
+        out = out.withColumn(PART, F.col(PART) + shift.cast("bigint") + F.coalesce("_sub", F.lit(0).cast("bigint")))
+        out = out.drop("_sub")
+        heavy = [(*c[:-2], number(c[-2], c[-1])) for c in deeper]
     return Split(out, keys, order, True, pure)
 
 
@@ -433,27 +463,29 @@ def with_range_running(
 def _edge_rows(s: Split, rows: int, following: bool) -> DataFrame:
     """For each part, the `rows` rows of its group just before (or after) it.
 
-    Built from the last `rows` rows of every part, about 3 * fanout * rows in all.
+    They come from the neighbouring part, and from parts further off only where
+    those between are shorter than the frame. Which part takes how many rows
+    from which is worked out on one row per part; the rows themselves meet only
+    inside their part.
     """
     order = [o.column() for o in s.order] if following else [o.flipped().column() for o in s.order]
     rank = F.row_number().over(Window.partitionBy(*s.group).orderBy(*order))
-    edge = s.df.filter(F.col(WIDE)).withColumn("_r", rank).filter(F.col("_r") <= rows).drop("_r")
-    sign = -1 if following else 1
-    along = Window.partitionBy(*s.keys).orderBy(sign * F.col(PART))
-    walk = Window.partitionBy(*s.keys).orderBy(
-        sign * F.col(PART), *[(o.flipped() if following else o).column() for o in s.order]
+    edge = s.df.filter(F.col(WIDE)).withColumn("_r", rank).filter(F.col("_r") <= rows)
+    along = Window.partitionBy(*s.keys).orderBy((-1 if following else 1) * F.col(PART))
+    ends = s.summary(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     )
-    numbered = edge.withColumn("_q", F.row_number().over(walk)).drop(WIDE)
-    ends = s.summary(F.least(F.count(F.lit(1)), F.lit(rows)).alias("_n")).withColumn(
-        "_end", F.coalesce(F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    near = Window.partitionBy(*s.keys).orderBy("_end").rangeBetween(-(rows - 1), 0)
+    source = F.struct(F.col(PART).alias("part"), F.col("_end").alias("end"))
+    wanted = ends.select(
+        *s.keys, "_end", F.lead(PART).over(along).alias("_to"), F.collect_list(source).over(near).alias("_from")
     )
-    wanted = ends.filter(F.col("_end") > 0).select(
-        *s.keys,
-        F.col(PART).alias("_to"),
-        F.explode(F.sequence(F.greatest(F.lit(1), F.col("_end") - rows + 1), F.col("_end"))).alias("_q"),
+    wanted = wanted.filter(F.col("_to").isNotNull()).select(*s.keys, "_end", "_to", F.explode("_from").alias("_from"))
+    wanted = wanted.select(
+        *s.keys, F.col("_from.part").alias(PART), "_to", (rows - F.col("_end") + F.col("_from.end")).alias("_take")
     )
-    copies = attach(numbered.drop(PART), wanted, [*s.keys, "_q"], "inner")
-    return copies.withColumnRenamed("_to", PART).withColumn(WIDE, F.lit(True)).drop("_q")
+    copies = attach(edge, wanted, s.group, "inner").filter(F.col("_r") <= F.col("_take"))
+    return copies.drop(PART, "_r", "_take").withColumnRenamed("_to", PART)
 
 
 def with_neighbours(

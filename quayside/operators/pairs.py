@@ -49,28 +49,25 @@ def frequent_pairs(
     )
     if giants:
         pairs = pairs.filter(F.col("support") >= min_support - len(giants))
-        for n, g in enumerate(giants):
-            inside = held.filter(F.col("_b") == g).select("_i")
-            for end in ("item_a", "item_b"):
-                mark = inside.select(F.col("_i").alias(end), F.lit(1).alias(f"_{end}_{n}"))
-                pairs = pairs.join(mark, end, "left")
-        found = sum(
-            (F.coalesce(F.col(f"_item_a_{n}") * F.col(f"_item_b_{n}"), F.lit(0)) for n in range(len(giants))),
-            F.lit(0),
-        )
+        # Each item with those of the baskets set aside that hold it, fewer than `min_support`.
+        inside = held.filter(F.col("_b").isin(giants)).groupBy("_i").agg(F.collect_list("_b").alias("_in"))
+        for end in ("item_a", "item_b"):
+            pairs = pairs.join(inside.select(F.col("_i").alias(end), F.col("_in").alias(f"_{end}")), end, "left")
+        found = F.coalesce(F.size(F.array_intersect("_item_a", "_item_b")).cast("long"), F.lit(0))
+        found = F.when(F.col("_item_a").isNull() | F.col("_item_b").isNull(), 0).otherwise(found)
         pairs = pairs.select("item_a", "item_b", (F.col("support") + found).alias("support"))
     return pairs.filter(F.col("support") >= min_support).select("item_a", "item_b", "support")
 
 
-def every_combination(df: DataFrame, small: DataFrame, max_small: int = 10_000) -> DataFrame:
-    """Each row of `df` with each row of `small`.
+def every_combination(df: DataFrame, small: DataFrame, packed_rows: int = 10_000) -> DataFrame:
+    """Each row of `df` with each row of `small`, however many there are.
 
-    `small` is counted first and must be small: its rows reach each task as one
-    array value, which each row of `df` unfolds in place, so there is neither a
-    join nor a shuffle. Over the limit it raises, as the result would no longer
-    grow with `df` alone.
+    `small` is counted first. Up to `packed_rows` rows it reaches each task as
+    one array value, which each row of `df` unfolds in place, so there is
+    neither a join nor a shuffle. A larger side is left to the planner's cross
+    product; the rows are the same.
     """
-    if small.limit(max_small + 1).count() > max_small:
-        raise ValueError(f"the small side has more than {max_small} rows")
+    if small.limit(packed_rows + 1).count() > packed_rows:
+        return df.crossJoin(small)
     packed = small.agg(F.collect_list(F.struct(*small.columns)).alias("all"))
     return df.select(*df.columns, F.inline(packed.scalar()))

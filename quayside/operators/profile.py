@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quayside.functions.exact import exact_mean
+from quayside.functions.exact import number
 from quayside.operators.quantiles import quantiles
 
 
@@ -19,8 +19,12 @@ def _long(row: DataFrame, columns: Sequence[str], measures: Sequence[str], key:
     return row.select(F.inline(items))
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], scale: int = 2) -> DataFrame:
-    """count, min, max, mean, std (n-1) and range per column, from one pass."""
+def numeric_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """count, min, max, mean, std (n-1), range and exact quartiles per column.
+
+    One pass for all but the quartiles, which have their own (see `quantiles`).
+    """
+    quartiles = quantiles(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for c in columns:
         x = F.col(c).cast("double")
@@ -28,11 +32,13 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], scale: int = 2) -> Da
             F.count(c).alias(f"count__{c}"),
             F.min(x).alias(f"min__{c}"),
             F.max(x).alias(f"max__{c}"),
-            exact_mean(c, scale).alias(f"mean__{c}"),
+            F.avg(number(df, c)).cast("double").alias(f"mean__{c}"),
             F.stddev_samp(x).alias(f"std__{c}"),
             (F.max(x) - F.min(x)).alias(f"range__{c}"),
         ]
-    return _long(df.agg(*aggs), columns, ["count", "min", "max", "mean", "std", "range"], "feature")
+        at = quartiles.get(c) or [None] * 3  # a column without values has none
+        aggs += [F.lit(v).cast("double").alias(f"{q}__{c}") for q, v in zip(("p25", "p50", "p75"), at)]
+    return _long(df.agg(*aggs), columns, ["count", "min", "max", "mean", "std", "range", "p25", "p50", "p75"], "feature")
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quayside.functions.exact import number
 from quayside.operators.ordered import MIN_ROWS, as_order, carry, number_rows, split, with_carry, with_neighbours
 from quayside.session import materialise
 
@@ -87,7 +88,7 @@ def moving_averages(df: DataFrame, order, column: str, windows: dict[str, int],
     def columns(w):
         def mean(size: int):
             frame = w.rowsBetween(-(size - 1), Window.currentRow)
-            total = F.sum(F.col(column).cast("decimal(18,4)")).over(frame).cast("double")
+            total = F.sum(number(df, column)).over(frame).cast("double")
             return F.try_divide(total, F.count(column).over(frame))
 
         new = {name: mean(size) for name, size in windows.items()}
@@ -112,7 +113,7 @@ def lag_features(df: DataFrame, keys: Sequence[str], time: str, order, value: st
 
     def columns(w):
         frame = w.rowsBetween(-2, Window.currentRow)
-        total = F.sum(F.col(value).cast("decimal(18,2)")).over(frame).cast("double")
+        total = F.sum(number(df, value)).over(frame).cast("double")
         gap = F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time, 1).over(w).cast("timestamp"))
         return {
             f"{prefix}_value": F.lag(value, 1).over(w),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.functions import dates, numbers, text
-from quayside.functions.exact import exact_mean, exact_sum
+from quayside.functions.exact import number
 from quayside.operators.encoding import frequency_encode, label_encode, one_hot
 from quayside.operators.series import lag_features
 
@@ -19,8 +19,8 @@ def purchase_stats(df: DataFrame, key: str, amount: str, *first) -> DataFrame:
     x = F.col(amount).cast("double")
     out = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("purchase_count"),
-        exact_sum(amount).alias("total_spent"),
-        exact_mean(amount).alias("avg_purchase"),
+        F.sum(number(df, amount)).cast("double").alias("total_spent"),
+        F.avg(number(df, amount)).cast("double").alias("avg_purchase"),
         F.max(x).alias("max_purchase"),
         F.min(x).alias("min_purchase"),
         F.stddev_samp(x).alias("purchase_std"),

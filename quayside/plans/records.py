@@ -37,5 +37,5 @@ def sales_totals(processed: DataFrame) -> DataFrame:
     return processed.agg(
         n.alias("total_records"), good.alias("valid_records"), (n - good).alias("invalid_records"),
         F.try_divide(good.cast("double"), n).alias("valid_share"),
-        F.coalesce(F.sum(F.col("final_revenue").cast("decimal(18,4)")).cast("double"), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(F.sum("final_revenue"), F.lit(0.0)).alias("total_revenue"),
     )

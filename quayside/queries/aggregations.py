@@ -189,10 +189,10 @@ def a_customer_rollup(t):
 
 @query("a_customer_stats", f"""
 WITH s AS (
-  SELECT o_custkey, COUNT(*) AS purchase_count, {total('o_totalprice')} AS total_spent,
-         {mean('o_totalprice')} AS avg_purchase, MAX(o_totalprice) AS max_purchase, MIN(o_totalprice) AS min_purchase,
+  SELECT o_custkey, COUNT(*) AS purchase_count, SUM(o_totalprice) AS total_spent,
+         AVG(o_totalprice) AS avg_purchase, MAX(o_totalprice) AS max_purchase, MIN(o_totalprice) AS min_purchase,
          STDDEV_SAMP(o_totalprice) AS sd FROM orders GROUP BY o_custkey)
-SELECT o_custkey, purchase_count, total_spent, avg_purchase, max_purchase, min_purchase,
+SELECT o_custkey, purchase_count, ROUND(total_spent, 2) AS total_spent, ROUND(avg_purchase, 7) AS avg_purchase, max_purchase, min_purchase,
        ROUND(sd, 3) AS purchase_std, max_purchase - min_purchase AS purchase_range,
        ROUND(sd / avg_purchase, 6) AS purchase_cv
 FROM s
@@ -202,6 +202,7 @@ def a_customer_stats(t):
 
     return purchase_stats(t.orders, "o_custkey", "o_totalprice").withColumns({
         "purchase_std": F.round("purchase_std", 3), "purchase_cv": F.round("purchase_cv", 6),
+        "total_spent": F.round("total_spent", 2), "avg_purchase": F.round("avg_purchase", 7),
     })
 
 
@@ -209,10 +210,11 @@ PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 
 
 @query("a_profile", " UNION ALL ".join(f"""
-SELECT '{c}' AS feature, COUNT({c}) AS count, MIN({c}) AS min, MAX({c}) AS max, {mean(c)} AS mean,
-       ROUND(STDDEV_SAMP({c}), 6) AS std, MAX({c}) - MIN({c}) AS range FROM lineitem""" for c in PROFILED))
+SELECT '{c}' AS feature, COUNT({c}) AS count, MIN({c}) AS min, MAX({c}) AS max, ROUND(AVG({c}), 6) AS mean,
+       ROUND(STDDEV_SAMP({c}), 6) AS std, MAX({c}) - MIN({c}) AS range,
+       QUANTILE_CONT({c}, 0.25) AS p25, QUANTILE_CONT({c}, 0.5) AS p50, QUANTILE_CONT({c}, 0.75) AS p75 FROM lineitem""" for c in PROFILED))
 def a_profile(t):
-    return numeric_profile(t.lineitem, PROFILED).withColumn("std", F.round("std", 6))
+    return numeric_profile(t.lineitem, PROFILED).withColumns({"std": F.round("std", 6), "mean": F.round("mean", 6)})
 
 
 @query("a_quantiles", " UNION ALL ".join(
@@ -243,12 +245,13 @@ def a_skew(t):
 
 
 @query("a_metrics", f"""
-SELECT o_orderstatus, {total('o_totalprice')} AS total, {mean('o_totalprice')} AS average, MIN(o_totalprice) AS min,
+SELECT o_orderstatus, ROUND(SUM(o_totalprice), 2) AS total, ROUND(AVG(o_totalprice), 4) AS average, MIN(o_totalprice) AS min,
        MAX(o_totalprice) AS max, COUNT(o_totalprice) AS count
 FROM orders GROUP BY o_orderstatus
 """)
 def a_metrics(t):
-    return t.orders.groupBy("o_orderstatus").agg(*N.metrics("o_totalprice"))
+    out = t.orders.groupBy("o_orderstatus").agg(*N.metrics("o_totalprice"))
+    return out.withColumns({"total": F.round("total", 2), "average": F.round("average", 4)})
 
 
 @query("o_sort", "SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_retailprice, p_partkey DESC")

@@ -18,16 +18,16 @@ def gaps(t):
 
 
 @query("m_fill_numeric", f"""
-WITH e AS ({GAPS}), s AS (SELECT {mean('v')} AS mean, QUANTILE_CONT(v, 0.5) AS median FROM e),
+WITH e AS ({GAPS}), s AS (SELECT AVG(v) AS mean, QUANTILE_CONT(v, 0.5) AS median FROM e),
 m AS (SELECT v AS mode FROM e WHERE v IS NOT NULL GROUP BY v ORDER BY COUNT(*) DESC, v LIMIT 1)
-SELECT event_id, COALESCE(v, mean) AS v_mean, COALESCE(v, median) AS v_median, COALESCE(v, mode) AS v_mode, COALESCE(v, 0.0) AS v_zero
+SELECT event_id, ROUND(COALESCE(v, mean), 6) AS v_mean, COALESCE(v, median) AS v_median, COALESCE(v, mode) AS v_mode, COALESCE(v, 0.0) AS v_zero
 FROM e, s, m
 """)
 def m_fill_numeric(t):
     rows = gaps(t)
     for how in ("mean", "median", "mode", "zero"):
         rows = M.fill(rows, M.learn_fill(gaps(t), {"v": how}), suffix=f"_{how}")
-    return rows.drop("v", "user_id")
+    return rows.withColumn("v_mean", F.round("v_mean", 6)).drop("v", "user_id")
 
 
 HOLES = "SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal > 9000 THEN '' ELSE c_mktsegment END AS seg FROM customer"
@@ -284,7 +284,7 @@ PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 @query("e_feature_all", f"""
 WITH r AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS order_date, o_totalprice AS amount, c_acctbal AS balance, c_name AS name,
     o_orderpriority AS priority, c_mktsegment AS segment, CAST(o_orderdate AS DATE) AS d FROM orders JOIN customer ON o_custkey = c_custkey),
-s AS (SELECT o_custkey AS k, COUNT(*) AS purchase_count, {total('amount')} AS total_spent, {mean('amount')} AS avg_purchase, MAX(amount) AS max_purchase,
+s AS (SELECT o_custkey AS k, COUNT(*) AS purchase_count, SUM(amount) AS total_spent, AVG(amount) AS avg_purchase, MAX(amount) AS max_purchase,
     MIN(amount) AS min_purchase, STDDEV_SAMP(amount) AS sd FROM r GROUP BY o_custkey),
 f AS (SELECT segment AS g, COUNT(*) / CAST((SELECT COUNT(*) FROM r) AS DOUBLE) AS segment_frequency FROM r GROUP BY segment)
 SELECT o_orderkey, o_custkey, order_date, amount, balance, name, priority, segment,
@@ -298,12 +298,12 @@ SELECT o_orderkey, o_custkey, order_date, amount, balance, name, priority, segme
   amount * balance AS balance_amount_interaction,
   {", ".join(f"CASE WHEN priority = '{p}' THEN 1 ELSE 0 END AS category_{p.replace('-', '_').replace(' ', '_')}" for p in PRIORITIES)},
   CASE segment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3 WHEN 'HOUSEHOLD' THEN 4 END AS segment_encoded, segment_frequency,
-  purchase_count, total_spent, avg_purchase, max_purchase, min_purchase, ROUND(sd, 3) AS purchase_std, max_purchase - min_purchase AS purchase_range,
+  purchase_count, ROUND(total_spent, 2) AS total_spent, ROUND(avg_purchase, 7) AS avg_purchase, max_purchase, min_purchase, ROUND(sd, 3) AS purchase_std, max_purchase - min_purchase AS purchase_range,
   ROUND(sd / avg_purchase, 6) AS purchase_cv, LENGTH(name) AS name_length, CAST(1 AS BIGINT) AS name_word_count, name AS name_first_word,
   CASE WHEN CONTAINS(LOWER(name), '99') THEN 1 ELSE 0 END AS name_has_99,
   segment || '_' || priority AS segment_priority, balance * amount AS balance_amount_product, balance / (amount + 1) AS balance_amount_ratio,
   LAG(amount, 1) OVER w AS prev_value, LAG(amount, 2) OVER w AS prev_2_value,
-  CAST(SUM(CAST(amount AS DECIMAL(18,2))) OVER (w ROWS 2 PRECEDING) AS DOUBLE) / COUNT(amount) OVER (w ROWS 2 PRECEDING) AS rolling_avg_3,
+  ROUND(AVG(amount) OVER (w ROWS 2 PRECEDING), 6) AS rolling_avg_3,
   CAST(DATE_DIFF('day', LAG(d) OVER w, d) AS BIGINT) AS days_since_last
 FROM r JOIN s ON o_custkey = k JOIN f ON segment = g WINDOW w AS (PARTITION BY o_custkey ORDER BY order_date, o_orderkey)
 """)
@@ -320,4 +320,5 @@ def e_feature_all(t):
     )
     return out.withColumns({
         "amount_log": F.round("amount_log", 9), "purchase_std": F.round("purchase_std", 3), "purchase_cv": F.round("purchase_cv", 6),
+        "total_spent": F.round("total_spent", 2), "avg_purchase": F.round("avg_purchase", 7), "rolling_avg_3": F.round("rolling_avg_3", 6),
     })

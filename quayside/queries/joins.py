@@ -26,11 +26,10 @@ def j_inner(t):
 
 @query("j_left", """
 SELECT c_custkey, c_name, o_orderkey, CAST(o_orderdate AS DATE) AS order_date
-FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON c_custkey = o_custkey
+FROM customer LEFT JOIN orders ON c_custkey = o_custkey
 """)
 def j_left(t):
-    big = t.orders.filter(F.col("o_totalprice") > 400000)
-    return t.customer.join(big, on("c_custkey", "o_custkey"), "left").select(
+    return t.customer.join(t.orders, on("c_custkey", "o_custkey"), "left").select(
         "c_custkey", "c_name", "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date")
     )
 
@@ -72,14 +71,13 @@ def j_left_on_pred(t):
 @query("j_left_chain", f"""
 SELECT c_custkey, o_orderkey, p_name, l_quantity
 FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE o_orderpriority = '1-URGENT') ON c_custkey = o_custkey
+LEFT JOIN orders ON c_custkey = o_custkey
 LEFT JOIN lineitem ON o_orderkey = l_orderkey
 LEFT JOIN part ON l_partkey = p_partkey
 """)
 def j_left_chain(t):
-    urgent = t.orders.filter(F.col("o_orderpriority") == "1-URGENT")
     return (
-        t.customer.join(urgent, on("c_custkey", "o_custkey"), "left")
+        t.customer.join(t.orders, on("c_custkey", "o_custkey"), "left")
         .join(t.lineitem, on("o_orderkey", "l_orderkey"), "left")
         .join(t.part, on("l_partkey", "p_partkey"), "left")
         .select("c_custkey", "o_orderkey", "p_name", "l_quantity")

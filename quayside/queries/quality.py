@@ -236,10 +236,11 @@ def d_validate_measure(t):
 
 @query("d_validate_totals", f"""
 WITH {MEASURED} SELECT COUNT(*) AS total_records, COUNT(*) FILTER (valid) AS valid_records, COUNT(*) FILTER (NOT valid) AS invalid_records,
-  CAST(COUNT(*) FILTER (valid) AS DOUBLE) / COUNT(*) AS valid_share, CAST(SUM(CAST(final_revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue FROM f
+  CAST(COUNT(*) FILTER (valid) AS DOUBLE) / COUNT(*) AS valid_share, ROUND(SUM(final_revenue), 2) AS total_revenue FROM f
 """)
 def d_validate_totals(t):
-    return R.sales_totals(R.process_sales(lowered(t), 80000))
+    out = R.sales_totals(R.process_sales(lowered(t), 80000))
+    return out.withColumn("total_revenue", F.round("total_revenue", 2))
 
 
 # Visits with gaps: failed ones have no reading, free ones no name.

@@ -17,7 +17,7 @@ def mean(x: str) -> str:
 
 
 def half_up(x: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(28,6)), {digits}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(30,10)), {digits}) AS DOUBLE)"
 
 
 def age_months(later: str, earlier: str) -> str:

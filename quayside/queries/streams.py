@@ -66,11 +66,16 @@ def st_daily_revenue(t):
     return daily.select("order_date", "order_count", "unique_customers", "daily_revenue", "cumulative_revenue")
 
 
-@query("st_windowed_counts")
+@query("st_windowed_counts", """
+WITH seen AS (SELECT DISTINCT ON (event_id) event_id, event_type, CAST(ts AS TIMESTAMP) AS ts, value FROM events),
+w AS (SELECT DATE_TRUNC('hour', ts) AS window_start, event_type, COUNT(*) AS events, ROUND(SUM(value), 2) AS amount FROM seen GROUP BY ALL)
+SELECT * FROM w WHERE window_start + INTERVAL 1 HOUR <= (SELECT DATE_TRUNC('millisecond', MAX(ts)) FROM seen) - INTERVAL 10 MINUTE
+""")
 def st_windowed_counts(t):
-    """The last windows stay open until later events move the watermark past
-    them, so there is no SQL with the same rows."""
+    """Windows that the watermark has passed: those ending ten minutes or more before the
+    last event. Later ones stay open until further events arrive."""
     out = scratch_path(t.spark, "windows")
     stream = arriving(t, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     I.append_files(I.windowed_counts(stream, "ts", "event_id", "event_type", "value"), f"{out}/rows", f"{out}/checkpoint")
-    return t.spark.read.schema("window_start timestamp, event_type string, events long, amount double").parquet(f"{out}/rows")
+    rows = t.spark.read.schema("window_start timestamp, event_type string, events long, amount double").parquet(f"{out}/rows")
+    return rows.withColumn("amount", F.round("amount", 2))

@@ -275,14 +275,14 @@ def w_lag_features(t):
     return O.with_neighbours(rows, ["ts", "event_id"], cols, ["user_id"], before=2)
 
 
-@query("w_rolling3", f"""
-SELECT event_id, user_id, CAST(SUM({money('value')}) OVER w AS DOUBLE) / COUNT(value) OVER w AS rolling_avg_3
+@query("w_rolling3", """
+SELECT event_id, user_id, ROUND(AVG(value) OVER w, 6) AS rolling_avg_3
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 2 PRECEDING)
 """)
 def w_rolling3(t):
     rows = t.events.select("event_id", "user_id", "ts", "value")
     out = S.moving_average(rows, ["ts", "event_id"], "value", 3, "rolling_avg_3", keys=["user_id"])
-    return out.select("event_id", "user_id", "rolling_avg_3")
+    return out.select("event_id", "user_id", F.round("rolling_avg_3", 6).alias("rolling_avg_3"))
 
 
 @query("w_days_since", """

@@ -94,7 +94,7 @@ def windowed_counts(
     while the watermark still remembers it, later rows are ignored."""
     unique = stream.withWatermark(time, late).dropDuplicatesWithinWatermark([key])
     return unique.groupBy(F.window(time, window), kind).agg(
-        F.count(F.lit(1)).alias("events"), F.sum(F.col(amount).cast("decimal(18,2)")).cast("double").alias("amount")
+        F.count(F.lit(1)).alias("events"), F.sum(F.col(amount).cast("double")).alias("amount")
     ).select(F.col("window.start").alias("window_start"), kind, "events", "amount")
 
 

@@ -115,8 +115,9 @@ def test_encoding(spark):
     assert [tuple(r) for r in hot.orderBy("i").collect()] == [(1, 1, 0), (2, 0, 1), (3, 0, 0), (4, 0, 1)]
     freq = {r["i"]: r["f"] for r in E.frequency_encode(df, "s", "f").collect()}
     assert freq == {1: pytest.approx(1 / 3), 2: pytest.approx(2 / 3), 3: None, 4: pytest.approx(2 / 3)}
-    with pytest.raises(ValueError):
-        E.levels(df, "i", max_levels=2)
+    assert E.levels(df, "i", max_levels=2) is None and E.levels(df, "s", max_levels=2) == ["A b", "C"]
+    wide = E.one_hot(df, "s", "p", max_columns=1)
+    assert {r["i"]: r["p_levels"] for r in wide.collect()} == {1: {"p_A_b": 1}, 2: {"p_C": 1}, 3: None, 4: {"p_C": 1}}
 
 
 def test_narrowing(spark):

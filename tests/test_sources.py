@@ -235,8 +235,8 @@ def test_workbooks(spark, tmp_path):
 def test_every_combination(spark):
     out = every_combination(spark.range(3), spark.createDataFrame([("x",), ("y",)], "s string"))
     assert sorted(map(tuple, out.collect())) == [(i, s) for i in range(3) for s in "xy"]
-    with pytest.raises(ValueError):
-        every_combination(spark.range(3), spark.range(20), max_small=10)
+    wide = every_combination(spark.range(3), spark.range(20).toDF("j"), packed_rows=10)
+    assert sorted(map(tuple, wide.collect())) == [(i, j) for i in range(3) for j in range(20)]
 
 
 def test_limit_without_order(spark):
