@@ -1,5 +1,7 @@
 """Sources and sinks: tables written and read back in other forms."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quayside.functions import nested as J
@@ -7,7 +9,7 @@ from quayside.functions.exact import exact_sum
 from quayside.sources import catalog, files, ingest, payloads
 from quayside.queries.registry import query
 from quayside.queries.sqltext import total
-from quayside.session import scratch_path
+from quayside.session import materialise, scratch_path
 
 
 @query("s_scan_sum", f"SELECT {total('l_extendedprice')} AS total, COUNT(*) AS rows FROM lineitem")
@@ -104,3 +106,111 @@ def s_ingest_run(t):
     }
     status = ingest.ingest(t.spark, sources, scratch_path(t.spark, "ingest"), "run1")
     return status.select("source", "status", "records")
+
+
+@query("s_csv_inferred", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 'double' AS price_type FROM orders")
+def s_csv_inferred(t):
+    """Without a schema: keys come back as whole numbers, prices as doubles."""
+    path = scratch_path(t.spark, "orders-inferred")
+    files.write_csv(t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), path)
+    back = files.read_csv(t.spark, path)
+    return back.select(
+        *[F.col(c).cast("bigint").alias(c) for c in ("o_orderkey", "o_custkey")], "o_orderstatus", "o_totalprice",
+        F.typeof("o_totalprice").alias("price_type"),
+    )
+
+
+@query("s_csv_records", """
+SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber, l_linestatus FROM lineitem
+""")
+def s_csv_records(t):
+    path = scratch_path(t.spark, "lines-records")
+    files.write_csv(t.lineitem.select("l_orderkey", "l_linenumber", "l_linestatus"), path)
+    return files.read_csv_records(t.spark, path)
+
+
+@query("s_json_documents", "SELECT s_suppkey, s_name, s_nationkey, s_suppkey // 100 AS doc FROM supplier")
+def s_json_documents(t):
+    """Documents that each hold an array of up to 100 suppliers, one file each."""
+    path = scratch_path(t.spark, "suppliers-json")
+    record = F.struct("s_suppkey", "s_name", "s_nationkey")
+    docs = t.supplier.groupBy(F.floor(F.col("s_suppkey") / 100).alias("doc")).agg(F.to_json(F.collect_list(record)).alias("value"))
+    docs.write.partitionBy("doc").text(path)
+    return files.read_json(t.spark, path, f"s_suppkey long, s_name string, s_nationkey {dict(t.supplier.dtypes)['s_nationkey']}, doc long")
+
+
+@query("s_list_objects", "SELECT DISTINCT c_mktsegment AS segment FROM customer")
+def s_list_objects(t):
+    """A table in one folder per segment, listed without reading it."""
+    path = scratch_path(t.spark, "customers-by-segment")
+    t.customer.hint("rebalance", "c_mktsegment").write.partitionBy("c_mktsegment").parquet(path)
+    found = files.list_objects(t.spark, path).filter("size > 0 AND modificationTime IS NOT NULL")
+    return found.select(F.regexp_extract("path", "c_mktsegment=([^/]+)/", 1).alias("segment")).filter("segment <> ''").distinct()
+
+
+@query("s_bundle", """
+SELECT 'customer' AS name, c_custkey AS key FROM customer UNION ALL SELECT 'orders', o_orderkey FROM orders
+""")
+def s_bundle(t):
+    path = scratch_path(t.spark, "bundle")
+    files.write_bundle({"customer": t.customer, "orders": t.orders}, path)
+    back = files.read_bundle(t.spark, path, ["customer", "orders"])
+    keys = [("customer", "c_custkey"), ("orders", "o_orderkey")]
+    a, b = (back[n].select(F.lit(n).alias("name"), F.col(k).alias("key")) for n, k in keys)
+    return a.unionByName(b)
+
+
+@query("s_catalog_table", """
+SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+""")
+def s_catalog_table(t):
+    """A table made from a schema, replaced, appended to and read back."""
+    name = f"orders_{uuid.uuid4().hex}"
+    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    try:
+        catalog.create_table(t.spark, name, rows.schema)
+        catalog.write_table(rows, name, "append")
+        catalog.write_table(rows.filter("o_orderstatus <> 'P'"), name, "replace")
+        catalog.write_table(rows.filter("o_orderstatus = 'F'"), name, "append")
+        return materialise(catalog.read_table(t.spark, name), "orders-table")
+    finally:
+        t.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+@query("t_saved_result", """
+SELECT o_custkey, COUNT(*) AS orders, (SELECT CAST(COUNT(DISTINCT o_custkey) AS VARCHAR) FROM orders) AS stored_rows FROM orders GROUP BY o_custkey
+""")
+def t_saved_result(t):
+    """A result saved, refreshed twice, and read through its view, beside the row count of its statistics."""
+    name = f"orders_per_customer_{uuid.uuid4().hex}"
+    per = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
+    try:
+        for part in ("orders > 10", "orders > 5", "true"):
+            version = catalog.publish(per.filter(part), name)
+        stored = f"{name}__v{version}"
+        catalog.analyze(t.spark, stored)
+        known = t.spark.sql(f"DESCRIBE EXTENDED {stored}").filter("col_name = 'Statistics'").first()["data_type"]
+        rows = catalog.read_table(t.spark, name).withColumn("stored_rows", F.regexp_extract(F.lit(known), "([0-9]+) rows", 1))
+        return materialise(rows, "saved-result")
+    finally:
+        t.spark.sql(f"DROP VIEW IF EXISTS {name}")
+        for v in catalog.versions(t.spark, name):
+            t.spark.sql(f"DROP TABLE IF EXISTS {name}__v{v}")
+
+
+@query("s_person_rows", """
+SELECT SPLIT_PART(c_name, '#', 1) || ' ' || SPLIT_PART(c_name, '#', 2) AS name, LOWER(c_name) || '@example.org' AS email,
+       c_mktsegment AS city, n_name AS state, r_name AS country
+FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+""")
+def s_person_rows(t):
+    """Customers as nested user records in an array, flattened again."""
+    part = F.split("c_name", "#")
+    person = F.struct(
+        F.struct(part[0].alias("first"), part[1].alias("last")).alias("name"),
+        F.concat(F.lower("c_name"), F.lit("@example.org")).alias("email"),
+        F.struct(F.col("c_mktsegment").alias("city"), F.col("n_name").alias("state"), F.col("r_name").alias("country")).alias("location"),
+    )
+    rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return payloads.person_rows(rows.select(F.array(person).alias("people")), "people")
