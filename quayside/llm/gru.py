@@ -3,30 +3,35 @@
 Word counts come from all training documents. The network knows the most
 frequent words, in classes of about equal weight; its softmax is factored into
 class and word within class. Every other word is the class of rare words, whose
-share is spread by the smoothed counts. The state is carried from window to
-window, so a score is the log-probability of the complete text.
+share is spread by the smoothed counts. The weights are fitted on all training
+documents: they are dealt to tasks by hash, each task goes through its share,
+and the tasks' weights are averaged after each pass. The state is carried from
+window to window, so a score is the log-probability of the complete text.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.text import SPACE, ascii_lower, hash_sample, remainder
+from quayside.llm.text import SPACE, ascii_lower, remainder
 from quayside.session import materialise
 
 #: Words the network knows, its classes and the size of its state.
 VOCABULARY, CLASSES, HIDDEN = 1024, 32, 16
-#: About so many training documents at most are used to fit the weights, chosen by hash.
-SAMPLE_DOCS = 1500
-#: Tokens of the sample that the weights are fitted on, at most; lanes and steps of a window; passes.
-SAMPLE_TOKENS, LANES, WINDOW, PASSES = 400_000, 64, 32, 2
+#: Lanes and steps of a window; passes over all training documents.
+LANES, WINDOW, PASSES = 64, 32, 2
+#: Training tokens that a task goes through in a pass, about; steps of all lanes that it holds at a time.
+SHARD_TOKENS, HELD_STEPS = 1_000_000, 64 * WINDOW
+#: Weights in one row of those that tasks hand on to be averaged.
+SLICE = 1024
 #: Most frequent words whose counts every executor holds; the counts of all others are joined.
 HELD = 100_000
 ADDED = 0.1
@@ -69,6 +74,21 @@ class Gru:
         return self.embed + self.bias
 
 
+#: The weights that are fitted, in the order in which they are laid end to end.
+FITTED = ("embed", "inner", "bias", "to_class", "class_bias", "to_word", "word_bias")
+
+
+def laid_out(m: Gru) -> np.ndarray:
+    return np.concatenate([getattr(m, n).reshape(-1) for n in FITTED])
+
+
+def with_weights(m: Gru, values: np.ndarray) -> Gru:
+    """The same words and classes with other weights, which are views of `values`."""
+    ends = np.cumsum([getattr(m, n).size for n in FITTED])
+    parts = np.split(values, ends[:-1])
+    return replace(m, **{n: part.reshape(getattr(m, n).shape) for n, part in zip(FITTED, parts)})
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
 
@@ -131,62 +151,148 @@ def gradients(m: Gru, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) ->
         h, memo = step(m, table[inputs[t]], h)
         states.append(h)
         kept.append(memo)
+    before, a, z, r, n = (np.stack(part) for part in zip(*kept))
     s, w = np.concatenate(states), targets.reshape(-1)
-    g = {n: np.zeros_like(getattr(m, n)) for n in ("embed", "inner", "bias", "to_class", "class_bias", "to_word", "word_bias")}
-    lp = log_softmax(s @ m.to_class + m.class_bias)
-    loss = -lp[np.arange(len(w)), m.of[w]].sum()
+    by_class = np.argsort(m.of[w], kind="stable")  # rows of a class lie together
+    s, w = s[by_class], w[by_class]
+    g = {name: np.zeros_like(getattr(m, name)) for name in FITTED}
+    lp, rows = log_softmax(s @ m.to_class + m.class_bias), np.arange(len(w))
+    loss = -lp[rows, m.of[w]].sum()
     d = np.exp(lp)
-    d[np.arange(len(w)), m.of[w]] -= 1
+    d[rows, m.of[w]] -= 1
     g["to_class"], g["class_bias"], ds = s.T @ d, d.sum(0), d @ m.to_class.T
-    for c in np.unique(m.of[w]):
-        rows, size = np.flatnonzero(m.of[w] == c), m.last[c]
-        own = log_softmax(s[rows] @ m.to_word[c, :, :size] + m.word_bias[c, :size])
-        loss -= own[np.arange(len(rows)), m.at[w[rows]]].sum()
+    ends = np.cumsum(np.bincount(m.of[w], minlength=len(m.last)))
+    for c, (start, end) in enumerate(zip(np.r_[0, ends[:-1]], ends)):
+        if start == end or m.last[c] == 1:  # a single word of its class is certain
+            continue
+        size, mine, weights = m.last[c], s[start:end], np.ascontiguousarray(m.to_word[c, :, :m.last[c]])
+        own, places = log_softmax(mine @ weights + m.word_bias[c, :size]), (rows[:end - start], m.at[w[start:end]])
+        loss -= own[places].sum()
         e = np.exp(own)
-        e[np.arange(len(rows)), m.at[w[rows]]] -= 1
-        g["to_word"][c, :, :size], g["word_bias"][c, :size] = s[rows].T @ e, e.sum(0)
-        ds[rows] += e @ m.to_word[c, :, :size].T
-    ds, back = ds.reshape(steps, lanes, k), np.zeros_like(h)
+        e[places] -= 1
+        g["to_word"][c, :, :size], g["word_bias"][c, :size] = mine.T @ e, e.sum(0)
+        ds[start:end] += e @ weights.T
+    outer = np.empty_like(ds)
+    outer[by_class] = ds
+    ds, back = outer.reshape(steps, lanes, k), np.zeros_like(h)
+    to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), a[:, :, 2 * k:] * r * (1 - r)
+    da, dn = np.empty((steps, lanes, 3 * k), ds.dtype), np.empty_like(ds)
     for t in reversed(range(steps)):
-        before, a, z, r, n = kept[t]
         dh = ds[t] + back
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before - n) * z * (1 - z)
-        dr = dn * a[:, 2 * k:] * r * (1 - r)
-        dx = np.concatenate([dz, dr, dn], 1)
-        da = np.concatenate([dz, dr, dn * r], 1)
-        np.add.at(g["embed"], inputs[t], dx)
-        g["bias"] += dx.sum(0)
-        g["inner"] += before.T @ da
-        back = dh * z + da @ m.inner.T
-    return float(loss), {n: v / len(w) for n, v in g.items()}, h
-
-
-def fit(texts: list[np.ndarray], counts: np.ndarray) -> Gru:
-    """Truncated backpropagation through time over the joined texts, with Adam; the state goes on from window to window."""
-    m = start_weights(counts, np.random.default_rng(7))
-    stream = np.concatenate(texts)[:SAMPLE_TOKENS] if texts else np.zeros(0, np.int32)
-    end = 0  # word 0 is the end, which also stands before the first word
-    steps = len(stream) // LANES
-    if steps < 2:
-        return m
-    grid = stream[:steps * LANES].reshape(LANES, steps).T
-    given = np.concatenate([np.full((1, LANES), end, grid.dtype), grid[:-1]])
-    first, second = {}, {}
-    t = 0
+        dn[t] = dh * to_n[t]
+        da[t, :, :k], da[t, :, k:2 * k], da[t, :, 2 * k:] = dh * to_z[t], dn[t] * to_r[t], dn[t] * r[t]
+        back = dh * z[t] + da[t] @ m.inner.T
+    g["inner"] = before.reshape(-1, k).T @ da.reshape(-1, 3 * k)
+    da[:, :, 2 * k:] = dn  # what the words add isn't weighed by the gate
+    added = da.reshape(-1, 3 * k)
+    g["bias"] = added.sum(0)
+    order = np.argsort(inputs, axis=None, kind="stable")
+    given, starts = np.unique(inputs.reshape(-1)[order], return_index=True)
+    g["embed"][given] = np.add.reduceat(added[order], starts)
+    return float(loss), {name: v / len(w) for name, v in g.items()}, h
+
+
+class Fitting:
+    """Truncated backpropagation through time over a stream of tokens, with Adam; the state goes on from window to window.
+
+    `turn`: the pass, from 0; `expected`: about how many tokens it has, by which the rate falls.
+    """
+
+    def __init__(self, start: Gru, turn: int, expected: float):
+        self.weights = laid_out(start).astype(np.float32)
+        self.model = with_weights(start, self.weights)
+        self.first, self.second = np.zeros_like(self.weights), np.zeros_like(self.weights)
+        self.turn, self.expected = turn, max(expected, 1.0)
+        self.updates, self.learned = 0, 0
+        self.before = 0  # word 0 is the end, which also stands before the first word
+        self.waiting: list[np.ndarray] = []
+        self.length = 0
+
+    def take(self, text: np.ndarray) -> None:
+        """The next text; tokens wait until all lanes are full."""
+        self.waiting.append(text)
+        self.length += len(text)
+        full = LANES * HELD_STEPS
+        if self.length >= full:
+            stream = np.concatenate(self.waiting)
+            for a in range(0, len(stream) - full + 1, full):
+                self.learn(stream[a:a + full])
+            rest = stream[len(stream) // full * full:].copy()
+            self.waiting, self.length = [rest], len(rest)
+
+    def finish(self) -> None:
+        """Learn what still waits, the last few tokens in a lane of their own."""
+        stream = np.concatenate([np.zeros(0, np.int32), *self.waiting])
+        cut = len(stream) // LANES * LANES
+        self.learn(stream[:cut])
+        self.learn(stream[cut:], 1)
+        self.waiting, self.length = [], 0
+
+    def learn(self, stream: np.ndarray, lanes: int = LANES) -> None:
+        if not len(stream):
+            return
+        grid = stream.reshape(lanes, -1).T
+        given = np.r_[np.int32(self.before), stream[:-1]].reshape(lanes, -1).T
+        self.before = int(stream[-1])
+        h = np.zeros((lanes, HIDDEN), np.float32)
+        for a in range(0, len(grid), WINDOW):
+            words = grid[a:a + WINDOW]
+            _, g, h = gradients(self.model, given[a:a + WINDOW], words, h)
+            h = np.where((words[-1] == 0)[:, None], 0, h).astype(np.float32)
+            self.learned += words.size
+            self.update(np.concatenate([g[n].reshape(-1) for n in FITTED], dtype=np.float32), lanes / LANES)
+
+    def update(self, g: np.ndarray, share: float) -> None:
+        self.updates += 1
+        done = (self.turn + min(1.0, self.learned / self.expected)) / PASSES
+        rate = 0.004 * (1 - 0.9 * done) * share
+        self.first += np.float32(0.1) * (g - self.first)
+        self.second += np.float32(0.001) * (g * g - self.second)
+        root = np.sqrt(self.second * np.float32(1 / (1 - 0.999**self.updates))) + np.float32(1e-8)
+        self.weights -= np.float32(rate / (1 - 0.9**self.updates)) * self.first / root
+
+
+def fit(encoded: DataFrame, start: Gru, n: int) -> tuple[Gru, int]:
+    """Weights fitted on all rows of `encoded` (doc_id, ids), which hold `n` tokens; and how many were learned in the last pass.
+
+    In each pass every task starts from the same weights and goes through the
+    texts that a hash deals to it, in the order of the hash; the mean of the
+    tasks' weights, each counted by its tokens, starts the next pass. There is
+    a task for about `SHARD_TOKENS` tokens. Only the means come to the driver.
+    """
+    tasks, model, learned = max(1, -(-n // SHARD_TOKENS)), start, 0
+    shards = encoded.select(F.xxhash64(F.lit(17), "doc_id", "ids").alias("place"), "ids")
+
     for turn in range(PASSES):
-        h = np.zeros((LANES, HIDDEN), np.float32)
-        for a in range(0, steps, WINDOW):
-            _, g, h = gradients(m, given[a:a + WINDOW], grid[a:a + WINDOW], h)
-            h = np.where((grid[min(a + WINDOW, steps) - 1] == end)[:, None], 0, h).astype(np.float32)
-            t += 1
-            rate = 0.004 * (1 - 0.9 * t / (PASSES * (steps / WINDOW + 1)))
-            for name, v in g.items():
-                first[name] = 0.9 * first.get(name, 0) + 0.1 * v
-                second[name] = 0.999 * second.get(name, 0) + 0.001 * v * v
-                change = first[name] / (1 - 0.9**t) / (np.sqrt(second[name] / (1 - 0.999**t)) + 1e-8)
-                setattr(m, name, (getattr(m, name) - rate * change).astype(np.float32))
-    return m
+        def learn(batches: Iterator[pd.DataFrame], model: Gru = model, turn: int = turn) -> Iterator[pd.DataFrame]:
+            own = Fitting(model, turn, n / tasks)
+            for batch in batches:
+                for ids in batch["ids"]:
+                    own.take(np.frombuffer(ids, "<u2").astype(np.int32))
+            own.finish()
+            if own.learned:
+                parts = [own.weights[a:a + SLICE].tobytes() for a in range(0, len(own.weights), SLICE)]
+                yield pd.DataFrame({"slice": range(len(parts)), "task": TaskContext.get().partitionId(), "tokens": own.learned, "part": parts})
+
+        def mean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            total: dict[int, np.ndarray] = {}
+            tokens: dict[int, int] = {}
+            for batch in batches:
+                for k, size, part in zip(batch["slice"], batch["tokens"], batch["part"]):
+                    total[k] = total.get(k, 0) + size * np.frombuffer(part, np.float32).astype(np.float64)
+                    tokens[k] = tokens.get(k, 0) + size
+            yield pd.DataFrame({
+                "slice": list(total), "tokens": list(tokens.values()),
+                "part": [(v / tokens[k]).astype(np.float32).tobytes() for k, v in total.items()]})
+
+        made = shards.repartition(tasks, "place").sortWithinPartitions("place", "ids").mapInPandas(
+            learn, "slice int, task int, tokens long, part binary")
+        got = made.repartition("slice").sortWithinPartitions("slice", "task").mapInPandas(mean, "slice int, tokens long, part binary").collect()
+        if got:  # the weights once, whatever the number of tasks
+            got.sort(key=lambda r: r["slice"])
+            learned = got[0]["tokens"]
+            model = with_weights(start, np.frombuffer(b"".join(bytes(r["part"]) for r in got), np.float32).copy())
+    return model, learned
 
 
 def score_texts(m: Gru, texts: list[np.ndarray]) -> np.ndarray:
@@ -256,35 +362,39 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
     rare_mass = (n - inside.sum()) + ADDED * (v + 1 - sum(w in held for w in known))
     place = {w: k for k, w in enumerate(known)}
     rare = len(known)
-    some = hash_sample(own.where(remainder(F.col("doc_id"), parts) != out), "doc_id", SAMPLE_DOCS)
-    sample = some.select("doc_id", tokens(F.col("text")).alias("t")).orderBy("doc_id", "t").collect()
-    texts = [np.array([place.get(w, rare) for w in r["t"]], np.int32) for r in sample]
-    model = fit(texts, np.r_[inside, max(n - inside.sum(), 0)])
+    start = start_weights(np.r_[inside, max(n - inside.sum(), 0)], np.random.default_rng(7))
     base_of = {w: math.log10((c + ADDED) / below) for w, c in held.items()}
     within = {w: math.log10((held[w] + ADDED) / rare_mass) for w in held if w not in place}
     if END not in held:
         base_of[END] = math.log10(ADDED / below)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             ids, base, spread, n_tokens, n_known, left = [], [], [], [], [], []
             for text in batch["text"]:
                 words = [*(b.decode("utf-8", "surrogatepass") for b in (text or "").encode("utf-8", "surrogatepass").lower().split()), END]
-                ids.append(np.fromiter((place.get(w, rare) for w in words), np.int32, len(words)))
+                ids.append(np.fromiter((place.get(w, rare) for w in words), "<u2", len(words)).tobytes())
                 others = [w for w in words if w not in base_of]
                 base.append(math.fsum(base_of[w] for w in words if w in base_of))
                 spread.append(math.fsum(within[w] for w in words if w in within))
                 n_tokens.append(len(words))
                 n_known.append(sum(w in held for w in words))
                 left.append(others)
-            got = score_texts(model, ids) / math.log(10)
             yield pd.DataFrame({
                 "row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": n_tokens, "n_known": n_known,
-                "base": base, "model": got + np.array(spread), "left": left})
+                "base": base, "spread": spread, "ids": ids, "left": left})
 
     numbered = own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     made = materialise(numbered.mapInPandas(
-        run, "row long, doc_id long, n_tokens long, n_known long, base double, model double, left array<string>"), "scored")
+        encode, "row long, doc_id long, n_tokens long, n_known long, base double, spread double, ids binary, left array<string>"), "encoded")
+    model, _ = fit(made.where(remainder(F.col("doc_id"), parts) != out), start, n)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            got = score_texts(model, [np.frombuffer(ids, "<u2").astype(np.int32) for ids in batch["ids"]]) / math.log(10)
+            yield batch.drop(columns=["spread", "ids"]).assign(doc_id=batch["doc_id"].astype("Int64"), model=got + batch["spread"])
+
+    scored = made.drop("left").mapInPandas(run, "row long, doc_id long, n_tokens long, n_known long, base double, model double")
     words = made.select("row", F.explode("left").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
     # a word in no training text isn't in the counts; such words and those below the held ones are rare, so no key is hot
     got = words.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
@@ -292,7 +402,7 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
     sums_left = got.groupBy("row").agg(
         F.sum(share).alias("logs"), F.sum("k").alias("k"), F.sum(F.when(F.col("c") > 0, F.col("k")).otherwise(0)).alias("known"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return made.drop("left").join(sums_left, "row", "left").select(
+    return scored.join(sums_left, "row", "left").select(
         "doc_id", (remainder(F.col("doc_id"), parts) == out).alias("held_out"), "n_tokens",
         (F.col("n_known") + zero("known")).cast("long").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
         (F.col("base") + zero("logs") - zero("k") * math.log10(below)).alias("base_score"),

@@ -135,6 +135,31 @@ def test_gradients():
         assert abs((up - down) / (2 * step) / y.size - g[name][at]) < 1e-5
 
 
+def test_every_training_token_is_learned(spark, monkeypatch):
+    """Texts behind a very long one with a low id teach as well, and each pass takes every token once, in several tasks."""
+    rng = random.Random(6)
+    ring = "alpha beta gamma delta epsilon zeta eta theta".split()
+    long = " ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(450_000))
+    first = next(i for i in range(100) if not held(i, 10, 0))
+    rows = [(first, long), *[(i, " ".join(ring * 25)) for i in range(1000, 1500)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = [r for r in gru.score(docs, (10, 0)).collect() if r.held_out]
+    assert len(out) > 20 and all(r.score > 0.8 * r.base_score for r in out)
+
+    monkeypatch.setattr(gru, "SHARD_TOKENS", 1500)
+    texts = [np.r_[np.arange(1 + i % 7, 9 + i % 60), 0].astype("<u2") for i in range(300)]
+    n = sum(map(len, texts))
+    ids = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(texts)], "doc_id long, ids binary")
+    start = gru.start_weights(np.bincount(np.concatenate(texts)).astype(float), np.random.default_rng(7))
+    model, learned = gru.fit(ids, start, n)
+    assert learned == n and n > 5 * gru.SHARD_TOKENS
+    plain = [t.astype(np.int32) for t in texts]
+    assert gru.score_texts(model, plain).sum() > gru.score_texts(start, plain).sum()
+    again, _ = gru.fit(ids.repartition(3, "ids"), start, n)
+    assert all((getattr(again, name) == getattr(model, name)).all() for name in gru.FITTED)
+    assert gru.fit(ids.limit(0), start, 0) == (start, 0)
+
+
 # pages
 
 def test_marginals_equal_enumeration():
