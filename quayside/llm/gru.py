@@ -356,6 +356,8 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
         least = r["c"]
     held = [] if least == float("inf") else counts.where(F.col("c") >= int(least)).collect()  # HELD words at most
     held = {r["word"]: r["c"] for r in sorted(held, key=lambda r: (-r["c"], r["word"]))}
+    if end := counts.where(F.col("word") == END).first():  # each text has it, so it is held however many words are as frequent
+        held[END] = end["c"]
     known = [END, *[w for w in held if w != END][:VOCABULARY - 2]]
     inside = np.array([held.get(w, 0) for w in known], float)
     # what the rare words share: their counts, their part of the added mass and that of the unknown word

@@ -160,6 +160,26 @@ def test_every_training_token_is_learned(spark, monkeypatch):
     assert gru.fit(ids.limit(0), start, 0) == (start, 0)
 
 
+def test_end_is_held_below_the_threshold(spark, monkeypatch):
+    """With few held words, or more words at the top count than are held, the end keeps its own count."""
+    rows = [(i, " ".join(["aa bb cc dd ee ff"] * 5 + [f"w{i}"])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    c = Counter()
+    for i, t in rows:
+        if not held(i, 10, 0):
+            c.update(words(t))
+    n, v = sum(c.values()), len(c)
+    scores = []
+    for size in (3, 6, 100_000):
+        monkeypatch.setattr(gru, "HELD", size)
+        got = {r.doc_id: r for r in gru.score(docs, (10, 0)).collect()}
+        for i, t in rows:
+            want = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in words(t))
+            assert got[i].n_known == sum(c[w] > 0 for w in words(t)) and abs(got[i].base_score - want) < 1e-6
+        scores.append(sum(r.score for r in got.values()))
+    assert all(math.isfinite(x) for x in scores)
+
+
 # pages
 
 def test_marginals_equal_enumeration():
