@@ -66,14 +66,18 @@ def codes(text: str | None) -> np.ndarray:
 
     Signs are left out and a repeated character counts once, so that what is
     strewn into a word leaves few gaps for the kernel to bridge. Letters
-    beyond the table share one code.
+    beyond the table take one of the codes of other letters by a hash; what
+    repeats is told by the character, not by its code.
     """
     if not text:
         return np.zeros(0, np.int64)
     points = np.frombuffer((text.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    c = np.where(points < 0x250, _CODE[np.minimum(points, 0x24F)], SIGNS - 1)
-    c = c[c != DROPPED]
-    c = c[np.r_[True, c[1:] != c[:-1]]]
+    far = 28 + (points.astype(np.uint64) * 0x9E3779B1 >> 12) % (SIGNS - 28)
+    c = np.where(points < 0x250, _CODE[np.minimum(points, 0x24F)], far).astype(np.int64)
+    points, c = points[c != DROPPED], c[c != DROPPED]
+    new = c[1:] != c[:-1]
+    new |= (points[1:] != points[:-1]) & (points[1:] >= 0x250)
+    c = c[np.r_[True, new]]
     return np.r_[c, np.zeros(SPAN - 2, c.dtype)].astype(np.int64)
 
 
@@ -125,8 +129,14 @@ class KernelModel:
 def choose_landmarks(texts: list[str], y: np.ndarray) -> tuple[list[str], list[str]]:
     """Strings that tell texts with label 1, each for texts no earlier one covers, and frequent words of the others."""
     def names(text: str) -> set[str]:
-        letters = ("".join(ch for ch in w if ch.isalpha()) for w in set(text.lower().split()))
-        return {f" {w} " for w in letters if 3 <= len(w) <= WINDOW - 2}
+        letters = {"".join(ch for ch in w if ch.isalpha()) for w in set(text.lower().split())}
+        out = set()
+        for w in letters:
+            if len(w) >= 3 or len(w) == 2 and min(w) >= "\u0250":
+                name = f" {w} "  # a longer one in strings of the window's length, each half a window on, and the last
+                out.update(name[a:a + WINDOW] for a in range(0, max(len(name) - WINDOW, 0), WINDOW // 2))
+                out.add(name[-WINDOW:])
+        return out
 
     often = Counter()
     for text in texts:

@@ -47,6 +47,25 @@ def test_toxicity_on_planted_words(spark):
     assert toxicity.score(docs.limit(0), model, (5, 0)).count() == 0
 
 
+def test_toxicity_of_long_words_and_other_scripts():
+    """Words longer than a window, and words of letters beyond the table, are learned like others."""
+    rng = random.Random(8)
+    plain = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    plain += ["".join(rng.choice("абвгдежзиклмнопрст") for _ in range(rng.randint(3, 8))) for _ in range(300)]
+    for bad in ("donaudampfschiffdummkopfgesicht", "хлурфыщ", "ψφξωζθχ"):
+        texts, y = [], []
+        for i in range(400):
+            w = [rng.choice(plain) for _ in range(rng.randint(5, 60))]
+            if i % 2:
+                w.insert(rng.randint(0, len(w)), bad)
+            texts.append(" ".join(w))
+            y.append(i % 2)
+        model = toxicity.fit(texts[:300], np.array(y[:300]))
+        assert np.mean([(model.score(t) >= 0.5) == k for t, k in zip(texts[300:], y[300:])]) > 0.95
+    assert len(set(toxicity.codes("хлурфыщ")[:7].tolist())) > 3
+    assert len(toxicity.codes("ффф")) == len(toxicity.codes("ф"))
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"), (5, 0))
