@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, decontaminate, gru, jaccard_join, pages, pii, recipes, rules, secrets, toxicity
+from quayside.llm import bpe, decontaminate, gru, jaccard_join, pages, pii, prefix_trie, recipes, rules, secrets, toxicity
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -93,3 +93,43 @@ def op2_string_kernel(t: Tables) -> DataFrame:
 @query("op7_page_tree")
 def op7_page_tree(t: Tables) -> DataFrame:
     return pages.main_text(t.pages, pages.train(t.pages))
+
+
+#: crc32 of the decimal id, bit by bit: DuckDB has no such function.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+  lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda a, b: xor(xor(a, b) >> 1, 3988292384::BIGINT * (xor(a, b) & 1))), 4294967295::BIGINT)"""
+
+
+@query("op11_prefix_trie", f"""
+WITH raw AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS k FROM raw),
+c AS (SELECT conv_id, {CRC32} % 4 AS h FROM (SELECT DISTINCT conv_id FROM raw)),
+mixed AS (
+  SELECT c.conv_id, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND t.k <= c.h
+  UNION ALL SELECT c.conv_id, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS depth FROM mixed),
+p AS (
+  SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+         string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY conv_id ORDER BY depth) AS path
+  FROM placed UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+node AS (SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words FROM p GROUP BY depth, path),
+linked AS (
+  SELECT n.*, up.path AS up FROM node n LEFT JOIN p up ON up.conv_id = n.conv_id AND up.depth = n.depth - 1),
+kids AS (SELECT depth - 1 AS depth, up AS path, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY ALL),
+full_node AS (
+  SELECT n.*, coalesce(kids.n_children, 0) AS n_children, parent.conv_id AS parent_conv_id
+  FROM linked n LEFT JOIN kids USING (depth, path) LEFT JOIN node parent ON parent.depth = n.depth - 1 AND parent.path = n.up),
+below AS (
+  SELECT a.depth, a.path, sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens,
+         count(*) FILTER (WHERE u.n_children = 0) AS n_leaves
+  FROM full_node u JOIN p a ON a.conv_id = u.conv_id AND a.depth <= u.depth GROUP BY a.depth, a.path),
+deepest AS (SELECT conv_id, max(depth) AS depth FROM p GROUP BY conv_id),
+ended AS (
+  SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM p JOIN deepest USING (conv_id, depth) GROUP BY depth, path)
+SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, below.n_leaves, below.saved_tokens,
+       sha256(coalesce(ended.ids, '')) AS ends_sha256
+FROM full_node n JOIN below USING (depth, path) LEFT JOIN ended USING (depth, path)""")
+def op11_prefix_trie(t: Tables) -> DataFrame:
+    return prefix_trie.prefix_trie(t.conversations)
