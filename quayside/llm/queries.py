@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.llm import bpe, decontaminate, gru, jaccard_join, pages, pii, prefix_trie, recipes, rules, secrets, toxicity
+from quayside.llm import (
+    bpe, decontaminate, gru, jaccard_join, pages, pii, pivot_clusters, prefix_trie, recipes, rules, secrets, toxicity,
+)
 from quayside.session import tune
 from quayside.tables import Tables
 
@@ -133,3 +135,34 @@ SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, below.n_le
 FROM full_node n JOIN below USING (depth, path) LEFT JOIN ended USING (depth, path)""")
 def op11_prefix_trie(t: Tables) -> DataFrame:
     return prefix_trie.prefix_trie(t.conversations)
+
+
+def _rounds(count: int) -> str:
+    """CTEs near_0, centre_1, near_1 ... of plain rounds: all distances, floors of exact means, empty ones stay."""
+    out = []
+    for k in range(count + 1):
+        out.append(f"""near_{k} AS MATERIALIZED (
+  SELECT r, vec_id, v, c, d FROM (
+    SELECT r, vec_id, kept.v, c, list_sum(list_transform(list_zip(kept.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d,
+           row_number() OVER (PARTITION BY r ORDER BY d, c) AS o FROM kept, centre_{k} m) WHERE o = 1)""")
+        if k < count:
+            out.append(f"""centre_{k + 1} AS MATERIALIZED (
+  SELECT m.c, coalesce(moved.v, m.v) AS v FROM centre_{k} m LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near_{k}) GROUP BY c, i) GROUP BY c) moved USING (c))""")
+    return ",\n".join(out)
+
+
+@query("op12_pivot_clusters", f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) AS r, vec_id, v FROM (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+centre_0 AS (SELECT (r - 1)::INTEGER AS c, v FROM kept WHERE r <= 8),
+{_rounds(10)}
+SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM near_10 JOIN centre_10 m USING (c)""")
+def op12_pivot_clusters(t: Tables) -> DataFrame:
+    return pivot_clusters.cluster(t.embeddings)
