@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import (
-    bpe, decontaminate, gru, jaccard_join, pages, pii, pivot_clusters, prefix_trie, recipes, rules, secrets, toxicity,
+    boosted_quality, bpe, decontaminate, gru, jaccard_join, pages, pii, pivot_clusters, prefix_trie, recipes, rules, secrets, toxicity,
 )
 from quayside.session import tune
 from quayside.tables import Tables
@@ -166,3 +166,8 @@ SELECT vec_id, c AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGI
 FROM near_10 JOIN centre_10 m USING (c)""")
 def op12_pivot_clusters(t: Tables) -> DataFrame:
     return pivot_clusters.cluster(t.embeddings)
+
+
+@query("op13_boosted_quality")
+def op13_boosted_quality(t: Tables) -> DataFrame:
+    return boosted_quality.judge(t.documents, boosted_quality.train(t.documents, t.labels))
