@@ -491,20 +491,36 @@ def _edge_rows(s: Split, rows: int, following: bool) -> DataFrame:
 def with_neighbours(
     df: DataFrame, order, columns: Callable[[WindowSpec], dict[str, Column]],
     keys: Sequence[str] = (), before: int = 0, after: int = 0, min_rows: int = MIN_ROWS,
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Window columns that look at most `before` rows back and `after` rows ahead.
 
     `columns` receives the ordered window and returns the new columns. Parts of
     an oversized group get copies of the neighbouring rows they look at.
+
+    `totals` are aggregates per key beside every row. They read the rows where
+    the ordered window left them, so both cost one exchange; the few oversized
+    groups are aggregated apart, one row each.
     """
     s = split(df, order, keys, min_rows)
+    totals = totals or {}
+    whole = Window.partitionBy(*s.group)
     if not s.wide:
-        return s.df.withColumns(columns(s.window()))
+        return s.df.withColumns(columns(s.window())).withColumns({n: a.over(whole) for n, a in totals.items()})
     out = s.df.withColumn(_HALO, F.lit(False))
     for rows, following in ((before, False), (after, True)):
         if rows:
             out = out.unionByName(_edge_rows(s, rows, following).withColumn(_HALO, F.lit(True)))
-    out = out.withColumns(columns(s.window())).filter(~F.col(_HALO))
+    out = out.withColumns(columns(s.window())).withColumns({n: a.over(whole) for n, a in totals.items()})
+    out = out.filter(~F.col(_HALO))
+    if totals and s.keys:
+        hot = s.df.filter(F.col(WIDE)).groupBy(*s.keys).agg(*[a.alias(f"_t_{n}") for n, a in totals.items()])
+        out = attach(out, hot, s.keys)
+        out = out.withColumns({n: F.when(F.col(WIDE), F.col(f"_t_{n}")).otherwise(F.col(n)) for n in totals})
+        out = out.drop(*[f"_t_{n}" for n in totals])
+    elif totals:
+        one = s.df.agg(*[a.alias(f"_t_{n}") for n, a in totals.items()])
+        out = out.withColumns({n: one.select(f"_t_{n}").scalar() for n in totals})
     return s.strip(out)
 
 

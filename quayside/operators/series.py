@@ -107,9 +107,8 @@ def moving_average(df: DataFrame, order, column: str, window: int, name: str,
     return moving_averages(df, order, column, {name: window}, keys, full_only, min_rows)
 
 
-def lag_features(df: DataFrame, keys: Sequence[str], time: str, order, value: str,
-                 prefix: str = "prev", min_rows: int = MIN_ROWS) -> DataFrame:
-    """Per key: the last two values, the mean of three, whole days since the last row."""
+def lag_columns(df: DataFrame, time: str, value: str, prefix: str = "prev"):
+    """For `with_neighbours`, two rows back: the last two values, the mean of three, whole days since the last row."""
 
     def columns(w):
         frame = w.rowsBetween(-2, Window.currentRow)
@@ -122,4 +121,10 @@ def lag_features(df: DataFrame, keys: Sequence[str], time: str, order, value: st
             "days_since_last": F.floor(gap / F.lit(86_400_000_000)).cast("bigint"),
         }
 
-    return with_neighbours(df, as_order(order), columns, keys, before=2, min_rows=min_rows)
+    return columns
+
+
+def lag_features(df: DataFrame, keys: Sequence[str], time: str, order, value: str,
+                 prefix: str = "prev", min_rows: int = MIN_ROWS) -> DataFrame:
+    """Per key: the last two values, the mean of three, whole days since the last row."""
+    return with_neighbours(df, as_order(order), lag_columns(df, time, value, prefix), keys, before=2, min_rows=min_rows)

@@ -188,6 +188,29 @@ def e_onehot(t):
     return E.one_hot(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment", "segment")
 
 
+@query("e_levels", "SELECT c_name AS level, ROW_NUMBER() OVER (ORDER BY c_name) - 1 AS level_no FROM (SELECT DISTINCT c_name FROM customer)")
+def e_levels(t):
+    """As many levels as customers: the dictionary is a table, its size decides nothing."""
+    return E.level_table(t.customer, "c_name")
+
+
+@query("e_onehot_vector", """
+WITH lv AS (SELECT p_type, ROW_NUMBER() OVER (ORDER BY p_type) - 1 AS no FROM (SELECT DISTINCT p_type FROM part WHERE p_size <= 40)),
+n AS (SELECT COUNT(*) AS size FROM lv)
+SELECT p_partkey, size, COALESCE(no, -1) AS level_no, CASE WHEN no IS NULL THEN 0 ELSE 1 END AS entries, CASE WHEN no = 0 THEN 1 ELSE 0 END AS is_first
+FROM n, part LEFT JOIN lv USING (p_type)
+""")
+def e_onehot_vector(t):
+    """The dictionary is learned from the smaller parts; types that only larger ones have get no index."""
+    levels = materialise(E.level_table(t.part.filter("p_size <= 40"), "p_type"), "levels")
+    out = E.one_hot_vector(t.part.select("p_partkey", "p_type"), "p_type", levels, "hot")
+    hot = F.col("hot")
+    return out.select(
+        "p_partkey", hot["size"].alias("size"), F.coalesce(F.get(hot["indices"], 0), F.lit(-1)).alias("level_no"),
+        F.size(hot["values"]).alias("entries"), E.at_level(hot, 0).alias("is_first"),
+    )
+
+
 LABELS = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
 
 
@@ -296,7 +319,7 @@ SELECT o_orderkey, o_custkey, order_date, amount, balance, name, priority, segme
        WHEN balance > 7500 AND balance <= 10000 THEN 'Very High' END AS balance_band,
   ROUND(LN(1 + amount), 9) AS amount_log, SQRT(amount) AS amount_sqrt, amount * amount AS amount_squared, amount / NULLIF(balance, 0) AS amount_to_balance_ratio,
   amount * balance AS balance_amount_interaction,
-  {", ".join(f"CASE WHEN priority = '{p}' THEN 1 ELSE 0 END AS category_{p.replace('-', '_').replace(' ', '_')}" for p in PRIORITIES)},
+  {", ".join(f"CASE WHEN priority = '{p}' THEN 1 ELSE 0 END AS \"category_{p}\"" for p in PRIORITIES)},
   CASE segment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 WHEN 'FURNITURE' THEN 3 WHEN 'HOUSEHOLD' THEN 4 END AS segment_encoded, segment_frequency,
   purchase_count, ROUND(total_spent, 2) AS total_spent, ROUND(avg_purchase, 7) AS avg_purchase, max_purchase, min_purchase, ROUND(sd, 3) AS purchase_std, max_purchase - min_purchase AS purchase_range,
   ROUND(sd / avg_purchase, 6) AS purchase_cv, LENGTH(name) AS name_length, CAST(1 AS BIGINT) AS name_word_count, name AS name_first_word,

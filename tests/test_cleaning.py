@@ -111,13 +111,44 @@ def test_scaling_properties(values):
 def test_encoding(spark):
     df = spark.createDataFrame([(1, "A b"), (2, "C"), (3, None), (4, "C")], "i int, s string")
     hot = E.one_hot(df, "s", "p")
-    assert hot.columns == ["i", "p_A_b", "p_C"]
+    assert hot.columns == ["i", "p_A b", "p_C"]
     assert [tuple(r) for r in hot.orderBy("i").collect()] == [(1, 1, 0), (2, 0, 1), (3, 0, 0), (4, 0, 1)]
     freq = {r["i"]: r["f"] for r in E.frequency_encode(df, "s", "f").collect()}
     assert freq == {1: pytest.approx(1 / 3), 2: pytest.approx(2 / 3), 3: None, 4: pytest.approx(2 / 3)}
-    assert E.levels(df, "i", max_levels=2) is None and E.levels(df, "s", max_levels=2) == ["A b", "C"]
-    wide = E.one_hot(df, "s", "p", max_columns=1)
-    assert {r["i"]: r["p_levels"] for r in wide.collect()} == {1: {"p_A_b": 1}, 2: {"p_C": 1}, 3: None, 4: {"p_C": 1}}
+
+
+def test_one_hot_keeps_levels_with_like_names(spark):
+    """As pandas.get_dummies does, up to the numbers behind names that differ by case only."""
+    rows = [(i, s) for i, s in enumerate(["a b", "a_b", "a-b", "c", "C", "x.y", "x`y", None, "a b"])]
+    df = spark.createDataFrame(rows, "i int, s string").withColumn("x_c", F.lit(9))
+    hot = E.one_hot(df, "s", "x").orderBy("i")
+    levels = ["C", "a b", "a-b", "a_b", "c", "x.y", "x`y"]
+    assert hot.columns == ["i", "x_c", "x_C_2", "x_a b", "x_a-b", "x_a_b", "x_c_3", "x_x.y", "x_x`y"]
+    want = pd.get_dummies(pd.Series([s for _, s in rows]), dtype=int)[levels].to_numpy()
+    assert (hot.drop("i", "x_c").toPandas().to_numpy() == want).all()
+    numbers = spark.createDataFrame([(1.5,), (2.0,)], "n double")
+    assert E.one_hot(numbers, "n").columns == ["n_1.5", "n_2.0"]
+
+
+def test_level_count_changes_no_form(spark):
+    for n in (3, 1001):
+        df = spark.range(n).select("id", F.format_string("v%05d", "id").alias("s"))
+        hot = E.one_hot(df, "s")
+        assert hot.columns == ["id", *[f"s_v{i:05d}" for i in range(n)]]
+        vector = E.one_hot_vector(df, "s", E.level_table(df, "s", min_rows=200), "hot")
+        assert vector.dtypes[-1] == ("hot", "struct<size:bigint,indices:array<bigint>,values:array<int>>")
+        assert [(r.hot.size, r.hot.indices, r.hot["values"]) for r in vector.orderBy("id").collect()] == [(n, [i], [1]) for i in range(n)]
+    assert sum(hot.first()[1:]) == 1
+
+
+def test_vector_of_unknown_and_null(spark):
+    known = spark.createDataFrame([("b",), ("a",), ("b",), (None,)], "s string")
+    df = spark.createDataFrame([(1, "b"), (2, "z"), (3, None), (4, "a")], "i int, s string")
+    levels = E.level_table(known, "s")
+    assert sorted(map(tuple, levels.collect())) == [("a", 0), ("b", 1)]
+    out = E.one_hot_vector(df, "s", levels, "hot").orderBy("i").collect()
+    assert [(r.hot.size, r.hot.indices) for r in out] == [(2, [1]), (2, []), (2, []), (2, [0])]
+    assert E.one_hot_vector(df, "s", levels.limit(0), "hot").first().hot.size == 0
 
 
 def test_narrowing(spark):
