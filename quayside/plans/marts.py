@@ -188,6 +188,40 @@ def daily_totals(orders: DataFrame) -> DataFrame:
     )
 
 
+#: Grain of the daily state: a day's customers in groups of 32,768 numbers.
+STATE_KEY = ("order_date", "bucket")
+
+
+def daily_state(orders: DataFrame) -> DataFrame:
+    """What can be added up to daily totals: per day and customer group the orders, revenue and a bitmap of customers.
+
+    Customer ids are whole numbers (others can be numbered by a level table).
+    The rows are dealt by day and group first, so a 4 KB bitmap is built once
+    for each and none is shuffled.
+    """
+    customer = F.col("customer_id").cast("bigint")
+    rows = delivered(orders).select(
+        "order_date", F.bitmap_bucket_number(customer).alias("bucket"), F.bitmap_bit_position(customer).alias("place"), "total_amount")
+    return rows.repartition(*STATE_KEY).groupBy(*STATE_KEY).agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum("total_amount").alias("revenue"), F.bitmap_construct_agg("place").alias("customers"))
+
+
+def merged_state(state: DataFrame) -> DataFrame:
+    """States added up: counts and revenue by sum, customers by the union of their bitmaps."""
+    kind = state.schema["revenue"].dataType
+    return state.repartition(*STATE_KEY).groupBy(*STATE_KEY).agg(
+        F.sum("order_count").alias("order_count"), F.sum("revenue").cast(kind).alias("revenue"),
+        F.bitmap_or_agg("customers").alias("customers"))
+
+
+def totals_of(state: DataFrame) -> DataFrame:
+    """`daily_totals` from a merged state: the groups of a day hold different customers, so their counts add up."""
+    kind = state.schema["revenue"].dataType
+    return state.groupBy("order_date").agg(
+        F.sum("order_count").alias("order_count"), F.sum(F.bitmap_count("customers")).alias("unique_customers"),
+        F.sum("revenue").cast(kind).alias("daily_revenue"))
+
+
 def with_trends(daily: DataFrame) -> DataFrame:
     """Averages and running total over one row per day: at most 366 rows a year
     at any data size, so a single ordered window is bounded."""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import nested as J
 from quayside.functions.exact import exact_sum
-from quayside.sources import catalog, files, ingest, payloads
+from quayside.sources import catalog, files, ingest, payloads, refresh
 from quayside.queries.registry import query
 from quayside.queries.sqltext import total
 from quayside.session import materialise, scratch_path
@@ -199,6 +199,30 @@ def t_saved_result(t):
             t.spark.sql(f"DROP TABLE IF EXISTS {name}__v{v}")
 
 
+@query("t_refreshed_result", f"""
+SELECT CAST(o_orderdate AS DATE) AS order_date, YEAR(o_orderdate) AS year, {total('o_totalprice')} AS revenue,
+       CASE WHEN YEAR(o_orderdate) IN (1995, 1996) THEN 2 ELSE 1 END AS written_by
+FROM orders WHERE o_orderdate < DATE '1997-01-01' OR o_orderdate >= DATE '1998-01-01' GROUP BY 1, 2
+""")
+def t_refreshed_result(t):
+    """Daily revenue by year, refreshed by its key: late orders of two years and a year that goes.
+
+    Only the folders of the two years are written again; those of the others
+    stay as the first version wrote them.
+    """
+    name = f"daily_by_year_{uuid.uuid4().hex}"
+    day, year = F.col("o_orderdate").cast("date"), F.year("o_orderdate")
+    late = year.isin(1995, 1996) & (F.col("o_orderpriority") == "1-URGENT")
+    daily = lambda rows: rows.groupBy(day.alias("order_date"), year.alias("year")).agg(exact_sum("o_totalprice").alias("revenue"))
+    try:
+        refresh.refresh(daily(t.orders.filter(~late)), name, ["order_date"], ["year"])
+        refresh.refresh(daily(t.orders.filter(year != 1997)), name, ["order_date"], ["year"])
+        rows = t.spark.table(name).join(refresh.manifest(t.spark, name), "year")
+        return materialise(rows.select("order_date", F.col("year").cast("bigint").alias("year"), "revenue", F.col("_version").alias("written_by")), "refreshed")
+    finally:
+        refresh.drop_refreshed(t.spark, name)
+
+
 @query("s_person_rows", """
 SELECT SPLIT_PART(c_name, '#', 1) || ' ' || SPLIT_PART(c_name, '#', 2) AS name, LOWER(c_name) || '@example.org' AS email,
        c_mktsegment AS city, n_name AS state, r_name AS country

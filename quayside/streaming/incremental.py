@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.functions.dates import month_start
-from quayside.plans.marts import daily_totals, with_trends
+from quayside.plans.marts import daily_state, merged_state, totals_of, with_trends
 
 
 def arriving_files(
@@ -63,28 +62,56 @@ def quarantine(stream: DataFrame, check: Callable[[DataFrame], DataFrame], out:
 def refresh_daily(orders: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Keep daily totals current as orders arrive.
 
-    Orders are kept by month and batch. Only the months a batch touches are
-    summed again (distinct customers cannot be added up), and only their
-    partitions of the totals are replaced.
+    A batch leaves only its own state: counts, revenue and customer bitmaps by
+    day, which add up exactly with those of all others. No earlier order or
+    total is read again, whatever days the batch touches; `fold_daily` keeps
+    the states few.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumns({"month": month_start("order_date"), "batch_id": F.lit(batch_id)})
-        rows.hint("rebalance", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "batch_id", "month").parquet(f"{out}/orders")
-        kept = spark.read.schema(rows.schema).parquet(f"{out}/orders")
-        touched = kept.filter(F.col("batch_id") == batch_id).select("month").distinct()
-        todo = kept.join(touched, "month", "left_semi")
-        totals = daily_totals(todo).withColumn("month", month_start("order_date"))
-        totals.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(f"{out}/daily")
+        daily_state(batch).write.mode("overwrite").parquet(f"{out}/state/batch_id={batch_id}")
 
     return run_available(orders, write, checkpoint)
 
 
+def _has(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def _folded(spark: SparkSession, out: str) -> int | None:
+    """The last batch of the newest complete fold."""
+    if not _has(spark, f"{out}/folds"):
+        return None
+    return spark.read.parquet(f"{out}/folds").agg(F.max("upto")).first()[0]
+
+
+def stored_daily(spark: SparkSession, out: str) -> DataFrame:
+    """The state of all batches: the newest fold and the batches after it."""
+    upto = _folded(spark, out)
+    later = spark.read.parquet(f"{out}/state")
+    if upto is None:
+        return merged_state(later.drop("batch_id"))
+    later = later.filter(F.col("batch_id") > upto).drop("batch_id")
+    return merged_state(spark.read.parquet(f"{out}/folded/upto={upto}").unionByName(later))
+
+
+def fold_daily(spark: SparkSession, out: str) -> int:
+    """Add the states of all finished batches up to one; the last batch's number.
+
+    The fold counts once its mark is written; a fold that failed is not read
+    and is written anew. Not to be run while batches are being written.
+    """
+    upto = spark.read.parquet(f"{out}/state").agg(F.max("batch_id")).first()[0]
+    if upto != _folded(spark, out):
+        stored_daily(spark, out).write.mode("overwrite").parquet(f"{out}/folded/upto={upto}")
+        spark.createDataFrame([(upto,)], "upto long").coalesce(1).write.mode("append").parquet(f"{out}/folds")
+    return upto
+
+
 def refreshed_daily(spark: SparkSession, out: str) -> DataFrame:
     """The totals with moving averages and running total, computed on read."""
-    return with_trends(spark.read.parquet(f"{out}/daily").drop("month"))
+    return with_trends(totals_of(stored_daily(spark, out)))
 
 
 def windowed_counts(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.exact import exact_sum
 from quayside.operators import quality as Q
+from quayside.plans import marts as M
 from quayside.plans.marts import daily_revenue
 from quayside.streaming import incremental as I
 
@@ -69,6 +70,40 @@ def test_daily_refresh_equals_batch(spark, orders, tmp_path):
     assert rows(I.refreshed_daily(spark, out)) == rows(daily_revenue(orders))
 
 
+def test_daily_refresh_reads_no_earlier_batch(spark, orders, tmp_path):
+    """Its rows depend on the batch alone, folds change nothing, a repeated batch counts once."""
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    parts(orders, src, 4)
+    read = lambda: I.arriving_files(spark, src, orders.schema, per_batch=1)
+    I.refresh_daily(read(), out, str(tmp_path / "cp"))
+    rows = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()))
+    states = spark.read.parquet(f"{out}/state")
+    alone = [rows(M.daily_state(orders.filter(F.col("order_id") % 4 == k)).drop("customers")) for k in range(4)]
+    left = [rows(states.filter(F.col("batch_id") == i).drop("batch_id", "customers")) for i in range(4)]
+    assert sorted(left) == sorted(alone)
+    want = rows(daily_revenue(orders))
+    assert I.fold_daily(spark, out) == 3 and I.fold_daily(spark, out) == 3
+    assert rows(I.refreshed_daily(spark, out)) == want
+    I.refresh_daily(read(), out, str(tmp_path / "cp2"))  # all batches again, as after a lost checkpoint
+    assert rows(I.refreshed_daily(spark, out)) == want
+    late = orders.withColumns({"order_id": F.col("order_id") + 1000, "customer_id": F.col("customer_id") * -40000})
+    late.coalesce(1).write.mode("append").parquet(src)
+    I.refresh_daily(read(), out, str(tmp_path / "cp2"))
+    assert rows(I.refreshed_daily(spark, out)) == rows(daily_revenue(orders.unionByName(late)))
+    assert I.fold_daily(spark, out) == 4 and rows(I.refreshed_daily(spark, out)) == rows(daily_revenue(orders.unionByName(late)))
+
+
+def test_merged_customers_equal_a_distinct_count(spark):
+    rows = [(i, (i * 7919 % 200_000) - 90_000 if i % 11 else None, dt.date(2024, 1, 1 + i % 3), "Delivered", None) for i in range(5000)]
+    df = spark.createDataFrame(rows, ORDERS).withColumn("total_amount", F.lit(2).cast("decimal(12,2)"))
+    pieces = [M.daily_state(df.filter(F.col("order_id") % 4 == k)) for k in (0, 1, 2, 3, 2)]  # one piece twice: sums double, customers don't
+    merged = pieces[0]
+    for p in pieces[1:]:
+        merged = merged.unionByName(p)
+    got = {r.order_date: r.unique_customers for r in M.totals_of(M.merged_state(merged)).collect()}
+    assert got == {r.order_date: r.unique_customers for r in M.daily_totals(df).collect()}
+
+
 def test_windowed_counts_drop_repeats_and_late_rows(spark, tmp_path):
     t = lambda h, m: dt.datetime(2025, 1, 1, h, m)
     schema = "ts timestamp, event_id long, kind string, amount double"
