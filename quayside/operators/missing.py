@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from quayside.functions.exact import number
-from quayside.operators.profile import mode_value, null_counts
+from quayside.operators.profile import modes, null_counts
 from quayside.operators.quantiles import quantiles
 
 
 def learn_fill(df: DataFrame, strategies: dict[str, str], unknown: str = "Unknown") -> dict:
     """column -> fill value. Strategies: mean, median, mode, zero, or 'const:<text>'.
 
-    Means share one pass, medians another; only one value per column comes back.
+    Means share one pass, medians another, modes a third; only one value per column comes back.
     """
     values: dict = {}
     means = [c for c, s in strategies.items() if s == "mean"]
@@ -24,11 +24,13 @@ def learn_fill(df: DataFrame, strategies: dict[str, str], unknown: str = "Unknow
         values |= {c: row[c] for c in means}
     if medians:
         values |= {c: v[0] for c, v in quantiles(df, medians, [0.5]).items()}
+    wanted = [c for c, s in strategies.items() if s == "mode"]
+    found, types = modes(df, wanted), dict(df.dtypes)
+    values |= {c: unknown if v is None and types[c] == "string" else v for c, v in found.items()}
     for c, s in strategies.items():
         if s == "mode":
-            found = mode_value(df, c)
-            values[c] = unknown if found is None and dict(df.dtypes)[c] == "string" else found
-        elif s == "zero":
+            continue
+        if s == "zero":
             values[c] = 0
         elif s.startswith("const:"):
             values[c] = s.removeprefix("const:")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -55,10 +56,75 @@ def frequencies(df: DataFrame, column: str, share: str = "share") -> DataFrame:
     return counts.withColumn(share, F.col("n") / total)
 
 
+def _unfolded(df: DataFrame, columns: dict[str, Column]) -> tuple[DataFrame, list[str]]:
+    """(column number, value) of all non-null cells, values of each type in a field of their own."""
+    types = dict(df.select(*[c.alias(n) for n, c in columns.items()]).dtypes)
+    kinds = list(dict.fromkeys(types.values()))
+    fields = [f"v{k}" for k in range(len(kinds))]
+    cells = [
+        F.when(c.isNotNull(), F.struct(F.lit(at).alias("at"), *[
+            (c if types[n] == kind else F.lit(None)).cast(kind).alias(f) for f, kind in zip(fields, kinds)
+        ]))
+        for at, (n, c) in enumerate(columns.items())
+    ]
+    return df.select(F.inline(F.filter(F.array(*cells), lambda x: x.isNotNull()))), fields
+
+
+def _most_frequent(df: DataFrame, columns: dict[str, Column]) -> dict:
+    """column -> (value, count), from one aggregate over all columns."""
+    cells, fields = _unfolded(df, columns)
+    counts = cells.groupBy("at", *fields).agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("at").agg(F.min(F.struct((-F.col("n")).alias("n"), *fields)).alias("best"))
+    names, found = list(columns), {}
+    for r in best.collect():
+        value = next((r["best"][f] for f in fields if r["best"][f] is not None), None)
+        found[names[r["at"]]] = value, -r["best"]["n"]
+    return found
+
+
+def modes(df: DataFrame, columns: Sequence[str], support: float | None = None) -> dict:
+    """column -> most frequent value, the smallest of equals; None without values.
+
+    One job for any number of columns: the cells are unfolded once, and equal
+    ones combine before they move. With `support`, a share such as 0.001, a
+    sketch of frequent items goes first: only its at most 1 / support values of
+    each column are counted, which spares shuffling columns that are nearly all
+    distinct. A value above that share is always among them; a column without
+    one is counted in full, so the result is the same.
+    """
+    found: dict = {}
+    if support and columns:
+        few = df.stat.freqItems(list(columns), support)
+        total, few = df.agg(*[F.count(c).alias(c) for c in columns]).first(), few.first()
+        items = {c: few[f"{c}_freqItems"] or [] for c in columns}
+        among = {c: F.when(F.col(c).isin([v for v in items[c] if v is not None]), F.col(c)) for c in columns}
+        found = _most_frequent(df, among)
+        found = {c: f for c, f in found.items() if f[1] * int(1 / support) > total[c]}
+    rest = [c for c in columns if c not in found]
+    if rest:
+        found |= _most_frequent(df, {c: F.col(c) for c in rest})
+    return {c: found[c][0] if c in found else None for c in columns}
+
+
 def mode_value(df: DataFrame, column: str):
     """Most frequent value, the smallest of equals; None without values."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column)))).first()[0]
+    return modes(df, [column])[column]
+
+
+def distinct_counts(df: DataFrame, keys: dict[str, Column], columns: dict[str, str]) -> DataFrame:
+    """Several distinct counts per key: name -> number of the column's different non-null values.
+
+    Each column is reduced to its (key, value) pairs by a scan of its own, which
+    reads no other column; the tagged pairs are then counted per key. No row is
+    copied once for each count, as several distinct aggregates at once would do.
+    """
+    pairs = [
+        df.select(*[c.alias(k) for k, c in keys.items()], F.col(column).alias("_value")).distinct()
+        .select(*keys, F.when(F.col("_value").isNotNull(), F.lit(at)).alias("_tag"))
+        for at, column in enumerate(columns.values())
+    ]
+    return reduce(DataFrame.unionByName, pairs).groupBy(*keys).agg(
+        *[F.count(F.when(F.col("_tag") == at, F.lit(1))).alias(name) for at, name in enumerate(columns)])
 
 
 def null_counts(df: DataFrame) -> list[Column]:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import numbers as N
 from quayside.functions.exact import exact_mean, exact_sum, line_total, round_half_up
-from quayside.operators.profile import frequencies, numeric_profile, quantile_table
+from quayside.operators.profile import distinct_counts, frequencies, numeric_profile, quantile_table
 from quayside.queries.registry import query
 from quayside.queries.sqltext import LINE_TOTAL, half_up, mean, money, total
 
@@ -84,9 +84,8 @@ FROM orders GROUP BY 1
 """)
 def a_day_customers(t):
     """Two distinct counts of the raw rows."""
-    return t.orders.groupBy(F.col("o_orderdate").cast("date").alias("order_date")).agg(
-        F.count_distinct("o_custkey").alias("customers"), F.count_distinct("o_orderpriority").alias("methods")
-    )
+    return distinct_counts(
+        t.orders, {"order_date": F.col("o_orderdate").cast("date")}, {"customers": "o_custkey", "methods": "o_orderpriority"})
 
 
 @query("a_having", f"""

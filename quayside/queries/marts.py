@@ -65,7 +65,8 @@ WITH {FACT} SELECT YEAR(order_date) AS order_year, MONTH(order_date) AS order_mo
 FROM fact JOIN part ON product_id = p_partkey GROUP BY ALL
 """)
 def t_revenue_month_category(t):
-    return C.as_doubles(M.revenue_by_month_category(fact(t), C.products(t)))
+    lines = M.fact_orders(C.orders(t), C.order_items(t), C.products(t), "category_name")
+    return C.as_doubles(M.revenue_by_month_category(lines, C.products(t)))
 
 
 @query("t_cohort_mart", f"""

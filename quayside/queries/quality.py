@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quayside.functions import rules
 from quayside.functions.exact import line_total
 from quayside.operators import profile, quality as Q
+from quayside.operators.relations import Role, Source, picked, relations
 from quayside.plans import records as R
 from quayside.plans.quarantine import write_quarantine
 from quayside.queries.registry import query
@@ -136,16 +137,23 @@ WITH i AS (
 SELECT issue_type, issue_count, CASE WHEN issue_count = 0 THEN 'PASS' WHEN issue_count < 10 THEN 'WARNING' ELSE 'FAIL' END AS status FROM i
 """)
 def d_dq_suite(t):
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.sum(line_total()).alias("s"))
-    off = F.abs(F.col("o_totalprice").cast("decimal(12,2)") - F.col("s")) > F.lit("0.01").cast("decimal(3,2)")
-    orders = t.orders
-    return Q.issue_report({
-        "Orders without items": Q.unmatched(orders, "o_orderkey", t.lineitem, "l_orderkey"),
-        "Products with negative prices": t.part.filter(F.col("p_retailprice") < 0),
-        "Orders with incorrect totals": orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey")).filter(off),
-        "Customers with no orders": Q.unmatched(t.customer, "c_custkey", orders, "o_custkey"),
-        "Orders with future dates": orders.filter(F.col("o_orderdate") > F.lit("2001-07-31").cast("timestamp_ntz")),
+    """Each table is read once: see `operators.relations`."""
+    found = relations([
+        Source(t.orders, [
+            Role("order lines", "o_orderkey", True, F.col("o_totalprice").cast("decimal(12,2)")), Role("customer orders", "o_custkey"),
+        ], {"Orders with future dates": F.col("o_orderdate") > F.lit("2001-07-31").cast("timestamp_ntz")}),
+        Source(t.lineitem, [Role("order lines", "l_orderkey", amount=line_total())]),
+        Source(t.customer, [Role("customer orders", "c_custkey", True)]),
+        Source(t.part, bad={"Products with negative prices": F.col("p_retailprice") < 0}),
+    ])
+    issues = picked(found, {
+        "Orders without items": ("order lines", "without_children"),
+        "Products with negative prices": ("Products with negative prices", "rows"),
+        "Orders with incorrect totals": ("order lines", "wrong_totals"),
+        "Customers with no orders": ("customer orders", "without_children"),
+        "Orders with future dates": ("Orders with future dates", "rows"),
     })
+    return issues.withColumn("status", Q.status(F.col("issue_count")))
 
 
 CID = """CASE c_mktsegment WHEN 'BUILDING' THEN 'INVALID' WHEN 'MACHINERY' THEN ' c' || LPAD(CAST(c_custkey AS VARCHAR), 6, '0')
@@ -286,15 +294,24 @@ UNION ALL SELECT 'foreign key document label', (SELECT COUNT(*) FROM documents W
 UNION ALL SELECT 'not null order date', (SELECT COUNT(*) FROM orders WHERE o_orderdate IS NULL)
 """)
 def d_constraints(t):
-    found = {
-        "primary key orders": Q.key_violations(t.orders, ["o_orderkey"]),
-        "unique order and line": Q.key_violations(t.lineitem, ["l_orderkey", "l_linenumber"]),
-        "foreign key line to order": Q.foreign_key_violations(t.lineitem, "l_orderkey", t.orders, "o_orderkey"),
-        "foreign key order to customer": Q.foreign_key_violations(t.orders, "o_custkey", t.customer, "c_custkey"),
-        "foreign key document label": Q.foreign_key_violations(t.documents, "doc_id", t.labels, "doc_id"),
-        "not null order date": Q.not_null_violations(t.orders, "o_orderdate"),
-    }
-    return Q.issue_report(found).select(F.col("issue_type").alias("check_name"), F.col("issue_count").alias("violations"))
+    """Each table is read once: see `operators.relations`."""
+    found = relations([
+        Source(t.orders, [Role("order lines", "o_orderkey", True), Role("customer orders", "o_custkey")],
+               {"not null order date": F.col("o_orderdate").isNull()}),
+        Source(t.lineitem, [Role("order lines", "l_orderkey", part="l_linenumber")]),
+        Source(t.customer, [Role("customer orders", "c_custkey", True)]),
+        Source(t.documents, [Role("document labels", "doc_id")]),
+        Source(t.labels, [Role("document labels", "doc_id", True)]),
+    ])
+    issues = picked(found, {
+        "primary key orders": ("order lines", "repeated_keys"),
+        "unique order and line": ("order lines", "repeated_parts"),
+        "foreign key line to order": ("order lines", "missing_parent"),
+        "foreign key order to customer": ("customer orders", "missing_parent"),
+        "foreign key document label": ("document labels", "missing_parent"),
+        "not null order date": ("not null order date", "rows"),
+    })
+    return issues.select(F.col("issue_type").alias("check_name"), F.col("issue_count").alias("violations"))
 
 
 @query("d_quarantine", f"""

@@ -43,6 +43,39 @@ def test_fill_strategies(customers):
         M.learn_fill(customers, {"age": "guess"})
 
 
+def test_modes_of_many_columns(spark):
+    """Against one count for each column; a sketch first changes nothing."""
+    rng = random.Random(2)
+    rows = [(rng.choice(["b", "a", None]), rng.randrange(4), rng.choice([0.5, 1.5]), f"own {i}", None, i % 2 == 0, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "s string, i int, f double, u string, n string, b boolean, id long").repartition(3)
+    want = {}
+    for at, c in enumerate(df.columns):
+        known = [r[at] for r in rows if r[at] is not None]
+        want[c] = min(known, key=lambda v: (-known.count(v), v)) if known else None
+    assert P.modes(df, df.columns) == want
+    for support in (0.3, 0.05, 0.001):
+        assert P.modes(df, df.columns, support) == want
+    assert P.modes(df.limit(0), ["s"], 0.1) == {"s": None} and P.modes(df, []) == {}
+
+
+def test_modes_in_one_job(spark):
+    df = spark.range(100).select(*[(F.col("id") % k).cast("string").alias(f"c{k}") for k in range(2, 9)])
+    jobs = []
+    for columns in (["c2"], df.columns):
+        spark.sparkContext.setJobGroup(f"modes-{len(columns)}", "")
+        P.modes(df, columns)
+        jobs.append(len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"modes-{len(columns)}")))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[0] == jobs[1]
+
+
+def test_distinct_counts(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (1, None, 2), (2, None, None), (None, "z", 5)], "k int, s string, i int")
+    got = P.distinct_counts(df, {"k": F.col("k")}, {"s_n": "s", "i_n": "i"})
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, 1, 2), (2, 0, 0), (None, 1, 1)]
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mode_without_values(spark):
     df = spark.createDataFrame([(1, None)], "a int, s string")
     assert M.learn_fill(df, {"s": "mode"}) == {"s": "Unknown"}

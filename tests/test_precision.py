@@ -9,6 +9,7 @@ from quayside.functions import exact, numbers as N
 from quayside.operators import hierarchy, missing as M, ordered as O, series as S
 from quayside.operators.pairs import frequent_pairs
 from quayside.operators.profile import numeric_profile
+from quayside.session import scratch_path
 
 
 def test_small_digits_and_large_values(spark):
@@ -109,3 +110,31 @@ def test_deep_trees_and_cycles(spark):
     assert sorted(r["id"] for r in out) == list(range(depth))
     assert max(out, key=lambda r: r["level"])["full_path"] == ">".join(f"n{i}" for i in range(depth))
     assert hierarchy.tree(spark.createDataFrame([], "id int, parent int, name string"), "id", "parent", "name").count() == 0
+
+
+def test_a_chain_takes_few_rounds(spark, monkeypatch):
+    """Pointer doubling: 1,000 nodes in a row within 12 rounds, each written once."""
+    paths = []
+    monkeypatch.setattr(hierarchy, "scratch_path", lambda s, n: paths.append(scratch_path(s, n)) or paths[-1])
+    rows = spark.range(1000).select(F.col("id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("up"), F.concat(F.lit("n"), "id").alias("name"))
+    out = hierarchy.tree(rows, "id", "up", "name", ">")
+    assert out.agg(F.sum("level"), F.max("level"), F.count(F.lit(1))).first()[:] == (499500, 999, 1000)
+    assert out.where("level = 999").first()["full_path"] == ">".join(f"n{i}" for i in range(1000))
+    assert spark.read.parquet(paths[0]).select("round").distinct().count() <= 12
+
+
+def test_random_trees(spark):
+    """Several parents, orphans, cycles below a root and apart, against a walk."""
+    rng = random.Random(8)
+    for repeated in (False, True):
+        nodes = [(i, rng.choice([None, *range(max(0, i - 4), i)]) if i % 9 else None, f"n{i}") for i in range(60)]
+        nodes += [(100, 999, "orphan"), (200, 201, "c"), (201, 200, "d"), (202, 201, "below"), (None, 3, "no id")]
+        if repeated:
+            nodes += [(7, 12, "n7"), (3, 20, "n3"), (0, 30, "n0"), (300, None, "r"), (300, None, "r")]
+        want, level = [], [(i, n, n, 0, (i,)) for i, p, n in nodes if p is None]
+        while level:
+            want += [("  " * d + n, path, d) for _, n, path, d, _ in level]
+            level = [(c, n, f"{path} > {n}", d + 1, (*seen, c)) for i, _, path, d, seen in level for c, p, n in nodes if p == i and c not in seen and i is not None]
+        df = spark.createDataFrame(nodes, "id int, up int, name string")
+        got = [(r.indented_name, r.full_path, r.level) for r in hierarchy.tree(df, "id", "up", "name").collect()]
+        assert sorted(got) == sorted(want), repeated

@@ -1,10 +1,13 @@
 """Validation runs on the small sales fixtures."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from quayside.operators import quality as Q
 from quayside.operators.columns import missing_columns, numeric_columns, columns_like
+from quayside.operators.relations import Role, Source, picked, relations
 from quayside.plans import quarantine, records
+from quayside.queries import QUERIES
 
 SALES = [
     (1, "Laptop", 75000, 2, "C001", "West"),
@@ -115,3 +118,28 @@ def test_constraints(spark):
     assert [tuple(r) for r in Q.key_violations(a, ["id"]).collect()] == [(1, 2)]
     assert [r["ref"] for r in Q.foreign_key_violations(a, "ref", b, "key").collect()] == [30]
     assert Q.not_null_violations(a, "ref").count() == 1
+
+
+def test_relations_against_single_checks(spark):
+    """Missing partners, repeated keys and parts, wrong totals, from one aggregate."""
+    parents = spark.createDataFrame([(1, 10, 3.0), (2, 10, 5.0), (2, 11, 5.0), (3, None, 1.0), (4, 99, 0.0), (None, 10, 2.0)], "id int, who int, total double")
+    children = spark.createDataFrame([(1, 1, 1.0), (1, 2, 2.0), (2, 1, 5.02), (2, 1, 0.0), (3, 1, 1.01), (7, 1, 9.0), (7, 2, 9.0), (None, 1, 4.0)], "id int, line int, amount double")
+    people = spark.createDataFrame([(10,), (11,), (12,)], "who int")
+    amount = lambda c: F.col(c).cast("decimal(12,2)")
+    report = relations([
+        Source(parents, [Role("lines", "id", True, amount("total")), Role("people", "who")], {"free": F.col("total") == 0}),
+        Source(children, [Role("lines", "id", amount=amount("amount"), part="line")]),
+        Source(people, [Role("people", "who", True)], {"none": F.col("who") < 0}),
+    ])
+    got = {r.relation: tuple(r)[1:] for r in report.collect()}
+    # missing_parent, without_children, repeated_keys, repeated_parts, wrong_totals, rows
+    assert got == {"lines": (2, 2, 1, 1, 1, 6), "people": (1, 1, 0, 0, 0, 3), "free": (0, 1, 0, 0, 0, 1), "none": (0, 0, 0, 0, 0, 0)}
+    wanted = {"a": ("lines", "wrong_totals"), "b": ("none", "rows"), "c": ("lines", "missing_parent")}
+    assert dict(map(tuple, picked(report, wanted).collect())) == {"a": 1, "b": 0, "c": 2}
+
+
+def test_checks_read_each_table_once(spark):
+    for name in ("d_dq_suite", "d_constraints"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        for table in ("orders", "lineitem", "customer"):
+            assert plan.count(f"{table}.parquet") == 1, (name, table)
