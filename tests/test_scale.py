@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.operators import ordered as O
+from quayside.operators import ordered as O, pairs
 from quayside.operators.pairs import frequent_pairs
 from quayside.queries import QUERIES
 from quayside.session import scratch_path
@@ -35,6 +35,36 @@ def test_pairs_with_giant_baskets(spark, support, big):
     assert got == want
 
 
+@pytest.mark.parametrize("support,group", [(1, 256), (9, 7), (14, 7)])
+def test_dense_baskets_by_bitmaps(spark, monkeypatch, support, group):
+    """Few items in many baskets: bitmaps meet, over several groups of items and stripes of baskets."""
+    monkeypatch.setattr(pairs, "GROUP", group)
+    monkeypatch.setattr(pairs, "LEAST_MADE", 0)
+    rng = random.Random(5)
+    baskets = {b: [i for i in range(30) if rng.random() < (0.05 if i % 4 == 0 else 0.5)] for b in range(120)}
+    baskets[500] = list(range(30))
+    counts = Counter(p for items in baskets.values() for p in itertools.combinations(items, 2))
+    want = {(f"i{a:02d}", f"i{b:02d}"): n for (a, b), n in counts.items() if n >= support}
+    rows = [(b * 1000, f"i{i:02d}") for b, items in baskets.items() for i in items] * 2 + [(1, None), (None, "i01"), (7, "i01")]
+    out = frequent_pairs(spark.createDataFrame(rows, "b long, i string").repartition(3), "b", "i", support)
+    assert "FlatMapGroupsInPandas" in plan_of(out)
+    assert {(r["item_a"], r["item_b"]): r["support"] for r in out.collect()} == want
+
+
+def test_bitmaps_of_several_stripes(spark, monkeypatch):
+    monkeypatch.setattr(pairs, "LEAST_MADE", 0)
+    rows = spark.range(70_000).select(F.col("id").alias("b"), F.explode(F.array(*[
+        F.when(F.col("id") % k == 0, F.lit(k)) for k in (1, 2, 3, 70_001)])).alias("i"))
+    more = spark.range(3).select((F.col("id") * 30_000 + 29_999).alias("b"), F.lit(9).alias("i"))
+    out = frequent_pairs(rows.unionByName(more), "b", "i", 3)
+    assert "FlatMapGroupsInPandas" in plan_of(out)
+    got = {(r["item_a"], r["item_b"]): r["support"] for r in out.collect()}
+    n = 70_000
+    of = {k: set(range(0, n, k)) for k in (1, 2, 3, 70_001)} | {9: {29_999, 59_999, 89_999}}
+    want = {(a, b): len(of[a] & of[b]) for a, b in itertools.combinations(sorted(of), 2)}
+    assert got == {p: k for p, k in want.items() if k >= 3}
+
+
 ROW_GRAIN = ["w_ntile_segments", "w_percent_rank", "w_spend_rank", "w_rank_compare", "w_ffill_bfill", "w_interp_linear",
              "t_customer_summary", "t_rfm_clv", "w_category_rank", "w_lag_features"]
 
