@@ -11,12 +11,13 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quayside.queries import QUERIES  # noqa: E402
-from quayside.session import build_session  # noqa: E402
+from quayside.session import build_session, scope  # noqa: E402
 
 HEADLINE = (
     "w_mom_growth", "a_totals", "a_state_revenue", "a_segment_revenue", "a_product_summary", "a_quantiles",
@@ -28,9 +29,10 @@ HEADLINE = (
 
 
 def run(spark, name: str, folder: str) -> float:
-    start = time.perf_counter()
-    QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scope(spark):
+        start = time.perf_counter()
+        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:
@@ -38,7 +40,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(
         "bench", master=f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__driver__memory="16g",
-        spark__ui__showConsoleProgress="false",
+        spark__ui__showConsoleProgress="false", spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     names = list(QUERIES) if sys.argv[1:] == ["all"] else list(HEADLINE)

@@ -24,11 +24,11 @@ def outside(column: str, bounds: tuple[float, float]) -> Column:
 
 
 def iqr_outliers(df: DataFrame, column: str, width: float = 1.5) -> DataFrame:
-    """The outlier rows with the bounds beside them."""
-    lo, hi = iqr_bounds(df, [column], width)[column]
-    return df.filter(outside(column, (lo, hi))).withColumns(
-        {"lower_bound": F.lit(lo), "upper_bound": F.lit(hi)}
-    )
+    """The outlier rows with the bounds beside them; none in a column without values."""
+    lo, hi = iqr_bounds(df, [column], width).get(column, (None, None))
+    bounds = {n: F.lit(v).cast("double") for n, v in (("lower_bound", lo), ("upper_bound", hi))}
+    hit = F.lit(False) if lo is None else outside(column, (lo, hi))
+    return df.filter(hit).withColumns(bounds)
 
 
 def zscore_outliers(df: DataFrame, column: str, threshold: float = 3.0) -> DataFrame:
@@ -39,8 +39,9 @@ def zscore_outliers(df: DataFrame, column: str, threshold: float = 3.0) -> DataF
     return df.withColumn("z_score", z).filter(F.col("z_score") > threshold)
 
 
-def remove_outliers(df: DataFrame, column: str, bounds: tuple[float, float]) -> DataFrame:
-    return df.filter(F.col(column).between(*bounds))
+def remove_outliers(df: DataFrame, column: str, bounds: tuple[float, float] | None) -> DataFrame:
+    """Rows within the bounds, so none without a value; `None` are the bounds of a column without values."""
+    return df.filter(F.lit(False) if bounds is None else F.col(column).between(*bounds))
 
 
 def capped(column: str, bounds: tuple[float, float]) -> Column:
@@ -77,12 +78,12 @@ def moments_table(df: DataFrame, methods: dict[str, Column]) -> DataFrame:
 
 
 def compare_strategies(df: DataFrame, column: str, width: float = 1.5) -> DataFrame:
-    """Moments of the column as it is, without outliers, capped, and logged."""
+    """Moments of the column as it is, without outliers, capped, and logged; all null in a column without values."""
     x = F.col(column).cast("double")
-    bounds = iqr_bounds(df, [column], width)[column]
+    bounds = iqr_bounds(df, [column], width).get(column)
     return moments_table(df, {
         "Original": x,
-        "Removed": F.when(x.between(*bounds), x),
-        "Capped": capped(column, bounds),
+        "Removed": F.when(x.between(*bounds), x) if bounds else x,
+        "Capped": capped(column, bounds) if bounds else x,
         "Log Transformed": F.log1p(x),
     })

@@ -10,26 +10,36 @@ from quayside.operators.outliers import moments_table
 from quayside.operators.quantiles import quantiles
 
 
-def learn_scaling(df: DataFrame, columns: Sequence[str], method: str) -> dict[str, tuple[float, float]]:
-    """column -> (centre, width); a constant column gets width 1, so it scales to 0."""
-    if method == "robust":
-        figures = {
-            c: (q2, None if q1 is None else q3 - q1)
-            for c, (q1, q2, q3) in quantiles(df, columns, [0.25, 0.5, 0.75]).items()
+METHODS = ("standard", "minmax", "robust")
+
+
+def learn_scalings(df: DataFrame, columns: Sequence[str], methods: Sequence[str]) -> dict[str, dict[str, tuple[float, float]]]:
+    """method -> column -> (centre, width), from one pass and that of the quantiles.
+
+    A constant column gets width 1, so it scales to 0; columns without values are left out.
+    """
+    for m in methods:
+        if m not in METHODS:
+            raise ValueError(f"unknown scaling {m}")
+    aggs = []
+    for k, c in enumerate(columns):
+        x = F.col(c).cast("double")
+        if "standard" in methods:
+            aggs += [F.avg(x).alias(f"standard_a{k}"), F.stddev_pop(x).alias(f"standard_b{k}")]
+        if "minmax" in methods:
+            aggs += [F.min(x).alias(f"minmax_a{k}"), (F.max(x) - F.min(x)).alias(f"minmax_b{k}")]
+    row = df.agg(*aggs).first() if aggs else {}
+    found = {m: {c: (row[f"{m}_a{k}"], row[f"{m}_b{k}"]) for k, c in enumerate(columns)} for m in methods if m != "robust"}
+    if "robust" in methods:
+        found["robust"] = {
+            c: (q2, None if q1 is None else q3 - q1) for c, (q1, q2, q3) in quantiles(df, columns, [0.25, 0.5, 0.75]).items()
         }
-    else:
-        aggs = []
-        for c in columns:
-            x = F.col(c).cast("double")
-            if method == "standard":
-                aggs += [F.avg(x).alias(f"a_{c}"), F.stddev_pop(x).alias(f"b_{c}")]
-            elif method == "minmax":
-                aggs += [F.min(x).alias(f"a_{c}"), (F.max(x) - F.min(x)).alias(f"b_{c}")]
-            else:
-                raise ValueError(f"unknown scaling {method}")
-        row = df.agg(*aggs).first()
-        figures = {c: (row[f"a_{c}"], row[f"b_{c}"]) for c in columns}
-    return {c: (a, b or 1.0) for c, (a, b) in figures.items() if a is not None}
+    return {m: {c: (a, b or 1.0) for c, (a, b) in found[m].items() if a is not None} for m in methods}
+
+
+def learn_scaling(df: DataFrame, columns: Sequence[str], method: str) -> dict[str, tuple[float, float]]:
+    """column -> (centre, width) of one method."""
+    return learn_scalings(df, columns, [method])[method]
 
 
 def scaled(column: str, figures: tuple[float, float]) -> Column:
@@ -42,8 +52,9 @@ def scale(df: DataFrame, columns: Sequence[str], method: str, suffix: str = "")
 
 
 def compare_scalings(df: DataFrame, column: str) -> DataFrame:
-    """min, max, mean and std of the column and its three scalings, from one pass."""
-    methods = {"Original": F.col(column).cast("double")}
-    for name, method in (("Standardized", "standard"), ("Normalized", "minmax"), ("Robust", "robust")):
-        methods[name] = scaled(column, learn_scaling(df, [column], method)[column])
+    """min, max, mean and std of the column and its three scalings, learned together, from one pass; all null without values."""
+    x, learned = F.col(column).cast("double"), learn_scalings(df, [column], METHODS)
+    methods = {"Original": x}
+    for name, method in zip(("Standardized", "Normalized", "Robust"), METHODS):
+        methods[name] = scaled(column, learned[method][column]) if column in learned[method] else x
     return moments_table(df, methods).select("method", "min", "max", "mean", "std")

@@ -98,7 +98,7 @@ def m_zscore(t):
 @query("m_outlier_remove", f"WITH {BOUNDS} SELECT event_id, value FROM events, b WHERE value BETWEEN lo AND hi")
 def m_outlier_remove(t):
     rows = t.events.select("event_id", "value")
-    return OUT.remove_outliers(rows, "value", OUT.iqr_bounds(rows, ["value"])["value"])
+    return OUT.remove_outliers(rows, "value", OUT.iqr_bounds(rows, ["value"]).get("value"))
 
 
 @query("m_outlier_cap", f"""

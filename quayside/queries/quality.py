@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quayside.functions import rules
 from quayside.functions.exact import line_total
 from quayside.operators import profile, quality as Q
+from quayside.operators.columns import required_columns
 from quayside.operators.relations import Role, Source, picked, relations
 from quayside.plans import records as R
 from quayside.plans.quarantine import write_quarantine
@@ -274,6 +275,16 @@ def d_profile(t):
     return profile.quality_profile(visits(t))
 
 
+@query("d_required_columns", f"""
+WITH v AS ({VISITS})
+SELECT 'event_type' AS column_name, TRUE AS is_present, COUNT(event_type) AS filled FROM v UNION ALL SELECT 'amount', TRUE, COUNT(amount) FROM v
+UNION ALL SELECT 'currency', FALSE, CAST(NULL AS BIGINT) UNION ALL SELECT 'user_id', TRUE, COUNT(user_id) FROM v
+""")
+def d_required_columns(t):
+    """Visits must have a currency, which they lack."""
+    return required_columns(visits(t), ["event_type", "amount", "currency", "user_id"])
+
+
 @query("d_missing_profile", f"""
 WITH v AS ({VISITS})
 SELECT 'user_id' AS column_name, COUNT(*) FILTER (user_id IS NULL) AS missing_count, COUNT(*) FILTER (user_id IS NULL) * 100.0::DOUBLE / COUNT(*) AS missing_pct FROM v

@@ -150,14 +150,34 @@ FROM s
 """)
 def w_rank_compare(t):
     """Ranked by units sold, where ties are common."""
+    rows = materialise(part_sales(t).withColumn("revenue", F.col("revenue").cast("double")), "units-sold")
+    out = O.with_position(rows, ["-units_sold", "p_partkey"], name="row_num")
+    return O.with_rank(out, "-units_sold", rank="rank", dense="dense_rank")
+
+
+@query("w_rank_revenue", f"""
+WITH s AS (SELECT p_partkey, p_name, SUM(CAST(l_quantity AS BIGINT)) AS units_sold, SUM({LINE_TOTAL}) AS revenue
+  FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey
+  WHERE o_orderstatus = 'F' GROUP BY p_partkey, p_name)
+SELECT p_partkey, p_name, CAST(units_sold AS BIGINT) AS units_sold, CAST(revenue AS DOUBLE) AS revenue,
+       ROW_NUMBER() OVER (ORDER BY revenue DESC, p_partkey) AS row_num,
+       RANK() OVER (ORDER BY revenue DESC) AS rank, DENSE_RANK() OVER (ORDER BY revenue DESC) AS dense_rank
+FROM s
+""")
+def w_rank_revenue(t):
+    """Ranked by revenue, summed and compared as decimals."""
+    rows = materialise(part_sales(t), "part-revenue")
+    out = O.with_position(rows, ["-revenue", "p_partkey"], name="row_num")
+    return O.with_rank(out, "-revenue", rank="rank", dense="dense_rank").withColumn("revenue", F.col("revenue").cast("double"))
+
+
+def part_sales(t):
+    """Units and revenue of the delivered lines of each part."""
     sold = t.lineitem.join(delivered(t).select("o_orderkey"), on("l_orderkey", "o_orderkey"), "left_semi")
     per = sold.groupBy("l_partkey").agg(
-        F.sum(F.col("l_quantity").cast("bigint")).alias("units_sold"), F.sum(line_total()).cast("double").alias("revenue")
+        F.sum(F.col("l_quantity").cast("bigint")).alias("units_sold"), F.sum(line_total()).alias("revenue")
     )
-    rows = per.join(t.part, on("l_partkey", "p_partkey")).select("p_partkey", "p_name", "units_sold", "revenue")
-    rows = materialise(rows, "units-sold")
-    out = O.with_position(rows, ["-units_sold", "p_partkey"], name="row_num")
-    return O.with_rank(out, "-units_sold", rank="rank", dense="dense_rank")
+    return per.join(t.part, on("l_partkey", "p_partkey")).select("p_partkey", "p_name", "units_sold", "revenue")
 
 
 @query("w_running_total", f"""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,8 @@ ADAPTIVE = {
 }
 
 _LOCAL_DIRS: dict[str, str] = {}
+#: What was written inside the open scopes, the innermost last.
+_SCOPES: list[list[str]] = []
 
 
 def build_session(app: str = "quayside", master: str | None = None, **conf) -> SparkSession:
@@ -61,7 +65,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused between calls."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what is written to the shared folder inside, at the end.
+
+    Results are lazy and read those intermediates, so write or collect them
+    inside. Without a scope the intermediates stay with the shared folder.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialise(df: DataFrame, name: str = "step") -> DataFrame:

@@ -127,6 +127,20 @@ def test_outliers_match_pandas(values):
     assert table["Log Transformed"]["mean"] == pytest.approx(np.log1p(p).mean())
 
 
+def test_column_without_values(spark):
+    """As pandas: no outlier rows, figures that are not numbers."""
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, 3.0)], "id int, v double, w double")
+    out = O.iqr_outliers(df, "v")
+    assert out.columns == ["id", "v", "w", "lower_bound", "upper_bound"] and out.count() == 0
+    assert O.zscore_outliers(df, "v").count() == 0
+    assert O.remove_outliers(df, "v", O.iqr_bounds(df, ["v"]).get("v")).count() == 0
+    for table in (O.compare_strategies(df, "v"), SC.compare_scalings(df, "v")):
+        rows = table.collect()
+        assert len(rows) == 4 and all(r["mean"] is None and r["min"] is None for r in rows)
+    assert SC.scale(df, ["v", "w"], "minmax").select("w").collect()[0][0] == 0.0
+    assert SC.compare_scalings(df.limit(0), "w").count() == 4
+
+
 def test_scaling_properties(values):
     rows = values.filter("v is not null").withColumn("c", F.lit(7))
     for method in ("standard", "minmax", "robust"):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.operators import quality as Q
-from quayside.operators.columns import missing_columns, numeric_columns, columns_like
+from quayside.operators.columns import columns_like, missing_columns, numeric_columns, required_columns
 from quayside.operators.relations import Role, Source, picked, relations
 from quayside.plans import quarantine, records
 from quayside.queries import QUERIES
@@ -112,6 +112,13 @@ def test_column_checks(spark):
     assert columns_like(df, "ID") == ["customer_id"]
 
 
+def test_required_columns(spark):
+    df = spark.createDataFrame(SALES, SCHEMA)
+    got = [tuple(r) for r in required_columns(df, ["product", "cost", "price"]).collect()]
+    assert got == [("product", True, df.filter("product is not null").count()), ("cost", False, None), ("price", True, len(SALES))]
+    assert required_columns(df.limit(0), ["price"]).first()["filled"] == 0
+
+
 def test_constraints(spark):
     a = spark.createDataFrame([(1, 10), (1, 20), (2, None), (3, 30)], "id int, ref int")
     b = spark.createDataFrame([(10,), (20,)], "key int")

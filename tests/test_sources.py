@@ -2,11 +2,13 @@
 
 import datetime as dt
 import json
+import os
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from quayside import session
 from quayside.functions import nested as J
 from quayside.operators.pairs import every_combination
 from quayside.queries.commerce import as_doubles
@@ -155,6 +157,18 @@ def test_publish_keeps_old_readers(spark):
     assert catalog.read_table(spark, "daily").count() == 11
 
 
+def test_scope_removes_what_it_wrote(spark):
+    outer = session.materialise(spark.range(3), "outer")
+    with session.scope(spark):
+        inner = session.materialise(spark.range(4), "inner")
+        with session.scope(spark):
+            deeper = session.materialise(spark.range(5), "deeper").inputFiles()[0]
+        assert inner.count() == 4 and not os.path.exists(deeper.removeprefix("file://"))
+        kept = inner.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(kept)
+    assert not os.path.exists(kept) and outer.count() == 3
+
+
 def test_jdbc_arguments(spark):
     with pytest.raises(ValueError):
         catalog.read_jdbc(spark, "jdbc:x")
