@@ -5,53 +5,75 @@ frequent words, in classes of about equal weight; its softmax is factored into
 class and word within class. Every other word is the class of rare words, whose
 share is spread by the smoothed counts. The weights are fitted on all training
 documents: they are dealt to tasks by hash, each task goes through its share,
-and the tasks' weights are averaged after each pass. The state is carried from
+and the tasks' weights are averaged at its end. The state is carried from
 window to window, so a score is the log-probability of the complete text.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.llm.text import SPACE, ascii_lower, remainder
+from quayside.llm.text import remainder
 from quayside.session import materialise
 
 #: Words the network knows, its classes and the size of its state.
 VOCABULARY, CLASSES, HIDDEN = 1024, 32, 16
-#: Lanes and steps of a window; passes over all training documents.
-LANES, WINDOW, PASSES = 64, 32, 2
+#: Lanes and steps of a window; passes over all training documents; the rate at the start.
+LANES, WINDOW, PASSES, RATE = 128, 32, 1, 0.025
 #: Training tokens that a task goes through in a pass, about; steps of all lanes that it holds at a time.
-SHARD_TOKENS, HELD_STEPS = 1_000_000, 64 * WINDOW
+SHARD_TOKENS, HELD_STEPS = 2_000_000, 32 * WINDOW
+#: Steps of a window when scoring.
+SPAN = 4 * WINDOW
 #: Weights in one row of those that tasks hand on to be averaged.
 SLICE = 1024
 #: Most frequent words whose counts every executor holds; the counts of all others are joined.
 HELD = 100_000
+#: Words that a task counts before it hands the counts on.
+COUNTED = 500_000
 ADDED = 0.1
 #: The end of a text, counted as a token. It can't be a word, as it holds a blank.
 END = " "
+_END = END.encode()
 
 
-def tokens(text: Column) -> Column:
-    """Lower-case words, then the end."""
-    parts = F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), SPACE), lambda w: w != "")
-    return F.concat(parts, F.array(F.lit(END)))
+def words_of(text: str | None) -> list[bytes]:
+    """Lower-case words, without the end."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
 def word_counts(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
-    """word, c over all training documents, ends included; written."""
+    """word, c over all training documents, ends included; written. Tasks add up their words before they leave them."""
     parts, out = held_out
     train = docs.where(remainder(docs["doc_id"].cast("long"), parts) != out)
-    # ends are counted apart, as one key would hold a row of every document
-    own = train.select(F.explode(tokens(train["text"])).alias("word"))
-    return materialise(own.groupBy("word").agg(F.count(F.lit(1)).alias("c")), "counts")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed() -> pa.RecordBatch:
+            words = pa.array(list(own), pa.binary()).cast(pa.string())
+            return pa.RecordBatch.from_arrays([words, pa.array(list(own.values()), pa.int64())], ["word", "c"])
+
+        own: Counter[bytes] = Counter()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                own.update(words_of(text))
+                own[_END] += 1
+                if len(own) > COUNTED:
+                    yield handed()
+                    own.clear()
+        yield handed()
+
+    counted = train.select(train["text"].cast("string").alias("text")).mapInArrow(count, "word string, c long")
+    return materialise(counted.groupBy("word").agg(F.sum("c").alias("c")), "counts")
 
 
 @dataclass
@@ -90,7 +112,13 @@ def with_weights(m: Gru, values: np.ndarray) -> Gru:
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -20, 20)))
+    """In place, by the hyperbolic tangent, which can't overflow."""
+    half = x.dtype.type(0.5)
+    x *= half
+    np.tanh(x, out=x)
+    x *= half
+    x += half
+    return x
 
 
 def start_weights(counts: np.ndarray, rng: np.random.Generator) -> Gru:
@@ -114,82 +142,102 @@ def start_weights(counts: np.ndarray, rng: np.random.Generator) -> Gru:
         draw(h, classes, by=0.05), np.log(mass).astype(np.float32), draw(classes, h, int(size.max()), by=0.05), word_bias, of, at, size)
 
 
-def step(m: Gru, x: np.ndarray, h: np.ndarray):
-    """One step for all lanes: gates from what the word adds and the state; gives the new state and what training needs."""
+def step(m: Gru, x: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """The new state of all lanes, from what the word adds to the gates and the state."""
     k = HIDDEN
     a = h @ m.inner
     zr = sigmoid(x[:, :2 * k] + a[:, :2 * k])
-    z, r = zr[:, :k], zr[:, k:]
-    n = np.tanh(x[:, 2 * k:] + r * a[:, 2 * k:])
-    return z * h + (1 - z) * n, (h, a, z, r, n)
+    n = zr[:, k:] * a[:, 2 * k:]
+    n += x[:, 2 * k:]
+    np.tanh(n, out=n)
+    return n + zr[:, :k] * (h - n)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(-1, keepdims=True))
+def shares(x: np.ndarray) -> np.ndarray:
+    """The softmax of each row, in place. The logits of states within -1 and 1 stay far below what exp can take; the limit is for safety."""
+    np.minimum(x, 60, out=x)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], x.dtype))[:, None]
+    return x
+
+
+def _tiny(p: np.ndarray) -> np.ndarray:
+    return np.log(np.maximum(p, 1e-30))
 
 
 def log_probabilities(m: Gru, state: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Natural log-probability of each word after each state, class by class."""
-    out = log_softmax(state @ m.to_class + m.class_bias)[np.arange(len(word)), m.of[word]]
-    order = np.argsort(m.of[word], kind="stable")
-    ends = np.cumsum(np.bincount(m.of[word], minlength=len(m.last)))
+    of = m.of[word]
+    out = _tiny(shares(state @ m.to_class + m.class_bias)[np.arange(len(word)), of])
+    order = np.argsort(of, kind="stable")
+    ends = np.cumsum(np.bincount(of, minlength=len(m.last)))
     for c, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)):
         rows = order[a:b]
         if len(rows) and m.last[c] > 1:
-            own = log_softmax(state[rows] @ m.to_word[c, :, :m.last[c]] + m.word_bias[c, :m.last[c]])
-            out[rows] += own[np.arange(len(rows)), m.at[word[rows]]]
+            own = shares(state[rows] @ m.to_word[c, :, :m.last[c]] + m.word_bias[c, :m.last[c]])
+            out[rows] += _tiny(own[np.arange(len(rows)), m.at[word[rows]]])
     return out
 
 
 def gradients(m: Gru, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
     """Loss, gradients and last state of one window (steps x lanes), truncated at its start."""
     steps, lanes = inputs.shape
-    k, table = HIDDEN, m.table()
-    states, kept = [], []
+    k, kind, x = HIDDEN, h.dtype, m.table()[inputs]
+    a, zr, n = (np.empty((steps, lanes, size), kind) for size in (3 * k, 2 * k, k))
+    states = np.empty((steps + 1, lanes, k), kind)
+    states[0] = h
     for t in range(steps):
-        h, memo = step(m, table[inputs[t]], h)
-        states.append(h)
-        kept.append(memo)
-    before, a, z, r, n = (np.stack(part) for part in zip(*kept))
-    s, w = np.concatenate(states), targets.reshape(-1)
+        now, gate, new, after = a[t], zr[t], n[t], states[t + 1]
+        np.matmul(states[t], m.inner, out=now)
+        sigmoid(np.add(x[t, :, :2 * k], now[:, :2 * k], out=gate))
+        np.multiply(gate[:, k:], now[:, 2 * k:], out=new)
+        new += x[t, :, 2 * k:]
+        np.tanh(new, out=new)
+        np.subtract(states[t], new, out=after)
+        after *= gate[:, :k]
+        after += new
+    w = targets.reshape(-1)
     by_class = np.argsort(m.of[w], kind="stable")  # rows of a class lie together
-    s, w = s[by_class], w[by_class]
+    s, w = states[1:].reshape(-1, k)[by_class], w[by_class]
+    of, rows, ones = m.of[w], np.arange(len(w)), np.ones(len(w), kind)
     g = {name: np.zeros_like(getattr(m, name)) for name in FITTED}
-    lp, rows = log_softmax(s @ m.to_class + m.class_bias), np.arange(len(w))
-    loss = -lp[rows, m.of[w]].sum()
-    d = np.exp(lp)
-    d[rows, m.of[w]] -= 1
-    g["to_class"], g["class_bias"], ds = s.T @ d, d.sum(0), d @ m.to_class.T
-    ends = np.cumsum(np.bincount(m.of[w], minlength=len(m.last)))
+    d = shares(s @ m.to_class + m.class_bias)
+    loss = -_tiny(d[rows, of]).sum()
+    d[rows, of] -= 1
+    g["to_class"], g["class_bias"], ds = s.T @ d, ones @ d, d @ m.to_class.T
+    ends = np.cumsum(np.bincount(of, minlength=len(m.last)))
     for c, (start, end) in enumerate(zip(np.r_[0, ends[:-1]], ends)):
         if start == end or m.last[c] == 1:  # a single word of its class is certain
             continue
-        size, mine, weights = m.last[c], s[start:end], np.ascontiguousarray(m.to_word[c, :, :m.last[c]])
-        own, places = log_softmax(mine @ weights + m.word_bias[c, :size]), (rows[:end - start], m.at[w[start:end]])
-        loss -= own[places].sum()
-        e = np.exp(own)
+        size, mine, weights = m.last[c], s[start:end], m.to_word[c, :, :m.last[c]]
+        e, places = shares(mine @ weights + m.word_bias[c, :size]), (rows[:end - start], m.at[w[start:end]])
+        loss -= _tiny(e[places]).sum()
         e[places] -= 1
-        g["to_word"][c, :, :size], g["word_bias"][c, :size] = mine.T @ e, e.sum(0)
+        g["to_word"][c, :, :size], g["word_bias"][c, :size] = mine.T @ e, ones[:end - start] @ e
         ds[start:end] += e @ weights.T
     outer = np.empty_like(ds)
     outer[by_class] = ds
-    ds, back = outer.reshape(steps, lanes, k), np.zeros_like(h)
+    ds, before = outer.reshape(steps, lanes, k), states[:-1]
+    z, r = np.ascontiguousarray(zr[:, :, :k]), np.ascontiguousarray(zr[:, :, k:])
     to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), a[:, :, 2 * k:] * r * (1 - r)
-    da, dn = np.empty((steps, lanes, 3 * k), ds.dtype), np.empty_like(ds)
+    da, dn, back, inner = np.empty((steps, lanes, 3 * k), kind), np.empty((steps, lanes, k), kind), np.zeros_like(h), np.ascontiguousarray(m.inner.T)
     for t in reversed(range(steps)):
-        dh = ds[t] + back
-        dn[t] = dh * to_n[t]
-        da[t, :, :k], da[t, :, k:2 * k], da[t, :, 2 * k:] = dh * to_z[t], dn[t] * to_r[t], dn[t] * r[t]
-        back = dh * z[t] + da[t] @ m.inner.T
+        back += ds[t]
+        of_n, of_all = dn[t], da[t]
+        np.multiply(back, to_n[t], out=of_n)
+        np.multiply(back, to_z[t], out=of_all[:, :k])
+        np.multiply(of_n, to_r[t], out=of_all[:, k:2 * k])
+        np.multiply(of_n, r[t], out=of_all[:, 2 * k:])
+        back *= z[t]
+        back += of_all @ inner
     g["inner"] = before.reshape(-1, k).T @ da.reshape(-1, 3 * k)
     da[:, :, 2 * k:] = dn  # what the words add isn't weighed by the gate
     added = da.reshape(-1, 3 * k)
-    g["bias"] = added.sum(0)
+    g["bias"] = ones @ added
     order = np.argsort(inputs, axis=None, kind="stable")
     given, starts = np.unique(inputs.reshape(-1)[order], return_index=True)
     g["embed"][given] = np.add.reduceat(added[order], starts)
-    return float(loss), {name: v / len(w) for name, v in g.items()}, h
+    return float(loss), {name: v / len(w) for name, v in g.items()}, states[-1].copy()
 
 
 class Fitting:
@@ -245,7 +293,7 @@ class Fitting:
     def update(self, g: np.ndarray, share: float) -> None:
         self.updates += 1
         done = (self.turn + min(1.0, self.learned / self.expected)) / PASSES
-        rate = 0.004 * (1 - 0.9 * done) * share
+        rate = RATE * (1 - 0.9 * done) * share
         self.first += np.float32(0.1) * (g - self.first)
         self.second += np.float32(0.001) * (g * g - self.second)
         root = np.sqrt(self.second * np.float32(1 / (1 - 0.999**self.updates))) + np.float32(1e-8)
@@ -257,7 +305,7 @@ def fit(encoded: DataFrame, start: Gru, n: int) -> tuple[Gru, int]:
 
     In each pass every task starts from the same weights and goes through the
     texts that a hash deals to it, in the order of the hash; the mean of the
-    tasks' weights, each counted by its tokens, starts the next pass. There is
+    tasks' weights, each counted by its tokens, ends the pass. There is
     a task for about `SHARD_TOKENS` tokens. Only the means come to the driver.
     """
     tasks, model, learned = max(1, -(-n // SHARD_TOKENS)), start, 0
@@ -311,9 +359,9 @@ def score_texts(m: Gru, texts: list[np.ndarray]) -> np.ndarray:
     words = [np.concatenate([texts[k] for k in lane]) for lane in mine]
     owner = [np.repeat(np.array(lane, np.int64), [len(texts[k]) for k in lane]) for lane in mine]
     table, state = m.table(), np.zeros((lanes, HIDDEN), np.float32)
-    for a in range(0, int(load[0]), WINDOW):
+    for a in range(0, int(load[0]), SPAN):
         live = int((load > a).sum())  # lanes are in order of their length, so those still running come first
-        span = min(WINDOW, int(load[0]) - a)
+        span = min(SPAN, int(load[0]) - a)
         w, own = np.zeros((span, live), np.int32), np.full((span, live), -1, np.int64)
         before = np.zeros((span, live), np.int32)
         for j in range(live):
@@ -323,9 +371,8 @@ def score_texts(m: Gru, texts: list[np.ndarray]) -> np.ndarray:
             before[:len(earlier), j] = earlier[:span]
         states, h = np.zeros((span, live, HIDDEN), np.float32), state[:live]
         for t in range(span):
-            h = np.where((before[t] == 0)[:, None], np.float32(0), h)  # after an end a text starts
-            h, _ = step(m, table[before[t]], h)
-            states[t] = h
+            h = h * (before[t] != 0).astype(np.float32)[:, None]  # after an end a text starts
+            h = states[t] = step(m, table[before[t]], h)
         state = h
         valid = own.reshape(-1) >= 0
         lp = log_probabilities(m, states.reshape(-1, HIDDEN)[valid], w.reshape(-1)[valid])
@@ -342,7 +389,7 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
     words are unknown and the base spreads its mass over one unknown word.
     """
     parts, out = held_out
-    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     counts = word_counts(own, held_out)
     sums = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(sums["n"] or 0), int(sums["v"])
@@ -362,33 +409,38 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
     inside = np.array([held.get(w, 0) for w in known], float)
     # what the rare words share: their counts, their part of the added mass and that of the unknown word
     rare_mass = (n - inside.sum()) + ADDED * (v + 1 - sum(w in held for w in known))
-    place = {w: k for k, w in enumerate(known)}
     rare = len(known)
     start = start_weights(np.r_[inside, max(n - inside.sum(), 0)], np.random.default_rng(7))
-    base_of = {w: math.log10((c + ADDED) / below) for w, c in held.items()}
-    within = {w: math.log10((held[w] + ADDED) / rare_mass) for w in held if w not in place}
-    if END not in held:
-        base_of[END] = math.log10(ADDED / below)
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # number of each held word, the end first; behind the last number stands what holds for all other words
+    index = {w.encode("utf-8"): k for k, w in enumerate([END, *[w for w in held if w != END]])}
+    c_of = np.array([held.get(END, 0), *[c for w, c in held.items() if w != END]], float)
+    place = np.full(len(index) + 1, rare, "<u2")
+    place[:len(known)] = range(len(known))
+    base_of, within = np.append(np.log10((c_of + ADDED) / below), 0.0), np.zeros(len(index) + 1)
+    within[len(known):-1] = np.log10((c_of[len(known):] + ADDED) / rare_mass) if len(known) < len(index) else 0.0
+    counted = np.append(c_of > 0, False)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, base, spread, n_tokens, n_known, left = [], [], [], [], [], []
-            for text in batch["text"]:
-                words = [*(b.decode("utf-8", "surrogatepass") for b in (text or "").encode("utf-8", "surrogatepass").lower().split()), END]
-                ids.append(np.fromiter((place.get(w, rare) for w in words), "<u2", len(words)).tobytes())
-                others = [w for w in words if w not in base_of]
-                base.append(math.fsum(base_of[w] for w in words if w in base_of))
-                spread.append(math.fsum(within[w] for w in words if w in within))
-                n_tokens.append(len(words))
-                n_known.append(sum(w in held for w in words))
-                left.append(others)
-            yield pd.DataFrame({
-                "row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_tokens": n_tokens, "n_known": n_known,
-                "base": base, "spread": spread, "ids": ids, "left": left})
+            ids, left, figures = [], [], []
+            for text in batch.column("text").to_pylist():
+                words = [*words_of(text), _END]
+                at = np.fromiter(map(index.get, words, repeat(-1)), np.int64, len(words))
+                ids.append(place[at].tobytes())
+                other = Counter(words[k] for k in np.flatnonzero(at < 0))
+                left.append([{"word": w.decode("utf-8"), "k": k} for w, k in other.items()])
+                figures.append((len(words), int(counted[at].sum()), float(base_of[at].sum()), float(within[at].sum())))
+            n_tokens, n_known, base, spread = zip(*figures) if figures else ((),) * 4
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row"), batch.column("doc_id"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
+                pa.array(base, pa.float64()), pa.array(spread, pa.float64()), pa.array(ids, pa.binary()),
+                pa.array(left, pa.list_(pa.struct([("word", pa.string()), ("k", pa.int64())])))],
+                ["row", "doc_id", "n_tokens", "n_known", "base", "spread", "ids", "left"])
 
     numbered = own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    made = materialise(numbered.mapInPandas(
-        encode, "row long, doc_id long, n_tokens long, n_known long, base double, spread double, ids binary, left array<string>"), "encoded")
+    made = materialise(numbered.mapInArrow(
+        encode, "row long, doc_id long, n_tokens long, n_known long, base double, spread double, ids binary, "
+        "left array<struct<word:string,k:bigint>>"), "encoded")
     model, _ = fit(made.where(remainder(F.col("doc_id"), parts) != out), start, n)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -397,7 +449,7 @@ def score(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
             yield batch.drop(columns=["spread", "ids"]).assign(doc_id=batch["doc_id"].astype("Int64"), model=got + batch["spread"])
 
     scored = made.drop("left").mapInPandas(run, "row long, doc_id long, n_tokens long, n_known long, base double, model double")
-    words = made.select("row", F.explode("left").alias("word")).groupBy("row", "word").agg(F.count(F.lit(1)).alias("k"))
+    words = made.select("row", F.inline("left"))
     # a word in no training text isn't in the counts; such words and those below the held ones are rare, so no key is hot
     got = words.join(counts, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     share = F.log10(F.col("c") + ADDED) * F.col("k")

@@ -130,7 +130,7 @@ def test_state_is_carried_through_the_whole_text():
     for text, score in zip(texts, got):
         h, before, total = np.zeros((1, gru.HIDDEN), np.float32), 0, 0.0
         for w in text:
-            h, _ = gru.step(m, m.table()[[before]], h)
+            h = gru.step(m, m.table()[[before]], h)
             total += gru.log_probabilities(m, h, np.array([w]))[0]
             before = w
         assert abs(total - score) < 1e-3
