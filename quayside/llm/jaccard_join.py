@@ -6,8 +6,14 @@ it confirms. The matrix holds, for each token of a group's union, the group.
 A node is a query against the groups it is not in: shared prefix tokens name
 the groups that can qualify, the overlap of the query with the group's union
 bounds every member's, and only groups that reach the least overlap are opened
-and compared member by member. Links inside a group need no comparing, as its
-members are connected already.
+and compared member by member, best member first, until the query is connected
+with the group. Links inside a group need no comparing, as its members are
+connected already.
+
+Near copies that do not link would meet in pairs all the same. Each set has a
+row of bits that tell whether an even or odd number of its tokens fall there;
+the bits in which two sets differ bound their symmetric difference from below.
+Where many sets share a token, that bound is part of the join's condition.
 
 The join is exact: sketches only steer the grouping. Tokens are 64-bit hashes.
 """
@@ -37,6 +43,8 @@ BUCKETS, SLICES = 1 << 22, 64
 SKETCH, PIVOTS = 32, 6
 #: Least estimate for a pivot to be tried, and how many pivots a node tries at most before the exact search.
 TRY, ROUNDS = 0.5, 3
+#: Longs of 64 parity bits for each set, and rows of a token from which on they come along.
+PARITY, CROWDED = 8, 32
 #: Members of a group that a query is compared with before the group is opened.
 TRIED_MEMBERS = 1
 #: Rows of ids that are sent to every executor; beyond, the join shuffles.
@@ -75,6 +83,12 @@ def prefix_length(n: int) -> int:
     return n - -(-PERCENT * n // 100) + 1
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """For each place, whether an odd number of the tokens falls there."""
+    odd = np.bincount((tokens >> np.uint64(32)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def token_counts(docs: DataFrame) -> np.ndarray:
     """How often tokens fall in each bucket, over all documents. Tasks send one row per slice of the buckets."""
     width = BUCKETS // SLICES
@@ -121,17 +135,18 @@ def _lists(values: list[np.ndarray], kind: type) -> pa.ListArray:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """row, doc_id, key (digest of the set), n (its size), sketch, prefix (least frequent tokens first), written."""
+    """row, doc_id, key (digest of the set), n (its size), sketch, parity, prefix (least frequent tokens first), written."""
     own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     level = levels(token_counts(own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sizes, sketches, prefixes = [], [], [], []
+            keys, sizes, sketches, odd, prefixes = [], [], [], [], []
             for text in batch.column(2):
                 s = token_set(text.as_py())
                 sizes.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
+                odd.append(parity(s))
                 if not len(s):
                     sketches.append(np.zeros(0, np.int32))
                     prefixes.append(np.zeros(0, np.int64))
@@ -142,12 +157,12 @@ def described(docs: DataFrame) -> DataFrame:
                 prefixes.append(s[order[:prefix_length(len(s))]].view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()),
-                 _lists(sketches, np.int32), _lists(prefixes, np.int64)],
-                ["row", "doc_id", "key", "n", "sketch", "prefix"])
+                 _lists(sketches, np.int32), _lists(odd, np.int64), _lists(prefixes, np.int64)],
+                ["row", "doc_id", "key", "n", "sketch", "parity", "prefix"])
 
     numbered = own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     return materialise(numbered.mapInArrow(
-        run, "row long, doc_id long, key binary, n long, sketch array<int>, prefix array<long>"), "described")
+        run, "row long, doc_id long, key binary, n long, sketch array<int>, parity array<long>, prefix array<long>"), "described")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -182,6 +197,22 @@ def _sizes_fit(x: Column, y: Column) -> Column:
     return (100 * x >= PERCENT * y) & (100 * y >= PERCENT * x)
 
 
+def odd_columns(rows: DataFrame, prefix: str) -> DataFrame:
+    """The parity array as plain columns, which a join's condition compares in compiled code."""
+    return rows.select(*[c for c in rows.columns if c != "parity"], *[F.get("parity", k).alias(f"{prefix}{k}") for k in range(PARITY)])
+
+
+def unlike_bits(x: str, y: str) -> Column:
+    """In how many places two sets differ: their symmetric difference has at least as many tokens."""
+    return sum((F.bit_count(F.col(f"{x}{k}").bitwiseXOR(F.col(f"{y}{k}"))) for k in range(1, PARITY)),
+               F.bit_count(F.col(f"{x}0").bitwiseXOR(F.col(f"{y}0"))))
+
+
+def _differ_little(bits: Column, n: Column, m: Column) -> Column:
+    """A link leaves room for so many tokens that are in one set only."""
+    return (100 + PERCENT) * bits <= (100 - PERCENT) * (n + m)
+
+
 def pivots(described_nodes: DataFrame) -> DataFrame:
     """node, pivot, tried (1 for the best): up to ROUNDS pivots of each node, by estimated similarity.
 
@@ -223,17 +254,25 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def members_of(described_nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """token, node, n, at, root, size (of the group): the prefix tokens that nodes of two groups or more have; written.
+    """token, node, n, at, root, size (of the group), parity bits x0 ...: the prefix tokens that nodes of two groups or more have; written.
 
-    All steps share one exchange by token.
+    All steps share one exchange by token. The bits are there for tokens of
+    CROWDED rows or more only, which are few and make most pairs; else null.
     """
     sized = groups.join(small(materialise(groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "sizes")), "root")
     rows = described_nodes.select("node", "n", F.posexplode("prefix").alias("at", "token"))
     rows = rows.select("token", "node", F.col("n").cast("int").alias("n"), "at").repartition("token")
     rows = rows.join(small(materialise(sized, "sized")), "node", "left").withColumns(
         {"root": F.coalesce("root", "node"), "size": F.coalesce("size", F.lit(1))})
-    wide = rows.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("token")
-    return materialise(rows.join(wide, "token"), "members")
+    wide = rows.groupBy("token").agg(
+        F.min("root").alias("a"), F.max("root").alias("b"), (F.count(F.lit(1)) >= CROWDED).alias("crowded")).where("a < b").drop("a", "b")
+    met = materialise(rows.join(wide, "token"), "met")
+    crowded = met.where("crowded").drop("crowded")
+    bits = odd_columns(described_nodes.select("node", "parity"), "x")
+    named = small(materialise(crowded.select("node").distinct(), "crowd"))
+    crowded = materialise(crowded.join(bits.join(named, "node", "left_semi"), "node"), "crowded")
+    none = {f"x{k}": F.lit(None).cast("long") for k in range(PARITY)}
+    return met.where("NOT crowded").drop("crowded").withColumns(none).unionByName(crowded)
 
 
 def candidate_groups(member: DataFrame) -> DataFrame:
@@ -242,13 +281,17 @@ def candidate_groups(member: DataFrame) -> DataFrame:
     A link is found from either side, so only members of the smaller group ask, at a tie those of the smaller number.
     """
     matrix = member.groupBy("token", "root", "size").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("first"))
-    other = matrix.select("token", F.col("root").alias("other"), F.col("size").alias("other_size"), "least", "most", "first")
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("at").alias("first"),
+        *[F.max(F.when(F.col("size") == 1, F.col(f"x{k}"))).alias(f"y{k}") for k in range(PARITY)])
+    odd = [f"y{k}" for k in range(PARITY)]
+    other = matrix.select("token", F.col("root").alias("other"), F.col("size").alias("other_size"), "least", "most", "first", *odd)
     asks = F.struct("size", "root") < F.struct("other_size", "other")
     fit = (100 * F.col("most") >= PERCENT * F.col("n")) & (100 * F.col("n") >= PERCENT * F.col("least"))
     # the first token that two sets share stands early enough in both for the overlap that a link needs
     reach = (100 + PERCENT) * F.least(F.col("n") - F.col("at"), F.col("most") - F.col("first")) >= PERCENT * (F.col("n") + F.col("least"))
-    near = member.join(other, "token").where(asks & fit & reach)
+    # a group of one has bits of its own to compare with
+    like = F.coalesce(_differ_little(unlike_bits("x", "y"), F.col("n"), F.col("least")), F.lit(True))
+    near = member.join(other, "token").where(asks & fit & reach & like)
     near = materialise(near.select("node", "n", "root", "other", F.col("other_size").alias("size")).distinct(), "near")
     # of two sets, the one whose prefix ends first has all its shared prefix tokens counted; the rest of it may be shared
     asked = near.join(member.select("node", "token"), "node").join(matrix.select("token", F.col("root").alias("other"), "least", "most"), ["token", "other"])
@@ -268,7 +311,7 @@ def apart(wanted: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(got.where(F.coalesce("mine", "root") != F.coalesce("theirs", "other")).select(*wanted.columns), "apart")
 
 
-def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame) -> DataFrame:
+def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame, bits: DataFrame) -> DataFrame:
     """Links between groups (a, b), enough to connect all groups that exact links between nodes connect; written."""
     wanted = candidate_groups(member)
     if wanted.isEmpty():
@@ -303,12 +346,22 @@ def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame) -> DataFra
     asked = wanted.drop("size").join(sets, "node").select("node", "n", "root", "other", F.explode("tokens").alias("token"))
     bound = asked.join(union, ["other", "token"]).groupBy("node", "n", "root", "other").agg(F.count(F.lit(1)).alias("overlap"))
     opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "root", "other"), "opened")
-    # opened groups: members that share a prefix token with the query, again early enough
-    theirs = member.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("root").alias("other"))
-    mine = member.select("token", "node", "n", "at").join(opened, "node")
+    # opened groups: members that share a prefix token with the query, early enough, and differ in few bits
+    theirs = member.join(opened.select("other").distinct().withColumnRenamed("other", "root"), "root", "left_semi")
+    theirs = theirs.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("root").alias("other"))
+    theirs = theirs.join(odd_columns(bits.withColumnRenamed("node", "b"), "y"), "b")
+    mine = member.select("token", "node", "n", "at").join(opened, "node").join(odd_columns(bits, "x"), "node")
     need = (100 + PERCENT) * F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at")) >= PERCENT * (F.col("n") + F.col("b_n"))
-    pairs = mine.join(theirs, ["other", "token"]).where(_sizes_fit(F.col("n"), F.col("b_n")) & need)
-    return materialise(links.unionByName(links_of(pairs.select("node", "root", "b", "other").distinct())), "links")
+    far = unlike_bits("x", "y")
+    pairs = mine.join(theirs, ["other", "token"]).where(
+        _sizes_fit(F.col("n"), F.col("b_n")) & need & _differ_little(far, F.col("n"), F.col("b_n")))
+    pairs = materialise(pairs.select("node", "root", "b", "other", far.alias("far")).distinct(), "opened-pairs")
+    # the member that differs least goes first; a query that it connects with the group needs no other
+    best = pairs.groupBy("node", "root", "other").agg(F.min(F.struct("far", "b")).alias("m"))
+    found = links_of(best.select("node", "root", F.col("m.b").alias("b"), "other"))
+    links = materialise(links.unionByName(found).distinct(), "links")
+    rest = apart(pairs, links) if not found.isEmpty() else pairs
+    return materialise(links.unionByName(links_of(rest.select("node", "root", "b", "other"))), "links")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -329,7 +382,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     own = made.where("n > 0").join(small(copies), "row", "left_anti").withColumnRenamed("row", "node")
     first = first_groups(docs, nodes, materialise(own.select("node", "n", "sketch"), "sketches"))
     groups = materialise(components(first), "groups")
-    later = later_links(docs, nodes, members_of(own, groups))
+    later = later_links(docs, nodes, members_of(own, groups), materialise(own.select("node", "parity"), "bits"))
     if not later.isEmpty():
         groups = materialise(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(later)), "groups")
     placed = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))

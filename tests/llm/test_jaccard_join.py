@@ -2,8 +2,12 @@
 
 import random
 
+import numpy as np
+
+from quayside.llm import jaccard_join
 from quayside.llm.components import components
-from quayside.llm.jaccard_join import drop_near, near_groups
+from quayside.llm.jaccard_join import drop_near, near_groups, parity
+from quayside.session import materialise
 
 
 def words(t):
@@ -100,6 +104,46 @@ def test_one_large_group_of_near_copies(spark):
     assert got_of(near_groups(frame(spark, rows).repartition(8))) == brute(rows)
 
 
+def unlinked_copies(n, seed=11):
+    """Near copies of one text, most of them too unlike each other to link."""
+    rng = random.Random(seed)
+    vocab = [f"w{k}" for k in range(4000)]
+    base = [rng.choice(vocab) for _ in range(160)]
+    rows = []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(len(w)), rng.randint(4, 8)):
+            w[at] = rng.choice(vocab)
+        rows.append((i, " ".join(w), "x", "y"))
+    return rows
+
+
+def test_compared_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
+    compared, exact = [], jaccard_join.linked
+
+    def counted(pairs, sets):
+        pairs = materialise(pairs, "counted")
+        compared[-1] += pairs.count()
+        return exact(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "linked", counted)
+    for n in (600, 1200):
+        compared.append(0)
+        rows = unlinked_copies(n)
+        assert got_of(near_groups(frame(spark, rows).repartition(6))) == brute(rows)
+    assert compared[1] < 2.7 * compared[0], compared
+
+
+def test_unlike_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 200, 3000):
+        a, b = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for _ in range(2))
+        b = np.unique(np.concatenate([a[: n // 2], b[n // 2:]]))
+        bits = sum(((x ^ y) & 0xFFFFFFFFFFFFFFFF).bit_count() for x, y in zip(parity(a).tolist(), parity(b).tolist()))
+        assert bits <= len(np.setxor1d(a, b))
+    assert not parity(np.zeros(0, np.uint64)).any()
+
+
 def test_drop_and_empty(spark):
     rows = made(3, clusters=4, copies=6)
     docs = frame(spark, rows)
