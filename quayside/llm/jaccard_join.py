@@ -45,8 +45,8 @@ SKETCH, PIVOTS = 32, 6
 TRY, ROUNDS = 0.5, 3
 #: Longs of 64 parity bits for each set, and rows of a token from which on they come along.
 PARITY, CROWDED = 8, 32
-#: Members of a group that a query is compared with before the group is opened.
-TRIED_MEMBERS = 1
+#: Members of a group that a query is compared with before the group is opened, and members of an opened group that one task holds, about.
+TRIED_MEMBERS, CHUNK = 1, 2000
 #: Rows of ids that are sent to every executor; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
@@ -346,22 +346,24 @@ def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame, bits: Data
     asked = wanted.drop("size").join(sets, "node").select("node", "n", "root", "other", F.explode("tokens").alias("token"))
     bound = asked.join(union, ["other", "token"]).groupBy("node", "n", "root", "other").agg(F.count(F.lit(1)).alias("overlap"))
     opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "root", "other"), "opened")
-    # opened groups: members that share a prefix token with the query, early enough, and differ in few bits
-    theirs = member.join(opened.select("other").distinct().withColumnRenamed("other", "root"), "root", "left_semi")
-    theirs = theirs.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("at").alias("b_at"), F.col("root").alias("other"))
+    # opened groups: members of a like size that differ in few bits, a chunk of a large group at a time
+    facts = member.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("other")).distinct()
+    facts = materialise(facts.join(opened.select("other").distinct(), "other", "left_semi"), "opened-members")
+    chunks = facts.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    theirs = facts.join(chunks, "other").withColumn("chunk", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int")).drop("chunks")
     theirs = theirs.join(odd_columns(bits.withColumnRenamed("node", "b"), "y"), "b")
-    mine = member.select("token", "node", "n", "at").join(opened, "node").join(odd_columns(bits, "x"), "node")
-    need = (100 + PERCENT) * F.least(F.col("n") - F.col("at"), F.col("b_n") - F.col("b_at")) >= PERCENT * (F.col("n") + F.col("b_n"))
+    mine = opened.join(member.select("node", "n").distinct(), "node").join(chunks, "other")
+    mine = mine.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks").join(odd_columns(bits, "x"), "node")
     far = unlike_bits("x", "y")
-    pairs = mine.join(theirs, ["other", "token"]).where(
-        _sizes_fit(F.col("n"), F.col("b_n")) & need & _differ_little(far, F.col("n"), F.col("b_n")))
-    pairs = materialise(pairs.select("node", "root", "b", "other", far.alias("far")).distinct(), "opened-pairs")
+    near = _sizes_fit(F.col("n"), F.col("b_n")) & _differ_little(far, F.col("n"), F.col("b_n"))
+    pairs = materialise(mine.join(theirs, ["other", "chunk"]).where(near).select("node", "root", "b", "other", far.alias("far")), "opened-pairs")
     # the member that differs least goes first; a query that it connects with the group needs no other
     best = pairs.groupBy("node", "root", "other").agg(F.min(F.struct("far", "b")).alias("m"))
     found = links_of(best.select("node", "root", F.col("m.b").alias("b"), "other"))
-    links = materialise(links.unionByName(found).distinct(), "links")
-    rest = apart(pairs, links) if not found.isEmpty() else pairs
-    return materialise(links.unionByName(links_of(rest.select("node", "root", "b", "other"))), "links")
+    if not found.isEmpty():
+        links = materialise(links.unionByName(found).distinct(), "links")
+        pairs = apart(pairs, links)
+    return materialise(links.unionByName(links_of(pairs.drop("far"))), "links")
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
