@@ -29,7 +29,9 @@ STEPS, RATE, RIDGE = 200, 1.0, 0.0002
 
 #: Elements by their role in a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript iframe xmp template svg math select object canvas".split())
+RAW = set("script style title textarea noscript iframe xmp template svg select canvas".split())
+#: Of these, those that often lack their end: without it they end at the next block.
+UNCLOSED = set("svg canvas select template noscript".split())
 BLOCK = set("""html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption
     blockquote pre figure figcaption nav header footer aside form fieldset address details summary center button label dialog menu hgroup""".split())
 ENDS_P = BLOCK - {"button", "label", "caption", "td", "th", "tr", "thead", "tbody", "tfoot"}
@@ -52,6 +54,7 @@ HINTS = {
 }
 _HINTS = {k: re.compile(v) for k, v in HINTS.items()}
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 
@@ -72,7 +75,9 @@ def parse(page: str | None) -> list[Node]:
     """Block elements in page order, a parent before its children; each holds the text runs between its child blocks.
 
     Missing and stray end tags are closed and ignored as browsers do for these
-    elements. Text inside scripts, styles and the like is left out.
+    elements. Text inside scripts, styles, drawings and the like is left out;
+    formulas and the fallback of objects are text of their block. A drawing
+    that is never closed ends at the next tag of a block.
     """
     page = page or ""
     nodes = [Node("html", -1, 0)]
@@ -125,7 +130,11 @@ def parse(page: str | None) -> list[Node]:
             continue
         if tag in RAW and not attributes.rstrip().endswith("/"):
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = stop.end() if stop else end
+            if stop:
+                at = stop.end()
+            else:
+                block = _BLOCK_TAG.search(page, at) if tag in UNCLOSED else None
+                at = block.start() if block else end
             if tag in BLOCK or tag == "textarea":
                 flush()
             continue
@@ -165,7 +174,7 @@ def parse(page: str | None) -> list[Node]:
     return nodes
 
 
-FEATURES = ["one", "outer", "inner", "textual", "heading", "item", "division", *HINTS, "chars", "linked", "marks", "under", "links_under", "first", "last", "empty"]
+FEATURES = ["one", "outer", "inner", "textual", "heading", "item", "division", *HINTS, "chars", "linked", "marks", "under", "links_under", "first", "last", "empty", "hidden"]
 
 
 def node_features(nodes: list[Node]) -> np.ndarray:
@@ -184,7 +193,7 @@ def node_features(nodes: list[Node]) -> np.ndarray:
             1, x.tag in OUTER, x.tag in INNER, x.tag in TEXTUAL, x.tag[0] == "h" and x.tag[1:].isdigit(), x.tag in ("li", "td", "dd", "dt"),
             x.tag in ("div", "section"), *[bool(p.search(x.names)) if x.names else 0 for p in _HINTS.values()],
             min(math.log1p(own[k]) / 6, 1.5), linked[k] / own[k] if own[k] else 0, min(marks / 5, 2), min(math.log1p(under[k]) / 8, 1.5),
-            links_under[k] / under[k] if under[k] else 0, k / n < 0.1, k / n > 0.9, own[k] == 0]
+            links_under[k] / under[k] if under[k] else 0, k / n < 0.1, k / n > 0.9, own[k] == 0, x.hidden]
     return out
 
 
@@ -243,7 +252,7 @@ class PageModel:
             return ""
         x = node_features(nodes)
         content, _, _ = marginals([n.parent for n in nodes], x @ self.weights, self.tables[edge_kinds(nodes, x)])
-        runs = [(at, t) for n, p in zip(nodes, content) if p >= 0.5 and not n.hidden for at, t in zip(n.places, n.own)]
+        runs = [(at, t) for n, p in zip(nodes, content) if p >= 0.5 for at, t in zip(n.places, n.own)]
         return "\n".join(t for _, t in sorted(runs))
 
 
@@ -306,6 +315,9 @@ def laid_out(words: list[str], rng: random.Random) -> str:
              f"<table><tr><td>{say(2, 6)}</td><td>{say(2, 6)}</td></tr></table>", f"<pre>{say(3, 12)}</pre>", f"<div>{sentence()}</div>", f"<p>{say(1, 3)}</p>",
              f"<figure><figcaption>{say(3, 9)}</figcaption></figure>", f'<p><a href="#">{say(2, 5)}</a> {sentence()}</p>', f"<p>{say(1, 1)}.</p>"]
     inside = [f"<h1>{say(2, 8)}</h1>", *(paragraphs(1) for _ in range(rng.randint(1, 7))), *rng.sample(extra, rng.randint(0, 5))]
+    shy = lambda: rng.choice(["hidden", 'style="display: none"', 'aria-hidden="true"'])
+    if rng.random() < 0.15:  # hidden parts of an article are its text, hidden boxes around it are not
+        inside.append(f"<{(t := rng.choice(['p', 'div', 'section']))} {shy()}>{sentence()}</{t}>")
     for _ in range(rng.randint(0, 2)):
         inside.insert(rng.randint(1, len(inside)), zero(rng.choice(junk[4:])()))
     if rng.random() < 0.3:
@@ -314,6 +326,8 @@ def laid_out(words: list[str], rng: random.Random) -> str:
                             ("div", ' class="article-body"'), ("section", ' class="entry"'), ("div", ' class="post-text"'), ("article", "")])
     body = [zero(rng.choice(junk)()) for _ in range(rng.randint(1, 4))] + [f'<{tag}{name} y="1">{"".join(inside)}</{tag}>']
     body += [zero(rng.choice(junk)()) for _ in range(rng.randint(0, 2))] + ([zero(talk())] if rng.random() < 0.3 else []) + [zero(foot())] * (rng.random() < 0.9)
+    if rng.random() < 0.15:
+        body.insert(rng.randint(0, len(body)), f'<div y="0" {shy()} {named("popup", "modal", "menu", "drawer")}><p>{sentence()}</p></div>')
     inner = "".join(body)
     if rng.random() < 0.4:
         inner = f'<div {named("wrapper", "page", "container", "site")} y="0">{inner}</div>'

@@ -251,3 +251,22 @@ def test_parse():
     assert [t for n in nodes for t in n.own] == ["one two", "three <x> four"]
     nodes = pages.parse("<ul><li>a<li>b<ul><li>c</ul></ul><table><tr><td>d<td>e</table>tail")
     assert [t for _, t in sorted((p, t) for n in nodes for p, t in zip(n.places, n.own))] == ["a", "b", "c", "d", "e", "tail"]
+
+
+def test_formulas_objects_and_hidden_text_stay(spark):
+    """What an article holds is its text, whatever its markup; a drawing without an end takes nothing along."""
+    table_ = table(spark, "pages")
+    model = pages.train(table_)
+    article = lambda inner: f"<html><body><nav><ul><li><a href='#'>Home page</a></li></ul></nav><article><h1>Some heading here</h1><p>First words of the text, as they are.</p>{inner}<p>Last words of the text, as they are.</p></article><footer>Imprint</footer></body></html>"
+    cases = {
+        "<p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be given, as said.</p>": "Let x=2 be given, as said.",
+        "<p>See <object data='a.bin'>the fallback text</object> here, please.</p>": "See the fallback text here, please.",
+        "<p>A drawing <svg><path d='M0'/><text>no</text></svg> closed, as it should.</p>": "A drawing closed, as it should.",
+        "<p>A drawing <svg><path d='M0'/> open</p><p>It goes on from there, as it should.</p>": "A drawing\nIt goes on from there, as it should.",
+        "<p>Some <canvas>no</p><p>More words follow, as they should.</p>": "Some\nMore words follow, as they should.",
+        "<p hidden>Hidden words are words, as all others.</p>": "Hidden words are words, as all others.",
+        "<p aria-hidden='true'>Hidden words are words, as all others.</p>": "Hidden words are words, as all others.",
+        "<div style='display: none'><p>Hidden words are words, as all others.</p></div>": "Hidden words are words, as all others.",
+    }
+    for inner, text in cases.items():
+        assert model.text(article(inner)) == f"Some heading here\nFirst words of the text, as they are.\n{text}\nLast words of the text, as they are.", inner
