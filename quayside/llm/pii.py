@@ -2,7 +2,9 @@
 
 DataFrame operations only. The kinds of the base (email, ip, card, phone) are
 kept whenever they are valid; the kinds that the method adds (iban, and cards
-of 13 to 15 digits) need a score of at least `KEEP`.
+of 13 to 15 digits) need a score of at least `KEEP`, which the words before and
+behind them decide. An account number has the length of its country, whatever
+follows it.
 """
 
 from __future__ import annotations
@@ -12,22 +14,35 @@ from pyspark.sql import functions as F
 
 from quayside.llm.spans import Kind, digest, matches
 
+#: The length of an account number by country.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22,
+    "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27, "MT": 31,
+    "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SE": 24, "SI": 19,
+    "SK": 24, "SM": 27, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
+# By country and length; blanks may part the signs, and none follows the last. A country that is not listed has no number.
+IBAN = r"(?<![A-Za-z0-9])(?:" + "|".join(
+    rf"(?:{'|'.join(sorted(c for c, n in IBAN_LENGTH.items() if n == size))})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{size - 4}}}"
+    for size in sorted(set(IBAN_LENGTH.values()))) + r")(?![A-Za-z0-9])"
+
 # A match can only start where a run starts or the last match ended; saying so keeps long runs linear.
 KINDS = [
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", r"[0-9]\.[0-9]"),
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]"),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-         r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),
+    Kind("iban", IBAN, r"[A-Z]{2}[0-9]{2}\x20?[A-Z0-9]{4}"),
     Kind("short_card", r"[0-9](?:[\x20-]?[0-9])++", r"[0-9][\x20-]?[0-9]"),
 ]
 NAMES = [k.name for k in KINDS]
 BASE = 4
 KEEP = 0.5
 
-#: What a valid span of each kind is worth alone, and the words before it that add or take.
-PRIOR = [0.9, 0.7, 0.8, 0.7, 0.9, 0.3]
+#: What a valid span of each kind is worth alone, and the words near it that add or take.
+PRIOR = [0.9, 0.7, 0.8, 0.7, 0.7, 0.3]
 NEAR = [
     r"mail|contact|write|kontakt|correo|courriel", r"\bip\b|host|server|addr|adresse", r"card|visa|karte|carte|tarjeta|credit|pay",
     r"phone|tel|call|mobil|fax|anruf|appel|llam", r"iban|account|bank|konto|compte|cuenta", r"card|amex|karte|carte|tarjeta|credit|pay",
@@ -75,11 +90,16 @@ def valid() -> Column:
 
 
 def score() -> Column:
-    """Prior of the kind, moved by the words shortly before the span, within 0 and 1."""
+    """Prior of the kind, moved by the words shortly before and behind the span, within 0 and 1.
+
+    A word against it counts before the span only: what follows mostly belongs
+    to the next item.
+    """
     before = F.lower("before")
+    around = F.concat_ws(" ", before, F.lower("behind"))
     near = F.lit(False)
     for k, words in enumerate(NEAR):
-        near = F.when(F.col("kind") == k, before.rlike(words)).otherwise(near)
+        near = F.when(F.col("kind") == k, around.rlike(words)).otherwise(near)
     prior = F.element_at(F.array(*[F.lit(p) for p in PRIOR]), F.col("kind") + 1)
     moved = prior + F.when(near, 0.3).otherwise(0.0) - F.when(before.rlike(AGAINST), 0.3).otherwise(0.0)
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), moved))

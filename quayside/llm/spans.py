@@ -12,8 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Code points kept of the stretch before a match, for context words.
-CONTEXT = 48
+#: Code points kept of the stretches before and behind a match, for context words.
+CONTEXT, BEHIND = 48, 24
 
 
 @dataclass(frozen=True)
@@ -26,18 +26,23 @@ class Kind:
 
 
 def _placed(text: Column, hits: Column, kind: int, pattern: str) -> Column:
-    """Array of (kind, at, gap, before, hit); both arrays enter as arguments, so each is made once a text."""
+    """Array of (kind, at, gap, before, behind, hit); both arrays enter as arguments, so each is made once a text.
+
+    The first element holds the first stretch, and each hit the stretch behind it.
+    """
     pairs = F.zip_with(
         F.split(text, pattern, -1), hits,
-        lambda g, h: F.struct(F.char_length(g).alias("gap"), F.right(g, F.lit(CONTEXT)).alias("before"), h.alias("hit")),
+        lambda g, h: F.struct(
+            F.char_length(g).alias("gap"), F.right(g, F.lit(CONTEXT)).alias("before"), F.left(g, F.lit(BEHIND)).alias("behind"), h.alias("hit")),
     )
     numbered = F.transform(pairs, lambda x, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("at"), x["gap"].alias("gap"), x["before"].alias("before"), x["hit"].alias("hit")))
-    return F.filter(numbered, lambda x: x["hit"].isNotNull())
+        F.lit(kind).alias("kind"), i.alias("at"), x["gap"].alias("gap"), x["before"].alias("before"), x["behind"].alias("behind"),
+        x["hit"].alias("hit")))
+    return numbered
 
 
 def matches(docs: DataFrame, kinds: list[Kind]) -> DataFrame:
-    """Every leftmost non-overlapping match of each kind: row, doc_id, kind (its number), start, end, before, hit.
+    """Every leftmost non-overlapping match of each kind: row, doc_id, kind (its number), start, end, before, behind, hit.
 
     A text without matches (also a null or empty one) gives one row with a null
     kind. `row` numbers the rows of `docs`, so repeated and null ids stay apart.
@@ -50,17 +55,19 @@ def matches(docs: DataFrame, kinds: list[Kind]) -> DataFrame:
         f"hits{k}": F.when(F.col("text").rlike(kind.needs), F.regexp_extract_all("text", F.lit(kind.pattern), 0)).otherwise(none)
         for k, kind in enumerate(kinds)
     })
-    empty = F.array().cast("array<struct<kind:int,at:int,gap:int,before:string,hit:string>>")
+    empty = F.array().cast("array<struct<kind:int,at:int,gap:int,before:string,behind:string,hit:string>>")
     parts = [
         F.when(F.size(f"hits{k}") > 0, _placed(F.col("text"), F.col(f"hits{k}"), k, kind.pattern)).otherwise(empty)
         for k, kind in enumerate(kinds)
     ]
     rows = d.select("row", "doc_id", F.explode_outer(F.concat(*parts)).alias("m"))
     rows = rows.select("row", "doc_id", "m.*").repartition("row")
-    so_far = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("gap") + F.char_length("hit")).over(so_far)
-    return rows.withColumn("end", end.cast("int")).select(
-        "row", "doc_id", "kind", (F.col("end") - F.char_length("hit")).alias("start"), "end", "before", "hit")
+    along = Window.partitionBy("row", "kind").orderBy("at")
+    end = F.sum(F.col("gap") + F.char_length("hit")).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    # behind a match stands the beginning of the next stretch
+    rows = rows.withColumns({"end": end.cast("int"), "behind": F.lead("behind").over(along)})
+    return rows.where(F.col("hit").isNotNull() | F.col("kind").isNull()).select(
+        "row", "doc_id", "kind", (F.col("end") - F.char_length("hit")).alias("start"), "end", "before", "behind", "hit")
 
 
 def digest(found: DataFrame, names: list[str], base: int, valid: Column, by_start: bool) -> DataFrame:
