@@ -47,6 +47,8 @@ TRY, ROUNDS = 0.5, 3
 PARITY, CROWDED = 8, 32
 #: Members of a group that a query is compared with before the group is opened, and members of an opened group that one task holds, about.
 TRIED_MEMBERS, CHUNK = 1, 2000
+#: Tokens of a group's union that one row holds, about.
+UNION_PART = 4096
 #: Rows of ids that are sent to every executor; beyond, the join shuffles.
 BROADCAST_ROWS = 2_000_000
 
@@ -275,6 +277,28 @@ def members_of(described_nodes: DataFrame, groups: DataFrame) -> DataFrame:
     return met.where("NOT crowded").drop("crowded").withColumns(none).unionByName(crowded)
 
 
+def overlaps(asked: DataFrame, tokens: DataFrame, union: DataFrame) -> DataFrame:
+    """node, other, both: how many tokens of a node (node, tokens) the union of a group (other, token) holds, for the asked pairs.
+
+    A union is laid out in rows of about UNION_PART tokens chosen by hash, and
+    a pair meets each of them once. A group that many nodes ask is repeated, so
+    that one task gets about CHUNK of them. A pair without a common token is missing.
+    """
+    pairs = materialise(asked.select("node", "other").distinct(), "asked")
+    asks = pairs.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("lots"))
+    parts = union.groupBy("other").agg(F.ceil(F.count(F.lit(1)) / UNION_PART).cast("int").alias("parts"))
+    spread = small(materialise(asks.join(parts, "other"), "spread"))
+    theirs = union.join(spread, "other").groupBy(
+        "other", "lots", F.pmod(F.xxhash64("token"), F.col("parts")).cast("int").alias("part")).agg(F.collect_list("token").alias("theirs"))
+    theirs = theirs.select("other", "part", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"), "theirs")
+    mine = pairs.join(spread, "other").select(
+        "node", "other", F.pmod(F.xxhash64("node"), F.col("lots")).cast("int").alias("lot"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    met = mine.join(tokens, "node").join(theirs, ["other", "part", "lot"])
+    both = met.select("node", "other", F.size(F.array_intersect("tokens", "theirs")).cast("long").alias("both"))
+    return both.groupBy("node", "other").agg(F.sum("both").alias("both")).where("both > 0")
+
+
 def candidate_groups(member: DataFrame) -> DataFrame:
     """node, n, root, other, size (of other): the groups that may hold a link of a node, by the matrix of prefix tokens; written.
 
@@ -292,14 +316,18 @@ def candidate_groups(member: DataFrame) -> DataFrame:
     # a group of one has bits of its own to compare with
     like = F.coalesce(_differ_little(unlike_bits("x", "y"), F.col("n"), F.col("least")), F.lit(True))
     near = member.join(other, "token").where(asks & fit & reach & like)
-    near = materialise(near.select("node", "n", "root", "other", F.col("other_size").alias("size")).distinct(), "near")
+    # a member that links has its size between those of the tokens that let the group through
+    near = near.groupBy("node", "n", "root", "other", F.col("other_size").alias("size")).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    near = materialise(near, "near")
     # of two sets, the one whose prefix ends first has all its shared prefix tokens counted; the rest of it may be shared
-    asked = near.join(member.select("node", "token"), "node").join(matrix.select("token", F.col("root").alias("other"), "least", "most"), ["token", "other"])
-    seen = asked.groupBy("node", "n", "root", "other", "size").agg(
-        F.count(F.lit(1)).alias("both"), F.min("least").alias("least"), F.max("most").alias("most"))
+    tokens = member.join(small(materialise(near.select("node").distinct(), "askers")), "node", "left_semi")
+    tokens = tokens.groupBy("node").agg(F.collect_list("token").alias("tokens"))  # of one text
+    wide = small(materialise(near.select("other").distinct(), "others"))
+    union = materialise(matrix.select("token", F.col("root").alias("other")).join(wide, "other", "left_semi"), "union")
+    seen = near.join(overlaps(near, tokens, union), ["node", "other"])
     behind = F.ceil(PERCENT * F.greatest("n", "most") / 100) - 1
     enough = (100 + PERCENT) * (F.col("both") + behind) >= PERCENT * (F.col("n") + F.col("least"))
-    return materialise(seen.where(enough).select(*near.columns), "wanted")
+    return materialise(seen.where(enough).select("node", "n", "root", "other", "size"), "wanted")
 
 
 def apart(wanted: DataFrame, links: DataFrame) -> DataFrame:
@@ -343,9 +371,8 @@ def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame, bits: Data
         return links
     # the query's overlap with the union of a group's tokens bounds the overlap with each member
     union = inside.join(wanted.select("other").distinct(), "other").join(sets, "node").select("other", F.explode("tokens").alias("token")).distinct()
-    asked = wanted.drop("size").join(sets, "node").select("node", "n", "root", "other", F.explode("tokens").alias("token"))
-    bound = asked.join(union, ["other", "token"]).groupBy("node", "n", "root", "other").agg(F.count(F.lit(1)).alias("overlap"))
-    opened = materialise(bound.where(100 * F.col("overlap") >= PERCENT * F.col("n")).select("node", "root", "other"), "opened")
+    bound = wanted.join(overlaps(wanted, sets, materialise(union, "union")), ["node", "other"])
+    opened = materialise(bound.where(100 * F.col("both") >= PERCENT * F.col("n")).select("node", "root", "other"), "opened")
     # opened groups: members of a like size that differ in few bits, a chunk of a large group at a time
     facts = member.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("other")).distinct()
     facts = materialise(facts.join(opened.select("other").distinct(), "other", "left_semi"), "opened-members")
