@@ -134,6 +134,21 @@ def test_compared_pairs_grow_with_the_group_not_its_square(spark, monkeypatch):
     assert compared[1] < 2.7 * compared[0], compared
 
 
+def test_overlaps_of_parts_and_lots(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "UNION_PART", 7)
+    monkeypatch.setattr(jaccard_join, "CHUNK", 3)
+    rng = random.Random(8)
+    tokens = {k: rng.sample(range(200), rng.randint(0, 30)) for k in range(40)}
+    union = {g: set(rng.sample(range(200), rng.choice([1, 20, 90]))) for g in range(100, 106)}
+    asked = [(k, g) for k in tokens for g in union if g == 100 or rng.random() < 0.3]
+    got = jaccard_join.overlaps(
+        spark.createDataFrame(asked + asked[:5], "node long, other long"),
+        spark.createDataFrame(list(tokens.items()), "node long, tokens array<long>"),
+        spark.createDataFrame([(g, t) for g, own in union.items() for t in own], "other long, token long"))
+    want = {(k, g): len(union[g] & set(tokens[k])) for k, g in asked}
+    assert {(r.node, r.other): r.both for r in got.collect()} == {k: n for k, n in want.items() if n}
+
+
 def test_unlike_bits_never_exceed_the_difference():
     rng = np.random.default_rng(2)
     for n in (1, 5, 200, 3000):
