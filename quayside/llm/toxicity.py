@@ -65,7 +65,8 @@ def codes(text: str | None) -> np.ndarray:
     """Character codes of the whole text, and some blanks behind it.
 
     Signs are left out and a repeated character counts once, so that what is
-    strewn into a word leaves few gaps for the kernel to bridge. Letters
+    strewn into a word leaves few gaps for the kernel to bridge; single letters
+    parted by blanks are read as one word. Letters
     beyond the table take one of the codes of other letters by a hash; what
     repeats is told by the character, not by its code.
     """
@@ -78,6 +79,15 @@ def codes(text: str | None) -> np.ndarray:
     new = c[1:] != c[:-1]
     new |= (points[1:] != points[:-1]) & (points[1:] >= 0x250)
     c = c[np.r_[True, new]]
+    edge = np.r_[True, c == 0, True]
+    single = ~edge[1:-1] & edge[:-2] & edge[2:]
+    # a blank between two single letters goes; letters that come together by that count once if equal
+    gone = np.zeros(len(c), bool)
+    gone[1:-1] = (c[1:-1] == 0) & single[:-2] & single[2:]
+    if gone.any():
+        at = np.flatnonzero(~gone)
+        again = (np.diff(at) > 1) & (c[at[1:]] == c[at[:-1]])
+        c = c[at[np.r_[True, ~again]]]
     return np.r_[c, np.zeros(SPAN - 2, c.dtype)].astype(np.int64)
 
 

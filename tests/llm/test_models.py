@@ -66,6 +66,27 @@ def test_toxicity_of_long_words_and_other_scripts():
     assert len(toxicity.codes("ффф")) == len(toxicity.codes("ф"))
 
 
+def test_single_letters_are_one_word():
+    def plain(text):
+        return toxicity.codes(text)[:-toxicity.SPAN + 2].tolist()
+
+    assert plain("an i d i o t here") == plain("an idiot here")
+    assert plain("a-b o o k") == plain("ab ok")
+    assert plain("I am") != plain("Iam") and len(plain("a")) == 2
+    rng = np.random.default_rng(3)
+    vocab = ["".join(rng.choice(list("abcdefghijklmnoprstu"), rng.integers(3, 9))) for _ in range(400)]
+    bad = ["vilkop", "grunzer", "stinkdorn"]
+
+    def text(word=None):
+        words = rng.choice(vocab, 40).tolist()
+        return " ".join([*words[:20], *([word] if word else []), *words[20:]])
+
+    y = np.array([1, 0, 0] * 80)
+    model = toxicity.fit([text(bad[i // 3 % 3] if one else None) for i, one in enumerate(y)], y)
+    assert np.mean([model.score(text(" ".join(bad[k % 3]))) >= 0.5 for k in range(60)]) >= 0.9
+    assert np.mean([model.score(text()) >= 0.5 for _ in range(100)]) <= 0.02
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"), (5, 0))
