@@ -16,6 +16,8 @@ BIG_BASKET = 1000
 STRIPE, GROUP, RANGES = 32_768, 256, 64
 #: An intersection of two bitmaps costs about as much as so many pair rows; fewer rows than that are not worth the turn.
 AND_COST, LEAST_MADE = 3, 100_000_000
+#: Pair rows that one task of the join lays out and counts, which bounds its memory; tasks of the join.
+MADE_A_TASK, MOST_TASKS = 1_000_000, 10_000
 
 
 def frequent_pairs(
@@ -32,7 +34,10 @@ def frequent_pairs(
       baskets yield every candidate; for the baskets set aside it is then only
       looked up whether they hold both items;
     * should big baskets remain, their items are dealt into chunks, and each
-      chunk meets the basket's items in a task of its own.
+      chunk meets the basket's items in a task of its own;
+    * the join is dealt to as many tasks as its counted pairs ask for. Its
+      input is small beside the pairs, so tasks planned by bytes read would
+      hold more pairs the larger the table.
 
     All that lays out the pairs of every basket. Where baskets are dense, so
     that they hold many more pairs than there are pairs of items, the layout is
@@ -51,12 +56,17 @@ def frequent_pairs(
     giants = [r["_b"] for r in largest[: min_support - 1] if r["_n"] > big_basket]
     usual = held.filter(~F.col("_b").isin(giants)) if giants else held
     left, right, on = usual, usual, ["_b"]
+    laid_out = (made or 0) - sum(r["_n"] * (r["_n"] - 1) / 2 for r in largest if r["_b"] in giants)
+    tasks = min(ceil(laid_out / MADE_A_TASK), MOST_TASKS)
     if len(largest) == min_support and largest[-1]["_n"] > big_basket:
         usual = usual.join(sizes, "_b")
         chunks = F.ceil(F.col("_n") / big_basket).cast("int")
         left = usual.withColumn("_c", F.pmod(F.hash("_i"), chunks))
         right = usual.withColumn("_c", F.explode(F.sequence(F.lit(0), chunks - 1)))
         on = ["_b", "_c"]
+    if tasks > 1:
+        tasks = max(tasks, df.sparkSession.sparkContext.defaultParallelism)
+        left, right = left.repartition(tasks, *on), right.repartition(tasks, *on)
     pairs = (
         left.select(*on, F.col("_i").alias("item_a"))
         .join(right.select(*on, F.col("_i").alias("item_b")), on)

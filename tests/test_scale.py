@@ -35,6 +35,21 @@ def test_pairs_with_giant_baskets(spark, support, big):
     assert got == want
 
 
+@pytest.mark.parametrize("support,big", [(2, 1000), (2, 5), (3, 5)])
+def test_pairs_are_dealt_by_their_number(spark, monkeypatch, support, big):
+    """The tasks of the join follow the pairs laid out, not the bytes read; baskets set aside don't count."""
+    monkeypatch.setattr(pairs, "MADE_A_TASK", 10)
+    rng = random.Random(3)
+    baskets = {b: rng.sample(range(20), 4) for b in range(50)} | {100: list(range(20)), 101: list(range(0, 20, 2))}
+    counts = Counter(p for items in baskets.values() for p in itertools.combinations(sorted(items), 2))
+    aside = {1000: 0, 5: 190 if support == 2 else 190 + 45}[big]
+    out = frequent_pairs(spark.createDataFrame([(b, i) for b, items in baskets.items() for i in items], "b int, i int"), "b", "i", support, big)
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(_b#\w+(?:, _c#\w+)?, (\d+)\), REPARTITION_BY_NUM", plan_of(out))]
+    assert dealt and set(dealt) == {-(-(sum(counts.values()) - aside) // 10)}
+    got = {(r["item_a"], r["item_b"]): r["support"] for r in out.collect()}
+    assert got == {p: n for p, n in counts.items() if n >= support}
+
+
 @pytest.mark.parametrize("support,group", [(1, 256), (9, 7), (14, 7)])
 def test_dense_baskets_by_bitmaps(spark, monkeypatch, support, group):
     """Few items in many baskets: bitmaps meet, over several groups of items and stripes of baskets."""
