@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quayside.llm import bpe, decontaminate, jaccard_join, recipes, rules
 from quayside.llm.queries import QUALITY_FOLD
-from quayside.session import materialise, tune
+from quayside.session import materialise, tune, tune_texts
 from quayside.tables import Tables
 
 
@@ -29,7 +29,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents connected by links of five-word shingles, that with the smallest doc_id."""
-    tune(spark)
+    tune_texts(spark)
     return jaccard_join.drop_near(docs)
 
 
@@ -41,7 +41,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens and the hashes of ids and decoded text, for each document."""
-    tune(spark)
+    tune_texts(spark)
     return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 

@@ -85,8 +85,8 @@ class WordBpe:
         self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
         self.letters = byte_letters()
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, list[int]] = {}
-        self.written: dict[str, tuple[int, str, str]] = {}
+        self.numbers = {i: str(i) for i in self.tokens}
+        self.written: dict[str, tuple[int, ...]] = {}
 
     def word(self, word: str) -> list[int]:
         """Ids of one word; symbols without an id are left out, as the vocabulary has no unknown token."""
@@ -118,22 +118,17 @@ class WordBpe:
 
     def row(self, text: str) -> tuple[int, str, str]:
         """Number of tokens, the ids joined by one space, the decoded text."""
-        n, ids, decoded = 0, [], []
+        ids: list[int] = []
         written = self.written
         for w, special in self.pieces(text):
-            got = written.get(w) if not special else None
+            got = written.get(w) if not special else (self.special[w],)
             if got is None:
-                own = [self.special[w]] if special else self.word(w)
-                got = len(own), " ".join(map(str, own)), self.decode(own)
-                if not special:
-                    if len(written) >= KEPT_WORDS:
-                        written.clear()
-                    written[w] = got
-            if got[0]:
-                n += got[0]
-                ids.append(got[1])
-                decoded.append(got[2])
-        return n, " ".join(ids), " ".join(decoded)
+                if len(written) >= KEPT_WORDS:
+                    written.clear()
+                # the numbers are those of the vocabulary, so an entry holds no strings of its own but the word
+                got = written[w] = tuple(self.word(w))
+            ids += got
+        return len(ids), " ".join(map(self.numbers.__getitem__, ids)), self.decode(ids)
 
 
 _LOADED: dict[str, WordBpe] = {}

@@ -17,6 +17,10 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Rows of one batch that goes to a Python worker. The batch is held three times, as Arrow by the
+# executor and the worker and as objects, so its size in bytes must not follow the length of the texts.
+TEXT_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
+
 _LOCAL_DIRS: dict[str, str] = {}
 #: What was written inside the open scopes, the innermost last.
 _SCOPES: list[list[str]] = []
@@ -45,6 +49,13 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
+def tune_texts(spark: SparkSession) -> None:
+    """`tune`, and small batches for steps that send whole texts to Python workers."""
+    tune(spark)
+    for key, value in TEXT_BATCH.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: `spark.checkpoint.dir`.
 

@@ -63,3 +63,11 @@ def test_whole_table_equals_library(spark):
         assert got[d.doc_id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         decoded = LIBRARY.decode(ids, skip_special_tokens=False)
         assert got[d.doc_id].decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def test_the_word_table_holds_no_strings_but_the_words():
+    bpe = WordBpe(PATH)
+    bpe.row("some words, twice: some words 12 <|endoftext|> über")
+    assert {"some", "words", "twice", "über"} <= set(bpe.written)
+    for word, ids in bpe.written.items():
+        assert isinstance(ids, tuple) and list(ids) == bpe.word(word) and all(any(i is k for k in bpe.ids.values()) for i in ids)

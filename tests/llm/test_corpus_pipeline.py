@@ -4,6 +4,7 @@ import hashlib
 
 import corpus_pipeline
 import public_tokenizers
+import pytest
 from tokenizers import Tokenizer
 
 from quayside.llm import rules
@@ -50,3 +51,13 @@ def test_stages_keep_the_columns(spark):
             assert now.columns == docs.columns
             now.count()
         assert corpus_pipeline.STAGES[-1][1](spark, now, FOLDER).count() == now.count()
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.near_dedup, corpus_pipeline.bpe_encoding])
+def test_whole_texts_go_to_python_in_small_batches(spark, stage):
+    """A worker holds a batch of texts three times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.unset(key)
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    assert stage(spark, docs, FOLDER).count() == 1
+    assert int(spark.conf.get(key)) <= 500
