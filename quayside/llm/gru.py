@@ -78,7 +78,10 @@ def word_counts(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
 
 @dataclass
 class Gru:
-    """Weights in float32. Word k of the vocabulary has class of[k] and place at[k] in it; the last word is the rare one."""
+    """Weights in float32. Word k of the vocabulary has class of[k] and place at[k] in it; the last word is the rare one.
+
+    The words of a class lie together in `to_word` and `word_bias`, from first[c] on.
+    """
 
     embed: np.ndarray
     inner: np.ndarray
@@ -90,11 +93,16 @@ class Gru:
     of: np.ndarray
     at: np.ndarray
     last: np.ndarray  # last[c]: number of words in class c
+    first: np.ndarray
 
     def table(self) -> np.ndarray:
         """What each word adds to the gates."""
         return self.embed + self.bias
 
+    def words(self, c: int) -> slice:
+        """Where the words of a class lie."""
+        return slice(self.first[c], self.first[c] + self.last[c])
+
 
 #: The weights that are fitted, in the order in which they are laid end to end.
 FITTED = ("embed", "inner", "bias", "to_class", "class_bias", "to_word", "word_bias")
@@ -133,13 +141,14 @@ def start_weights(counts: np.ndarray, rng: np.random.Generator) -> Gru:
     for c in range(classes):
         at[of == c] = np.arange(size[c])
     mass = np.bincount(of, share, classes)
-    word_bias = np.full((classes, int(size.max())), -1e9, np.float32)
-    word_bias[of, at] = np.log(share / mass[of])
+    first = np.r_[0, np.cumsum(size)[:-1]]
+    place = np.argsort(first[of] + at)
+    word_bias = np.log(share / mass[of]).astype(np.float32)[place]
     draw = lambda *shape, by: rng.normal(0, by, shape).astype(np.float32)
     h = HIDDEN
-    return Gru(
-        draw(len(share), 3 * h, by=0.3), draw(h, 3 * h, by=0.2), np.zeros(3 * h, np.float32),
-        draw(h, classes, by=0.05), np.log(mass).astype(np.float32), draw(classes, h, int(size.max()), by=0.05), word_bias, of, at, size)
+    embed, inner, to_class = draw(len(share), 3 * h, by=0.3), draw(h, 3 * h, by=0.2), draw(h, classes, by=0.05)
+    to_word = draw(classes, h, int(size.max()), by=0.05)[of[place], :, at[place]]
+    return Gru(embed, inner, np.zeros(3 * h, np.float32), to_class, np.log(mass).astype(np.float32), to_word, word_bias, of, at, size, first)
 
 
 def step(m: Gru, x: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -174,7 +183,7 @@ def log_probabilities(m: Gru, state: np.ndarray, word: np.ndarray) -> np.ndarray
     for c, (a, b) in enumerate(zip(np.r_[0, ends[:-1]], ends)):
         rows = order[a:b]
         if len(rows) and m.last[c] > 1:
-            own = shares(state[rows] @ m.to_word[c, :, :m.last[c]] + m.word_bias[c, :m.last[c]])
+            own = shares(state[rows] @ m.to_word[m.words(c)].T + m.word_bias[m.words(c)])
             out[rows] += _tiny(own[np.arange(len(rows)), m.at[word[rows]]])
     return out
 
@@ -182,23 +191,26 @@ def log_probabilities(m: Gru, state: np.ndarray, word: np.ndarray) -> np.ndarray
 def gradients(m: Gru, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
     """Loss, gradients and last state of one window (steps x lanes), truncated at its start."""
     steps, lanes = inputs.shape
-    k, kind, x = HIDDEN, h.dtype, m.table()[inputs]
-    a, zr, n = (np.empty((steps, lanes, size), kind) for size in (3 * k, 2 * k, k))
-    states = np.empty((steps + 1, lanes, k), kind)
-    states[0] = h
+    k, kind = HIDDEN, h.dtype
+    # within a step the lanes come last, so that each gate is one block of memory
+    x = np.ascontiguousarray(m.table()[inputs].transpose(0, 2, 1))
+    a, zr, n = (np.empty((steps, size, lanes), kind) for size in (3 * k, 2 * k, k))
+    states = np.empty((steps + 1, k, lanes), kind)
+    states[0] = h.T
+    across = np.ascontiguousarray(m.inner.T)
     for t in range(steps):
         now, gate, new, after = a[t], zr[t], n[t], states[t + 1]
-        np.matmul(states[t], m.inner, out=now)
-        sigmoid(np.add(x[t, :, :2 * k], now[:, :2 * k], out=gate))
-        np.multiply(gate[:, k:], now[:, 2 * k:], out=new)
-        new += x[t, :, 2 * k:]
+        np.matmul(across, states[t], out=now)
+        sigmoid(np.add(x[t, :2 * k], now[:2 * k], out=gate))
+        np.multiply(gate[k:], now[2 * k:], out=new)
+        new += x[t, 2 * k:]
         np.tanh(new, out=new)
         np.subtract(states[t], new, out=after)
-        after *= gate[:, :k]
+        after *= gate[:k]
         after += new
-    w = targets.reshape(-1)
-    by_class = np.argsort(m.of[w], kind="stable")  # rows of a class lie together
-    s, w = states[1:].reshape(-1, k)[by_class], w[by_class]
+    w, rows_of = targets.reshape(-1), np.ascontiguousarray(states.transpose(0, 2, 1))
+    by_class = np.argsort(m.of[w].astype(np.uint16), kind="stable")  # rows of a class lie together; short keys are sorted by radix
+    s, w = rows_of[1:].reshape(-1, k)[by_class], w[by_class]
     of, rows, ones = m.of[w], np.arange(len(w)), np.ones(len(w), kind)
     g = {name: np.zeros_like(getattr(m, name)) for name in FITTED}
     d = shares(s @ m.to_class + m.class_bias)
@@ -209,35 +221,36 @@ def gradients(m: Gru, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray) ->
     for c, (start, end) in enumerate(zip(np.r_[0, ends[:-1]], ends)):
         if start == end or m.last[c] == 1:  # a single word of its class is certain
             continue
-        size, mine, weights = m.last[c], s[start:end], m.to_word[c, :, :m.last[c]]
-        e, places = shares(mine @ weights + m.word_bias[c, :size]), (rows[:end - start], m.at[w[start:end]])
+        own, mine = m.words(c), s[start:end]
+        weights = m.to_word[own]
+        e, places = shares(mine @ weights.T + m.word_bias[own]), (rows[:end - start], m.at[w[start:end]])
         loss -= _tiny(e[places]).sum()
         e[places] -= 1
-        g["to_word"][c, :, :size], g["word_bias"][c, :size] = mine.T @ e, ones[:end - start] @ e
-        ds[start:end] += e @ weights.T
+        g["to_word"][own], g["word_bias"][own] = e.T @ mine, ones[:end - start] @ e
+        ds[start:end] += e @ weights
     outer = np.empty_like(ds)
     outer[by_class] = ds
-    ds, before = outer.reshape(steps, lanes, k), states[:-1]
-    z, r = np.ascontiguousarray(zr[:, :, :k]), np.ascontiguousarray(zr[:, :, k:])
-    to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), a[:, :, 2 * k:] * r * (1 - r)
-    da, dn, back, inner = np.empty((steps, lanes, 3 * k), kind), np.empty((steps, lanes, k), kind), np.zeros_like(h), np.ascontiguousarray(m.inner.T)
+    ds, before = np.ascontiguousarray(outer.reshape(steps, lanes, k).transpose(0, 2, 1)), states[:-1]
+    z, r = zr[:, :k], zr[:, k:]
+    to_n, to_z, to_r = (1 - z) * (1 - n * n), (before - n) * z * (1 - z), a[:, 2 * k:] * r * (1 - r)
+    da, dn, back = np.empty((steps, 3 * k, lanes), kind), np.empty((steps, k, lanes), kind), np.zeros((k, lanes), kind)
     for t in reversed(range(steps)):
         back += ds[t]
         of_n, of_all = dn[t], da[t]
         np.multiply(back, to_n[t], out=of_n)
-        np.multiply(back, to_z[t], out=of_all[:, :k])
-        np.multiply(of_n, to_r[t], out=of_all[:, k:2 * k])
-        np.multiply(of_n, r[t], out=of_all[:, 2 * k:])
+        np.multiply(back, to_z[t], out=of_all[:k])
+        np.multiply(of_n, to_r[t], out=of_all[k:2 * k])
+        np.multiply(of_n, r[t], out=of_all[2 * k:])
         back *= z[t]
-        back += of_all @ inner
-    g["inner"] = before.reshape(-1, k).T @ da.reshape(-1, 3 * k)
-    da[:, :, 2 * k:] = dn  # what the words add isn't weighed by the gate
-    added = da.reshape(-1, 3 * k)
+        back += m.inner @ of_all
+    added = da.transpose(0, 2, 1).reshape(-1, 3 * k)
+    g["inner"] = rows_of[:-1].reshape(-1, k).T @ added
+    added[:, 2 * k:] = dn.transpose(0, 2, 1).reshape(-1, k)  # what the words add isn't weighed by the gate
     g["bias"] = ones @ added
-    order = np.argsort(inputs, axis=None, kind="stable")
+    order = np.argsort(inputs.astype(np.uint16), axis=None, kind="stable")
     given, starts = np.unique(inputs.reshape(-1)[order], return_index=True)
     g["embed"][given] = np.add.reduceat(added[order], starts)
-    return float(loss), {name: v / len(w) for name, v in g.items()}, states[-1].copy()
+    return float(loss), {name: v / len(w) for name, v in g.items()}, rows_of[-1].copy()
 
 
 class Fitting:

@@ -143,6 +143,16 @@ def test_probabilities_sum_to_one():
     assert np.allclose(total, 1, atol=1e-5)
 
 
+def test_weights_hold_no_padding():
+    """Each word has a row of its own and nothing beside it, so that an update costs what the words need."""
+    m = gru.start_weights(1e6 / np.arange(1, 301) ** 1.2, np.random.default_rng(3))
+    assert len(set(m.last)) > 3 and m.last.sum() == 300
+    assert m.to_word.size == 300 * gru.HIDDEN and m.word_bias.size == 300
+    assert sorted(m.first[m.of] + m.at) == list(range(300))
+    total = sum(np.exp(gru.log_probabilities(m, np.ones((1, gru.HIDDEN), np.float32), np.array([w]))[0]) for w in range(300))
+    assert abs(total - 1) < 1e-4
+
+
 def test_state_is_carried_through_the_whole_text():
     """Texts scored together in lanes, over many windows, equal each text scored step by step."""
     m, rng = small_model(2), np.random.default_rng(3)
