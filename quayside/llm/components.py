@@ -5,40 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import materialise
+from quayside.session import materialise, small
 
 
-def _towards_least(links: DataFrame) -> DataFrame:
+def _neighbours(links: DataFrame) -> DataFrame:
+    """For each node, the least of it and its neighbours, and the largest neighbour; written."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return materialise(both.groupBy("a").agg(
+        F.least(F.min("b"), F.first("a")).alias("least"), F.max("b").alias("most")), "least")
+
+
+def _towards_least(links: DataFrame, least: DataFrame) -> DataFrame:
     """Point every neighbour of a node that is larger than the node at the node's least neighbour."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
     # a node with very many links meets one row; adaptive execution splits it
-    return both.where("b > a").join(materialise(least, "least"), "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return both.where("b > a").join(small(least.select("a", "least")), "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _shorten(links: DataFrame) -> DataFrame:
     """With every link from the larger to the smaller node: point a node and its smaller neighbours at the least of them."""
-    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = materialise(down.groupBy("a").agg(F.min("b").alias("least")), "least")
-    moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    least = materialise(links.groupBy("a").agg(F.min("b").alias("least")), "least")
+    moved = links.join(small(least), "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.unionByName(least.select("a", F.col("least").alias("b"))).where("a <> b").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, root: the least node that each linked node is connected with, the least node itself included.
+    """node, root: the least node that each linked node is connected with, the least node itself included; written.
 
-    `links` has the columns a and b. Large-star and small-star steps alternate
-    until nothing changes, about as often as the logarithm of the longest
+    `links` has the columns a and b; it is read several times, so it should be
+    a written table. Large-star and small-star steps alternate until all links
+    go from a node to its root, about as often as the logarithm of the longest
     chain squared; a node is never gathered with all its links. Links of a node
     with itself and repeated links are harmless; without links there are no rows.
     """
-    links = materialise(links.select("a", "b").where("a <> b").distinct(), "links")
-    before = None
+    links = links.select("a", "b").where("a <> b")
     while True:
-        links = materialise(_shorten(_towards_least(links).distinct()), "links")
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == before:
-            break
-        before = state
-    leaf = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return leaf.unionByName(leaf.select(F.col("root").alias("node"), "root").distinct())
+        least = _neighbours(links)
+        # stars: who has a smaller neighbour has no other one
+        if least.where("least < a AND least < most").isEmpty():
+            return least.select(F.col("a").alias("node"), F.col("least").alias("root"))
+        links = materialise(_shorten(_towards_least(links, least)), "links")

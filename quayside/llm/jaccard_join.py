@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm.components import components
-from quayside.session import materialise
+from quayside.session import BROADCAST_ROWS, materialise, small
 
 SHINGLE = 5
 #: Similarity of a link, as 100 * intersection >= PERCENT * union.
@@ -49,8 +49,6 @@ PARITY, CROWDED = 8, 32
 TRIED_MEMBERS, CHUNK = 1, 2000
 #: Tokens of a group's union that one row holds, about.
 UNION_PART = 4096
-#: Rows of ids that are sent to every executor; beyond, the join shuffles.
-BROADCAST_ROWS = 2_000_000
 
 _RNG = np.random.default_rng(20)
 _MIX = _RNG.integers(1, 2**63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -250,11 +248,6 @@ def first_groups(docs: DataFrame, nodes: DataFrame, described_nodes: DataFrame)
     return reduce(DataFrame.unionByName, found)
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A written table of a few numbers a row, sent to every executor where it has at most BROADCAST_ROWS rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def members_of(described_nodes: DataFrame, groups: DataFrame) -> DataFrame:
     """token, node, n, at, root, size (of the group), parity bits x0 ...: the prefix tokens that nodes of two groups or more have; written.
 
@@ -332,7 +325,7 @@ def candidate_groups(member: DataFrame) -> DataFrame:
 
 def apart(wanted: DataFrame, links: DataFrame) -> DataFrame:
     """The candidates whose two groups the links (a, b between groups) do not connect; written."""
-    joined = materialise(components(links), "joined")
+    joined = components(links)
     mine = small(joined.select(F.col("node").alias("root"), F.col("root").alias("mine")))
     theirs = small(joined.select(F.col("node").alias("other"), F.col("root").alias("theirs")))
     got = wanted.join(mine, "root", "left").join(theirs, "other", "left")
@@ -358,17 +351,17 @@ def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame, bits: Data
 
     # A group is first tried by a few members, with one comparison a query, so that a large group of near copies
     # comes together without being opened. Then come groups of one, where the comparison is the bound.
-    links = wanted.select(F.col("root").alias("a"), F.col("other").alias("b")).limit(0)
+    links: list[DataFrame] = []
     for k in range(TRIED_MEMBERS + 1):
         chosen = inside.groupBy("other").agg(F.min(F.struct(F.xxhash64("node", F.lit(k)).alias("h"), "node")).alias("m"))
         now = wanted.where("size > 1" if k < TRIED_MEMBERS else "size = 1")
         found = links_of(now.join(chosen.select("other", F.col("m.node").alias("b")), "other").select("node", "root", "b", "other"))
+        links.append(found)
         if not found.isEmpty():
-            links = materialise(links.unionByName(found).distinct(), "links")
-            wanted = apart(wanted, links)
+            wanted = apart(wanted, reduce(DataFrame.unionByName, links))
     wanted = wanted.where("size > 1")
     if wanted.isEmpty():
-        return links
+        return reduce(DataFrame.unionByName, links)
     # the query's overlap with the union of a group's tokens bounds the overlap with each member
     union = inside.join(wanted.select("other").distinct(), "other").join(sets, "node").select("other", F.explode("tokens").alias("token")).distinct()
     bound = wanted.join(overlaps(wanted, sets, materialise(union, "union")), ["node", "other"])
@@ -387,10 +380,10 @@ def later_links(docs: DataFrame, nodes: DataFrame, member: DataFrame, bits: Data
     # the member that differs least goes first; a query that it connects with the group needs no other
     best = pairs.groupBy("node", "root", "other").agg(F.min(F.struct("far", "b")).alias("m"))
     found = links_of(best.select("node", "root", F.col("m.b").alias("b"), "other"))
+    links.append(found)
     if not found.isEmpty():
-        links = materialise(links.unionByName(found).distinct(), "links")
-        pairs = apart(pairs, links)
-    return materialise(links.unionByName(links_of(pairs.drop("far"))), "links")
+        pairs = apart(pairs, reduce(DataFrame.unionByName, links))
+    return reduce(DataFrame.unionByName, [*links, links_of(pairs.drop("far"))])
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
@@ -410,10 +403,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
     copies = materialise(made.select("row").where("n > 0").join(nodes.select(F.col("node").alias("row")), "row", "left_anti"), "copies")
     own = made.where("n > 0").join(small(copies), "row", "left_anti").withColumnRenamed("row", "node")
     first = first_groups(docs, nodes, materialise(own.select("node", "n", "sketch"), "sketches"))
-    groups = materialise(components(first), "groups")
+    groups = components(first)
     later = later_links(docs, nodes, members_of(own, groups), materialise(own.select("node", "parity"), "bits"))
     if not later.isEmpty():
-        groups = materialise(components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(later)), "groups")
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(later))
     placed = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = materialise(placed.select("key", "n", "root", "least_id"), "placed")
     least = materialise(placed.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators count on: hot keys of joins are split, also
 # where that costs a later step its partitioning.
@@ -21,6 +22,9 @@ ADAPTIVE = {
 # executor and the worker and as objects, so its size in bytes must not follow the length of the texts.
 TEXT_BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}
 
+#: Rows of a few numbers that are sent to every executor; beyond, the join shuffles.
+BROADCAST_ROWS = 2_000_000
+
 _LOCAL_DIRS: dict[str, str] = {}
 #: What was written inside the open scopes, the innermost last.
 _SCOPES: list[list[str]] = []
@@ -108,3 +112,8 @@ def materialise(df: DataFrame, name: str = "step") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """A written table of a few numbers a row, sent to every executor where it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df

@@ -179,3 +179,14 @@ def test_components(spark):
 def test_whole_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert got_of(near_groups(docs)) == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_components_of_stars_write_one_table(spark, monkeypatch):
+    """Each written step is an exchange; links that already go to their roots need no round, a chain of four one round."""
+    import quayside.llm.components as module
+    written, write = [], module.materialise
+    monkeypatch.setattr(module, "materialise", lambda df, name: written.append(name) or write(df, name))
+    for links, most in (([(k, 1) for k in range(2, 90)] + [(3, 1), (5, 5)], 1), ([(2, 1), (3, 2), (4, 3)], 7)):
+        written.clear()
+        got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+        assert got == {n: 1 for link in links for n in link if link != (5, 5)} and len(written) <= most, written
